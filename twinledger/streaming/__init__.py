@@ -1,0 +1 @@
+"""Nothing lives here: the inventory has no streaming source, window or state."""
