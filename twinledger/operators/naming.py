@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from twinledger.functions.text import TOKEN_MARK, abbreviation_base, has_token
 
-RANK_BUCKET_DIGITS = 2
+RANK_BUCKET_DIGITS = 3
 
 
 @dataclass(frozen=True)
@@ -62,7 +62,7 @@ def rank_in_group(df: DataFrame, group: Sequence[str], name: str, rank: str) ->
     """Number the distinct ``name`` values of each group by their MD5.
 
     A window over the group would put a hot group into one task. The MD5 cuts
-    each group into 256 buckets in rank order: rows are numbered within their
+    each group into 4096 buckets in rank order: rows are numbered within their
     bucket and the sizes of the earlier buckets are added.
     """
     hashed = df.withColumn("_order", F.md5(name)).withColumn(

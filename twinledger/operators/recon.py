@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from twinledger.functions.hashing import row_hash
 from twinledger.operators.counts import BASELINE_ENV, CANDIDATE_ENV
@@ -177,20 +177,40 @@ def flag_rollup(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str])
     )
 
 
+def _sample_keys(rows: DataFrame) -> list[str]:
+    return [name for name in rows.columns if name not in ("dq_flag", "row_count")]
+
+
+def _spread(rows: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """Counted rows as single rows again, at most ``n`` of each."""
+    times = F.least(F.col("row_count"), F.lit(n).cast(WIDE)).cast("int")
+    copies = F.explode(F.sequence(F.lit(1), times)).alias("_copy")
+    return rows.select(*keys, "dq_flag", copies).drop("_copy")
+
+
 def sample_rows(rows: DataFrame, flag: str, n: int = SAMPLE_ROWS) -> DataFrame:
     """The first ``n`` joined rows of a flag by key, equal rows repeated."""
-    keys = [name for name in rows.columns if name not in ("dq_flag", "row_count")]
+    keys = _sample_keys(rows)
     order = [F.asc_nulls_first(key) for key in keys]
-    times = F.least(F.col("row_count"), F.lit(n).cast(WIDE)).cast("int")
-    return (
-        rows.filter(F.col("dq_flag") == flag)
-        .orderBy(*order)
-        .limit(n)
-        .select(*keys, "dq_flag", F.explode(F.sequence(F.lit(1), times)).alias("_copy"))
-        .drop("_copy")
-        .orderBy(*order)
-        .limit(n)
-    )
+    first = rows.filter(F.col("dq_flag") == flag).orderBy(*order).limit(n)
+    return _spread(first, keys, n).orderBy(*order).limit(n)
+
+
+def mismatch_samples(rows: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
+    """The samples of all three mismatches from one pass over ``rows``.
+
+    The rank filter is applied in each task before the shuffle (a window group
+    limit), so what meets in a window is ``n`` rows per task and flag.
+    """
+    keys = _sample_keys(rows)
+    order = [F.asc_nulls_first(key) for key in keys]
+    rank = F.row_number().over(Window.partitionBy("dq_flag").orderBy(*order))
+
+    def first(df: DataFrame) -> DataFrame:
+        return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+
+    wanted = rows.filter(F.col("dq_flag").isin(*MISMATCHES))
+    return first(_spread(first(wanted), keys, n))
 
 
 def duplicate_keys(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -72,8 +72,11 @@ def check(actual: Column, expected: Column) -> Column:
 def validate(rules: DataFrame, runs: DataFrame) -> DataFrame:
     """Rules against run results (resource, status, rows_returned).
 
-    The outcome is PASS or FAIL; a rule whose resource never ran fails.
+    The outcome is PASS or FAIL, for every run of the rule's resource; a rule
+    whose resource never ran fails. The rules that ran are an inner join, which
+    Spark can split where one resource has very many runs.
     """
+    on = ["resource", "metric"]
     facts = runs.select(
         "resource",
         F.explode(
@@ -85,7 +88,11 @@ def validate(rules: DataFrame, runs: DataFrame) -> DataFrame:
             )
         ).alias("metric", "actual"),
     )
+    ran = rules.join(facts, on)
+    never = rules.join(facts.select(*on).distinct(), on, "left_anti").withColumn(
+        "actual", F.lit(None).cast("string")
+    )
     passed = F.coalesce(check(F.col("actual"), F.col("expected")), F.lit(False))
-    return rules.join(facts, ["resource", "metric"], "left").withColumn(
+    return ran.unionByName(never).withColumn(
         "outcome", F.when(passed, "PASS").otherwise("FAIL")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from twinledger.functions.text import split_names
 from twinledger.operators import counts, recon, schema
 from twinledger.operators.scope import FULL, Scope, choose_scope
+from twinledger.sources.shared import materialise
 
 
 @dataclass(frozen=True)
@@ -57,6 +58,13 @@ class Reconciliation:
     def duplicate_keys(self) -> DataFrame:
         return recon.duplicate_keys(*self._sides(), self.keys)
 
+    def written_rows(self) -> DataFrame:
+        """:attr:`rows` as a table in the shared folder, split by flag.
+
+        Worth its cost where the rows have several readers in separate jobs.
+        """
+        return materialise(self.rows, "rows", ("dq_flag",))
+
     def samples(self, flag: str, n: int = recon.SAMPLE_ROWS) -> DataFrame:
         return recon.sample_rows(self.rows, flag, n)
 
@@ -64,8 +72,8 @@ class Reconciliation:
         """All sections in one DataFrame: section, region_id, item, row_count.
 
         The flag totals and the samples read the same grouped rows. Spark
-        computes them once and reuses the exchange; ``rows`` may instead be a
-        written copy of :attr:`rows`.
+        computes them once and reuses the exchange; ``rows`` may instead be
+        :meth:`written_rows`.
         """
         rows = self.rows if rows is None else rows
         none = F.lit(None).cast("string")
@@ -86,18 +94,17 @@ class Reconciliation:
                 "row_count",
             ),
         ]
-        for flag in recon.MISMATCHES:
-            key_text = F.concat_ws(
-                ",", *[F.coalesce(F.col(key).cast("string"), F.lit("")) for key in self.keys]
-            )
-            parts.append(
-                recon.sample_rows(rows, flag, n).select(
-                    F.concat(F.lit("sample "), "dq_flag").alias("section"),
-                    none.alias("region_id"),
-                    key_text.alias("item"),
-                    F.lit(1).cast(recon.WIDE).alias("row_count"),
-                )
+        key_text = F.concat_ws(
+            ",", *[F.coalesce(F.col(key).cast("string"), F.lit("")) for key in self.keys]
+        )
+        parts.append(
+            recon.mismatch_samples(rows, n).select(
+                F.concat(F.lit("sample "), "dq_flag").alias("section"),
+                none.alias("region_id"),
+                key_text.alias("item"),
+                F.lit(1).cast(recon.WIDE).alias("row_count"),
             )
+        )
         report = parts[0]
         for part in parts[1:]:
             report = report.unionByName(part)
