@@ -64,7 +64,8 @@ def test_replace_head(spark):
 
 
 def test_slug(spark):
-    assert one(spark, text.slug(F.col("v")), v="A b*: [x](y)/z.{1}--") == "A-b-xy_z1--"
+    assert one(spark, text.slug(F.col("v")), v="A b*: [x](y)/z.{1}--") == "A-b-xy_z1"
+    assert one(spark, text.slug(F.col("v")), v="a (b -)") == "a-b--"
     assert one(spark, text.slug(F.col("v")), v="end -: ") == "end"
     assert one(spark, text.slug(F.col("v"), lower=True, dropped=["_beta"]), v="T_BETA") == "t"
 

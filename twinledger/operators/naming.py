@@ -118,24 +118,23 @@ def slug_match(needles: DataFrame, names: DataFrame, needle: str, name: str) ->
     """For each needle the first name (by text) that contains it, and how many do.
 
     Containment is made an equality: names are cut into their pieces of the
-    lengths that needles have, and pieces are grouped before they meet the
-    needles. Letter case does not count. No pair of needle and name is built.
+    lengths that needles have, and pieces that are no needle are dropped by a
+    semi join. What is left are true hits only; no pair of needle and name is
+    tried. Letter case does not count.
     """
     wanted = needles.select(needle, F.lower(needle).alias("_piece")).distinct()
     lengths = wanted.agg(F.collect_set(F.length("_piece")).alias("_lengths")).scalar()
-    text = F.lower(name)
-
-    def pieces(size: Column) -> Column:
-        last = F.length(text) - size + 1
-        starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda at: F.substring(text, at, size))
-
-    cut = F.array_distinct(F.flatten(F.transform("_lengths", pieces)))
+    last = F.length("_text") - F.col("_size") + 1
+    pieces = (
+        names.select(name, F.lower(name).alias("_text"))
+        .select(name, "_text", F.explode(lengths).alias("_size"))
+        .filter(last >= 1)
+        .select(name, "_text", "_size", F.explode(F.sequence(F.lit(1), last)).alias("_at"))
+        .select(name, F.substring("_text", F.col("_at"), F.col("_size")).alias("_piece"))
+    )
     found = (
-        names.select(name)
+        pieces.join(wanted.select("_piece").distinct(), "_piece", "left_semi")
         .distinct()
-        .withColumn("_lengths", lengths)
-        .select(name, F.explode(cut).alias("_piece"))
         .groupBy("_piece")
         .agg(F.min(name).alias(name), F.count(F.lit(1)).alias("matches"))
     )

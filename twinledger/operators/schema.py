@@ -107,7 +107,7 @@ def summary(
         return F.min(F.when(flag, F.col(name)))
 
     per_column = both.groupBy(*by, "_name").agg(
-        F.min("column_name").alias("column_name"),
+        F.coalesce(first(in_baseline, "column_name"), F.min("column_name")).alias("column_name"),
         first(in_baseline, "ordinal_position").alias("_b"),
         first(in_candidate, "ordinal_position").alias("_c"),
         first(in_baseline, "data_type").alias("_b_type"),

@@ -66,12 +66,13 @@ def fx_prod(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(FX_PROD, **{name: table(spark, sf_dir, name) for name in names})
 
 
-def fx_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(FX_TEST, fx_prod=fx_prod(spark, sf_dir))
+def fx_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    prod = fx_prod(spark, sf_dir)
+    return prod, spark.sql(FX_TEST, fx_prod=prod)
 
 
-def fx_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return fx_prod(spark, sf_dir), fx_test(spark, sf_dir)
+def fx_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx_sides(spark, sf_dir)[1]
 
 
 def with_fx(body: str, more: str = "") -> str:
