@@ -83,6 +83,23 @@ def test_materialise(spark):
     assert shared.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
+class Settings(dict):
+    """A session that only has settings."""
+
+    @property
+    def conf(self):
+        return self
+
+
+def test_shared_folder_without_the_setting():
+    local = Settings({"spark.master": "local[2]", "spark.app.id": "one"})
+    assert shared.shared_folder(local) == shared.shared_folder(local)
+    with pytest.raises(ValueError):
+        shared.shared_folder(Settings({"spark.master": "yarn", "spark.app.id": "two"}))
+    named = Settings({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://x/y/"})
+    assert shared.new_path(named, "t").startswith("hdfs://x/y/t-")
+
+
 def test_tables_and_reports(spark, small, tmp_path):
     path = f"{small}/region.parquet"
     assert tables.read_table(spark, path).count() == tables.read_table(spark, path, "parquet").count()

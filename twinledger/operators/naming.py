@@ -95,9 +95,10 @@ def abbreviate(names: DataFrame, name: str = "name") -> DataFrame:
     The first name of a base gets the base, later ones the base and their own
     last three characters. Among equal results the second gets ``1``, the third
     ``12`` and so on. First and later go by MD5, a fixed order that does not
-    depend on how the names arrive.
+    depend on how the names arrive. NULL is no name.
     """
-    distinct = names.select(F.col(name)).distinct().withColumn("base", abbreviation_base(F.col(name)))
+    present = names.select(F.col(name)).filter(F.col(name).isNotNull())
+    distinct = present.distinct().withColumn("base", abbreviation_base(F.col(name)))
     ranked = rank_in_group(distinct, ["base"], name, "_rank")
     first = ranked.filter(F.col("_rank") == 1).select(
         name, "base", F.col("base").alias("abbreviation")

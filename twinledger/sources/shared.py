@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
+_local_folders: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, as ``spark.checkpoint.dir`` names it.
@@ -21,9 +23,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="twinledger-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    application = spark.conf.get("spark.app.id")
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="twinledger-")
+    return _local_folders[application]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
