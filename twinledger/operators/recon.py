@@ -103,13 +103,13 @@ def _no_null(keys: Sequence[str]) -> Column:
     return condition
 
 
-def full_outer(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The full outer join, one row per key with its rows and pairs."""
+def _pairs(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows and pairs of each key from its counts."""
     both = _no_null(keys) & (F.col("prod_rows") > 0) & (F.col("test_rows") > 0)
     pairs = _whole(*_product(F.col("prod_rows"), F.col("test_rows")))
     matched = _whole(F.col("_match_small"), F.col("_match_large"))
     zero = F.lit(0).cast(WIDE)
-    return key_counts(baseline, candidate, keys).select(
+    return counts.select(
         *keys,
         "prod_rows",
         "test_rows",
@@ -118,27 +118,47 @@ def full_outer(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -
     )
 
 
-def flag_rows(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, ``dq_flag``, ``row_count``): every joined row, equal ones counted."""
-    counts = full_outer(baseline, candidate, keys)
+def full_outer(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The full outer join, one row per key with its rows and pairs."""
+    return _pairs(key_counts(baseline, candidate, keys), keys)
+
+
+def flag_rows(
+    baseline: DataFrame,
+    candidate: DataFrame,
+    keys: Sequence[str],
+    flags: Sequence[str] = FLAGS,
+) -> DataFrame:
+    """(keys, ``dq_flag``, ``row_count``): every joined row, equal ones counted.
+
+    Without MATCHING among the ``flags``, keys with one matching row a side,
+    which is most of them, are dropped before anything is made of them.
+    """
+    counts = key_counts(baseline, candidate, keys)
+    if MATCHING not in flags:
+        single = (F.col("prod_rows") == 1) & (F.col("test_rows") == 1)
+        same = F.coalesce(F.col("_match_small") == 1, F.lit(False))
+        counts = counts.filter(~(_no_null(keys) & single & same))
     null_key = ~_no_null(keys)
     alone_p = null_key | (F.col("test_rows") == 0)
     alone_t = null_key | (F.col("prod_rows") == 0)
     zero = F.lit(0).cast(WIDE)
-    amounts = (
-        (MISSING_FROM_PROD, F.when(alone_t, F.col("test_rows").cast(WIDE)).otherwise(zero)),
-        (MISSING_FROM_TEST, F.when(alone_p, F.col("prod_rows").cast(WIDE)).otherwise(zero)),
-        (NOT_MATCHING, F.col("differing_pairs")),
-        (MATCHING, F.col("matching_pairs")),
-    )
+    amounts = {
+        MISSING_FROM_PROD: F.when(alone_t, F.col("test_rows").cast(WIDE)).otherwise(zero),
+        MISSING_FROM_TEST: F.when(alone_p, F.col("prod_rows").cast(WIDE)).otherwise(zero),
+        NOT_MATCHING: F.col("differing_pairs"),
+        MATCHING: F.col("matching_pairs"),
+    }
     entries = F.array(
         *[
             F.struct(F.lit(flag).alias("dq_flag"), amount.alias("row_count"))
-            for flag, amount in amounts
+            for flag, amount in amounts.items()
+            if flag in flags
         ]
     )
     return (
-        counts.select(*keys, F.explode(entries).alias("_e"))
+        _pairs(counts, keys)
+        .select(*keys, F.explode(entries).alias("_e"))
         .select(*keys, "_e.dq_flag", "_e.row_count")
         .filter(F.col("row_count") > 0)
     )

@@ -66,7 +66,8 @@ class Reconciliation:
         return materialise(self.rows, "rows", ("dq_flag",))
 
     def samples(self, flag: str, n: int = recon.SAMPLE_ROWS) -> DataFrame:
-        return recon.sample_rows(self.rows, flag, n)
+        rows = recon.flag_rows(*self._sides(), self.keys, (flag,))
+        return recon.sample_rows(rows, flag, n)
 
     def report(self, n: int = recon.SAMPLE_ROWS, rows: DataFrame | None = None) -> DataFrame:
         """All sections in one DataFrame: section, region_id, item, row_count.
@@ -75,7 +76,14 @@ class Reconciliation:
         computes them once and reuses the exchange; ``rows`` may instead be
         :meth:`written_rows`.
         """
-        rows = self.rows if rows is None else rows
+        if rows is None:
+            mismatches = recon.flag_rows(*self._sides(), self.keys, recon.MISMATCHES)
+            rollup = self.rollup
+        else:
+            mismatches = rows
+            rollup = rows.groupBy("dq_flag").agg(
+                F.sum("row_count").cast(recon.WIDE).alias("row_count")
+            )
         none = F.lit(None).cast("string")
         parts = [
             self.counts.select(
@@ -85,9 +93,7 @@ class Reconciliation:
                 F.col("row_count").cast(recon.WIDE).alias("row_count"),
             ),
             self._schema_section(none),
-            rows.groupBy("dq_flag")
-            .agg(F.sum("row_count").cast(recon.WIDE).alias("row_count"))
-            .select(
+            rollup.select(
                 F.lit("flags").alias("section"),
                 none.alias("region_id"),
                 F.col("dq_flag").alias("item"),
@@ -98,7 +104,7 @@ class Reconciliation:
             ",", *[F.coalesce(F.col(key).cast("string"), F.lit("")) for key in self.keys]
         )
         parts.append(
-            recon.mismatch_samples(rows, n).select(
+            recon.mismatch_samples(mismatches, n).select(
                 F.concat(F.lit("sample "), "dq_flag").alias("section"),
                 none.alias("region_id"),
                 key_text.alias("item"),
