@@ -38,7 +38,7 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 def _fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     parts = [word[i : i + 1] for i in range(len(word))]
-    none = len(ranks) + 1
+    none = 1 << 62
     pairs = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
     while pairs:
         low = min(pairs)

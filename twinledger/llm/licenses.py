@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
 _CC = "(?:cc|creative commons(?: licen[cs]e)?) {}"
-_V = "(?: version| v| ver)? ?"
+_V = "(?: version| v| ver)?(?: |)"
 
 # Label, keyword, and the name in words, the most specific of a family first.
 FAMILIES = (

@@ -1,3 +1,246 @@
-"""DuckDB SQL for the queries that it can express."""
+"""DuckDB SQL for the queries that it can express, each stating the result anew over whole tables.
+
+Byte-pair merges, page trees, the trained classifier and the disclosure
+statistics have none; tests hold those against brute force.
+"""
+
+from __future__ import annotations
+
+from twinledger.llm import licenses, mixing, secrets
 
 SQL: dict[str, str] = {}
+
+SQL["op1_voronoi_knn"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS vector
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id,
+         CAST(list_inner_product(CAST(q.vector AS DOUBLE[]), CAST(d.vector AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id <> d.vec_id
+  WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored
+QUALIFY rank <= 20
+"""
+
+# Walks from every vector; components are small enough for that in the given tables.
+SQL["op2_metric_range_join"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.x, b.x) / (sqrt(list_inner_product(a.x, a.x)) * sqrt(list_inner_product(b.x, b.x))) >= 0.95
+), walk(node, reached) AS (
+  SELECT a, b FROM link
+  UNION
+  SELECT walk.node, link.b FROM walk JOIN link ON walk.reached = link.a
+), label AS (SELECT node, min(reached) AS low FROM walk GROUP BY node),
+links AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links,
+       least(e.vec_id, coalesce(low, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(low, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN links ON links.a = e.vec_id LEFT JOIN label ON label.node = e.vec_id
+"""
+
+_WORDS = r"""
+  string_split_regex(trim(regexp_replace(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')), ' ')
+"""
+
+SQL["op7_minhash_jaccard"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter({_WORDS}, lambda x: x <> '') AS words FROM documents
+), gram AS (
+  SELECT doc_id, unnest(list_distinct(list_transform(
+    range(1, greatest(len(words) - 4, 1) + 1), lambda i: array_to_string(words[i:i + 4], ' ')))) AS g
+  FROM w WHERE len(words) > 0
+), size AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id),
+both_have AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM gram a JOIN gram b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), link AS (
+  SELECT a, b FROM both_have JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE both_have.n / (x.n + y.n - both_have.n) >= 0.8
+), walk(node, reached) AS (
+  SELECT a, b FROM link
+  UNION
+  SELECT walk.node, link.b FROM walk JOIN link ON walk.reached = link.a
+), label AS (SELECT node, min(reached) AS low FROM walk GROUP BY node),
+links AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links,
+       least(d.doc_id, coalesce(low, d.doc_id)) AS class_id,
+       d.doc_id = least(d.doc_id, coalesce(low, d.doc_id)) AS kept
+FROM documents d LEFT JOIN links ON links.a = d.doc_id LEFT JOIN label ON label.node = d.doc_id
+"""
+
+# The level at which the clamped shares add up to the whole, by the order in which sources clamp.
+SQL["op5_water_filling"] = f"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{mixing.WORDS}')) AS BIGINT) AS size
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS place
+  FROM d GROUP BY source
+), w AS (
+  SELECT source, source_size, CASE place WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight,
+         {mixing.EPOCHS} * source_size AS cap, sum(source_size) OVER () AS total
+  FROM s
+), o AS (
+  SELECT *, coalesce(sum(cap) OVER b, 0) AS held, sum(weight) OVER () - coalesce(sum(weight) OVER b, 0) AS weights
+  FROM w WINDOW b AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT CAST(total - held AS DOUBLE) AS rest, CAST(weights AS DOUBLE) AS among
+  FROM o WHERE cap >= weight * (total - held) / weights ORDER BY cap / weight, source NULLS LAST LIMIT 1
+), t AS (
+  SELECT source, source_size,
+         least(CAST(cap AS DOUBLE), weight * rest / among) AS target
+  FROM w, level
+), f AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM t
+), r AS (
+  SELECT d.doc_id, d.source, d.size, f.source_size, f.target, f.whole,
+         floor(log2(greatest(d.size, 1))) AS stratum,
+         CASE WHEN f.source_size > 0 THEN target - whole * f.source_size ELSE 0 END AS rest,
+         md5('mix:' || d.doc_id) AS place
+  FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source
+), m AS (
+  SELECT *, sum(size) OVER (PARTITION BY source, stratum) AS words,
+         coalesce(sum(size) OVER (PARTITION BY source, stratum ORDER BY place, doc_id
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2.0 AS middle
+  FROM r
+), q AS (
+  SELECT *, CASE WHEN source_size > 0 THEN rest * words / source_size ELSE 0 END AS quota FROM m
+), g AS (
+  SELECT source, stratum, any_value(words) AS words, any_value(quota) AS quota,
+         coalesce(sum(size) FILTER (middle <= quota), 0) AS got
+  FROM q GROUP BY source, stratum
+), line AS (
+  SELECT source, max_by(stratum, (words, stratum)) AS largest, sum(quota - got) AS missed,
+         max_by(got, (words, stratum)) AS got
+  FROM g GROUP BY source
+)
+SELECT doc_id, size, source_size, target,
+       CAST((whole + CASE WHEN size > 0 AND middle <= CASE WHEN stratum = largest THEN got + missed ELSE quota END
+                     THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
+FROM q JOIN line ON q.source IS NOT DISTINCT FROM line.source
+"""
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _spans(table: str, rank: int, pattern: str, when: str = "true") -> str:
+    """Spans of a pattern: positions are the lengths of the pieces and matches before."""
+    p = _text(pattern)
+    return f"""
+  SELECT doc_id, rank, CAST(start AS BIGINT) AS start, CAST(start + length(found) AS BIGINT) AS stop FROM (
+    SELECT doc_id, {rank} AS rank, found,
+           sum(length(piece) + coalesce(length(before), 0)) OVER (PARTITION BY row ORDER BY pos) AS start
+    FROM (SELECT *, lag(found) OVER (PARTITION BY row ORDER BY pos) AS before FROM (
+      SELECT doc_id, row, unnest(range(len(founds))) AS pos, unnest(founds) AS found, unnest(pieces[1:len(founds)]) AS piece
+      FROM (SELECT doc_id, row, regexp_extract_all(text, {p}) AS founds, string_split_regex(text, {p}) AS pieces FROM {table})
+    ))
+  ) WHERE {when}"""
+
+
+_S = secrets
+_MIXED = "regexp_matches(found, '[0-9]') AND regexp_matches(found, '[a-z]') AND regexp_matches(found, '[A-Z]')"
+SQL["op9_linked_secrets"] = f"""
+WITH t AS (SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS text FROM documents),
+every AS (
+  {_spans("t", 0, _S.ASSIGN, f"length(regexp_extract(found, {_text(_S.ASSIGN)}, 1)) >= {_S.SHORTEST}")}
+  UNION ALL {_spans("t", 1, _S.ACCESS)}
+  UNION ALL {_spans("t", 2, _S.HEX)}
+  UNION ALL {_spans("t", 3, _S.WEAK_ID)}
+  UNION ALL {_spans("t", 4, _S.WEAK_SECRET)}
+  UNION ALL {_spans("t", 5, _S.ENDPOINT)}
+  UNION ALL {_spans("t", 6, _S.BARE, _MIXED)}
+), tiered AS (
+  SELECT *, CASE WHEN rank < 3 THEN 0 WHEN rank < 6 THEN 1 ELSE 2 END AS tier,
+         CASE WHEN rank IN (1, 3) THEN 'id' WHEN rank = 5 THEN 'endpoint' ELSE 'secret' END AS role
+  FROM every
+), part AS (
+  SELECT * FROM tiered p WHERE NOT EXISTS (
+    SELECT 1 FROM tiered o WHERE o.doc_id = p.doc_id AND o.tier < p.tier AND o.start < p.stop AND o.stop > p.start)
+), confirmed AS (
+  SELECT p.doc_id, p.rank, p.start, p.stop FROM part p JOIN part o
+  ON p.doc_id = o.doc_id AND p.role <> o.role AND o.start < p.stop + {_S.SCOPE} AND o.stop > p.start - {_S.SCOPE}
+  WHERE p.rank >= 3
+  GROUP BY p.doc_id, p.rank, p.start, p.stop, p.role
+  HAVING CASE p.role WHEN 'secret' THEN bool_or(o.role IN ('id', 'endpoint')) WHEN 'id' THEN bool_or(o.role = 'secret')
+         ELSE bool_or(o.role = 'id') AND bool_or(o.role = 'secret') END
+), listed AS (
+  SELECT doc_id, rank, start, ['{"', '".join(_S.KINDS)}'][rank + 1] || ':' || start || ':' || stop AS span, stop
+  FROM (SELECT doc_id, rank, start, stop FROM every WHERE rank < 3 UNION ALL SELECT * FROM confirmed)
+), joined AS (
+  SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+         count(*) FILTER (rank = 2) AS n_hex,
+         string_agg(span, ',' ORDER BY start, rank, stop) FILTER (rank < 3) AS base,
+         string_agg(span, ',' ORDER BY start, rank, stop) AS spans
+  FROM listed GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN joined USING (doc_id)
+"""
+
+
+def _rule_rows() -> str:
+    return ",\n".join(
+        f"({n}, '{label}', '{keyword}', {priority}, CAST({confidence} AS DOUBLE), {_text(expression)})"
+        for n, label, keyword, priority, confidence, expression in licenses.rules()
+    )
+
+
+_PHRASES = ", ".join(f"('{' ' + p.replace(' ', '  ') + ' '}', '{label}', {len(p.split())})" for p, label in licenses.PHRASES.items())
+_COUNT = "CAST((length({0}) - length(replace({0}, ' ', ''))) / 2 AS BIGINT)"
+SQL["op10_license_rules"] = rf"""
+WITH n AS (
+  SELECT doc_id, row_number() OVER () AS row, trim(regexp_replace(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', '  ', 'g')) AS words FROM documents
+), t AS (SELECT doc_id, row, CASE WHEN words = '' THEN '' ELSE ' ' || words || ' ' END AS text FROM n),
+phrase(expression, label, long) AS (VALUES {_PHRASES}),
+rule(rule, label, keyword, priority, confidence, expression) AS (VALUES {_rule_rows()}),
+p AS (
+  SELECT t.doc_id, t.row, phrase.label, long, string_split(t.text, expression) AS pieces, t.text
+  FROM t JOIN phrase ON contains(t.text, expression)
+), place AS (
+  SELECT row, sum(len(pieces) - 1) AS n_base, list_sort(list(DISTINCT label)) AS base_labels,
+         min({_COUNT.format("pieces[1]")}) AS first_word,
+         max({_COUNT.format("text")} - {_COUNT.format("pieces[-1]")} - long) AS last_word
+  FROM p GROUP BY row
+), hit AS (
+  SELECT t.row, rule, label, priority, confidence, regexp_extract_all(t.text, expression) AS founds,
+         string_split_regex(t.text, expression) AS pieces
+  FROM t JOIN rule ON contains(t.text, ' ' || keyword || ' ') AND regexp_matches(t.text, expression)
+), piece AS (
+  SELECT row, rule, label, priority, confidence, unnest(range(len(founds))) AS pos, unnest(founds) AS found,
+         unnest(pieces[1:len(founds)]) AS piece
+  FROM hit
+), span AS (
+  SELECT row, rule, label, priority, confidence, {_COUNT.format("found")} AS long,
+         sum({_COUNT.format("piece")} + {_COUNT.format("found")}) OVER (PARTITION BY row, rule ORDER BY pos) AS stop
+  FROM piece
+), kept AS (
+  SELECT * FROM span s WHERE NOT EXISTS (
+    SELECT 1 FROM span o WHERE o.row = s.row AND o.priority >= s.priority
+      AND o.stop - o.long <= s.stop - s.long AND o.stop >= s.stop
+      AND (o.long > s.long OR o.priority > s.priority OR o.rule < s.rule))
+), ruled AS (SELECT row, list(DISTINCT label) AS labels, max(confidence) AS score FROM kept GROUP BY row)
+SELECT t.doc_id, {_COUNT.format("t.text")} AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       first_word, last_word, array_to_string(coalesce(base_labels, []), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base_labels, []), coalesce(ruled.labels, [])))), ',') AS labels,
+       greatest(CASE WHEN n_base > 0 THEN 0.7 ELSE 0.0 END::DOUBLE, coalesce(score, 0.0::DOUBLE)) AS score
+FROM t LEFT JOIN place USING (row) LEFT JOIN ruled USING (row)
+"""
