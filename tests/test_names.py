@@ -102,10 +102,53 @@ def test_abbreviations(spark):
 
 
 def test_abbreviation_counters(spark):
-    """Names alike in base and last three characters: plain, 1, 12, 123."""
+    """Names alike in base and last three characters: plain, 1, 2, 3."""
     df = spark.range(6).select(F.concat(F.lit("s.o"), "id", F.lit("_item")).alias("name"))
     found = sorted(row[2] for row in rows(naming.abbreviate(df)))
-    assert found == ["oi", "oitem", "oitem1", "oitem12", "oitem123", "oitem1234"]
+    assert found == ["oi", "oitem", "oitem1", "oitem2", "oitem3", "oitem4"]
+
+
+def test_abbreviations_are_unique_over_bases_and_against_those_in_use(spark):
+    names = ["p.a_b1cde", "p.a_b_c_d_e", "p.q_r", "p.o_i1", "q.o_i1", "r.o_i1", "s.o_i1_x"] + [
+        f"t{i}.o_item" for i in range(30)
+    ]
+    df = spark.createDataFrame([(n,) for n in names] + [(None,)], "name string")
+    used = spark.createDataFrame([("qr",), ("oitem",), ("oitem3",), ("oi",)], "abbreviation string")
+    result = {name: short for name, _, short in rows(naming.abbreviate(df, existing=used))}
+    assert set(result) == set(names) and len(set(result.values())) == len(names)
+    assert not set(result.values()) & {"qr", "oitem", "oitem3", "oi"}
+    assert {result["p.a_b1cde"], result["p.a_b_c_d_e"]} & {"abcde", "ab"}
+
+
+def test_many_ties_give_linear_text(spark):
+    df = spark.range(6000).select(F.concat(F.lit("s.o"), "id", F.lit("_item")).alias("name"))
+    result = naming.abbreviate(df)
+    total, short, distinct = result.agg(
+        F.sum(F.length("abbreviation")), F.max(F.length("abbreviation")), F.count_distinct("abbreviation")
+    ).first()
+    assert distinct == 6000 and short <= 9 and total < 60_000
+
+
+def test_long_names_are_abbreviated_whole(spark):
+    df = spark.createDataFrame([("a_" * 700_000,)], "name string")
+    assert len(df.select(text.abbreviation_base(F.col("name")).alias("b")).first()["b"]) == 699_999
+
+
+def test_slug_match_of_many_lengths(spark):
+    import random
+
+    draw = random.Random(3)
+    word = lambda n: "".join(draw.choice("abC") for _ in range(n))
+    needles, names = [word(draw.randrange(9)) for _ in range(60)], [word(draw.randrange(40)) for _ in range(80)]
+    found = naming.slug_match(
+        spark.createDataFrame([(n,) for n in needles] + [(None,)], "slug string"),
+        spark.createDataFrame([(n,) for n in names] + [(None,)], "folder string"),
+        "slug",
+        "folder",
+    )
+    for slug, folder, matches in found.filter("slug IS NOT NULL").collect():
+        hits = {n for n in names if slug.lower() in n.lower()}
+        assert (folder, matches) == (min(hits, default=None), len(hits))
 
 
 def test_rank_of_a_hot_group(spark):
@@ -187,6 +230,23 @@ def test_region_cutoffs_follow_summer_time(spark):
     assert found[3] == datetime.datetime(2024, 6, 30, 15)
 
 
+def test_regions_without_a_zone_stay(spark):
+    df = spark.createDataFrame([(1,), (6,), (None,)], "region_id int")
+    found = dict(rows(dates.region_cutoff(df, "2024/07/01 00:00:00").select("region_id", "cutoff")))
+    assert len(found) == 3 and found[6] is None and found[None] is None
+    zones = spark.createDataFrame([(6, "UTC")], "region_id int, zone string")
+    own = dict(rows(dates.region_cutoff(df, "2024/07/01 00:00:00", zones=zones).select("region_id", "cutoff")))
+    assert own[6] == datetime.datetime(2024, 7, 1) and own[1] is None
+
+
+def test_json_merge_of_absent_sides(spark):
+    merged = nested.json_merge(F.col("a"), F.col("b"))
+    assert one(spark, merged, a='{"k":1}', b=None) == '{"k":1}'
+    assert one(spark, merged, a='{"k":1}', b="oops") == '{"k":1}'
+    assert one(spark, merged, a=None, b='{"k":1}') == '{"k":1}'
+    assert one(spark, merged, a="oops", b=None) == "oops"
+
+
 def test_split_list(spark):
     assert one(spark, text.split_list(F.col("v"), "int"), v=" 1, 2 ,3") == [1, 2, 3]
     assert text.split_names(" a, ,b ") == ["a", "b"]

@@ -9,9 +9,6 @@ from twinledger.operators import counts, recon
 from twinledger.operators.scope import FULL, changed_since, snapshot
 from twinledger.suite import QUERIES
 
-# Writes while it is built, so its plan is only the reading half.
-WRITERS = {"write_report", "append_rows", "definition_scan", "standardise_profiles"}
-
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -44,11 +41,26 @@ def test_no_pairs_no_python(spark, small, name):
         assert bad not in text
 
 
-def test_rollup_is_three_exchanges_and_no_join(sides):
-    text = plan(reconcile(*sides, "k", scope=FULL).rollup)
-    assert "Join" not in text
-    assert exchanges(text) == 3
-    assert text.count("FileScan") == 2
+def test_rollup_has_one_exchange_of_rows(sides):
+    """Rows meet by key once; the branch for repeated, differing keys gets none."""
+    df = reconcile(*sides, "k", scope=FULL).rollup
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert "Join" not in final and "_hash" not in final
+    assert exchanges(final) == 2 and final.count("FileScan") == 2
+
+
+@pytest.mark.parametrize("n", [10, 5000])
+def test_samples_are_cut_in_each_task(sides, n):
+    text = plan(recon.mismatch_samples(reconcile(*sides, "k", scope=FULL).rows, n))
+    assert text.count("TakeOrderedAndProject") >= 3 and "Window" not in text
+
+
+def test_keys_alone_answer_what_needs_no_fingerprint(sides):
+    result = reconcile(*sides, "k", scope=FULL)
+    for df in (result.duplicate_keys, result.samples("MISSING FROM TEST"), result.samples("MISSING FROM PROD")):
+        text = plan(df)
+        assert "md5" not in text and "ReadSchema: struct<k:bigint>" in text and "v:string" not in text
 
 
 def test_scope_and_columns_reach_the_scan(sides):
@@ -75,12 +87,12 @@ def test_report_reads_each_side_twice(sides):
     df = reconcile(*sides, "k", scope=snapshot("2024/01/05")).report()
     df.collect()
     text = plan(df).split("Initial Plan")[0]
-    assert text.count("FileScan") == 4
     assert "ReusedExchange" in text
-    assert "WindowGroupLimit" in text
+    assert "TakeOrderedAndProject" in text
 
 
-def test_difference_is_one_grouping(sides):
+def test_difference_is_one_grouping_of_fingerprints(sides):
     text = plan(recon.symmetric_difference(*sides, ["k", "v"]))
+    assert "hashpartitioning(_hash" in text
     assert "Join" not in text
     assert exchanges(text) == 2

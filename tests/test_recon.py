@@ -1,6 +1,7 @@
 """The reconciliation against a join done by hand, and its quirks."""
 
 import random
+import json
 from collections import Counter
 from decimal import Decimal
 
@@ -64,7 +65,7 @@ def test_same_as_join(spark, monkeypatch, seed, small):
     assert {flag: int(n) for flag, n in rows(result.rollup)} == dict(rollup)
     report = result.report().collect()
     for flag in recon.MISMATCHES:
-        items = [",".join("" if x is None else str(x) for x in key[:2]) for key in first(expected, flag)]
+        items = [json.dumps(dict(zip(("k1", "k2"), key)), separators=(",", ":")) for key in first(expected, flag)]
         assert sorted(r["item"] for r in report if r["section"] == f"sample {flag}") == sorted(items)
 
 
@@ -244,3 +245,42 @@ def test_symmetric_difference_is_multiset(spark):
     left, right = one.exceptAll(two).count(), two.exceptAll(one).count()
     assert rows(result) == [(left, right)] == [(3, 2)]
     assert rows(recon.symmetric_difference(one, one, ["k", "a"])) == [(0, 0)]
+
+
+def flags_of(one, two, keys="k"):
+    return {row["dq_flag"]: int(row["row_count"]) for row in reconcile(one, two, keys).rollup.collect()}
+
+
+def test_equal_nested_values_match(spark):
+    one = spark.sql("select 1 k, array(map('a', 1, 'b', 2)) m, map('x', map('p', 1, 'q', 2)) n, named_struct('d', 0.0D, 'e', array(0.0D)) s, 0.0D z")
+    two = spark.sql("select 1 k, array(map('b', 2, 'a', 1)) m, map('x', map('q', 2, 'p', 1)) n, named_struct('d', -0.0D, 'e', array(-0.0D)) s, -0.0D z")
+    other = spark.sql("select 1 k, array(map('b', 2, 'a', 9)) m, map('x', map('q', 2, 'p', 1)) n, named_struct('d', 0.0D, 'e', array(0.0D)) s, 0.0D z")
+    assert flags_of(one, two) == {"MATCHING": 1}
+    assert flags_of(one, other) == {"NOT MATCHING": 1}
+
+
+def test_names_with_dots(spark):
+    one = spark.sql("select 1 `k.k`, 2 `a.b`, 3 `c``d`")
+    two = spark.sql("select 1 `k.k`, 5 `a.b`, 3 `c``d`")
+    result = reconcile(one, two, "k.k")
+    assert [r["dq_flag"] for r in result.rows.collect()] == ["NOT MATCHING"]
+    assert result.samples("NOT MATCHING").count() == 1 and result.duplicate_keys.count() == 2
+    assert result.report().filter("section = 'sample NOT MATCHING'").first()["item"] == '{"k.k":1}'
+
+
+def test_hot_keys_with_differing_rows(spark):
+    one = spark.range(2000).selectExpr("if(id % 3 = 0, 7, id + 100) as k", "id % 5 as v")
+    two = spark.range(2000).selectExpr("if(id % 3 = 0, 7, id + 100) as k", "id % 4 as v")
+    joined = one.alias("p").join(two.alias("t"), "k", "full_outer")
+    flag = F.when(F.col("p.v").isNull(), "MISSING FROM PROD").when(F.col("t.v").isNull(), "MISSING FROM TEST").when(F.expr("p.v <> t.v"), "NOT MATCHING").otherwise("MATCHING")
+    assert flags_of(one, two) == {r[0]: r[1] for r in joined.groupBy(flag).count().collect()}
+
+
+def test_samples_beyond_a_thousand(spark):
+    one = spark.range(5000).selectExpr("id as k", "'a' as v")
+    two = spark.range(5000).selectExpr("id as k", "'b' as v")
+    result = reconcile(one, two, "k")
+    rows_of = recon.mismatch_samples(result.rows, 3000)
+    assert rows_of.count() == 3000
+    text = rows_of._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in text and "Window" not in text

@@ -52,14 +52,18 @@ def region_zones(df: DataFrame) -> DataFrame:
     )
 
 
-def region_cutoff(df: DataFrame, end_of_day: str, region: str = "region_id") -> DataFrame:
+def region_cutoff(
+    df: DataFrame, end_of_day: str, region: str = "region_id", zones: DataFrame | None = None
+) -> DataFrame:
     """Add ``cutoff``: the end of day on each region's own clock, in UTC.
 
-    The dimension has five rows by construction, so it is broadcast.
+    ``zones`` has ``region_id`` and ``zone``, one row a region; without it the
+    fixed zones serve. A row whose region is NULL or has no zone stays, with a
+    NULL cutoff.
     """
     local = parse_end_of_day(F.lit(end_of_day))
-    zones = region_zones(df).select(
+    known = (region_zones(df) if zones is None else zones).select(
         F.col("region_id").alias(region),
         F.convert_timezone(F.col("zone"), F.lit("UTC"), local).alias("cutoff"),
     )
-    return df.join(F.broadcast(zones), region)
+    return df.join(known, region, "left")

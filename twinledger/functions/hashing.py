@@ -13,6 +13,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from twinledger.functions.columns import named
+
 # Columns that never take part in a fingerprint.
 AUDIT_COLUMNS = ("dw_last_updated", "snapshot_day", "dw_creation_date")
 
@@ -50,17 +52,45 @@ def with_sentinel(column: Column, dtype: T.DataType) -> Column:
     return F.coalesce(as_text(column, dtype), F.lit(TEXT_SENTINEL))
 
 
+def _by_key(one: Column, other: Column) -> Column:
+    return F.when(one["key"] < other["key"], -1).when(one["key"] > other["key"], 1).otherwise(0)
+
+
+def normal(column: Column, dtype: T.DataType) -> Column:
+    """``column`` in the one form that all equal values share, at any depth.
+
+    Maps become their entries in key order, negative zero becomes zero.
+    """
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return F.when(column == 0, F.lit(0).cast(dtype)).otherwise(column)
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(column, lambda item: normal(item, dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        fields = [normal(column.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(column.isNotNull(), F.struct(*fields)) if fields else column
+    if isinstance(dtype, T.MapType):
+        entries = F.transform(
+            F.map_entries(column),
+            lambda entry: F.struct(
+                normal(entry["key"], dtype.keyType).alias("key"),
+                normal(entry["value"], dtype.valueType).alias("value"),
+            ),
+        )
+        return F.array_sort(entries, _by_key)
+    return column
+
+
 def as_text(column: Column, dtype: T.DataType) -> Column:
-    """One text per value; nested values become JSON, map entries in key order."""
+    """One text per value, equal for equal values; nested values become JSON."""
     if isinstance(dtype, T.StringType):
         return column
     if isinstance(dtype, T.BinaryType):
         return F.hex(column)
     if isinstance(dtype, T.MapType):
-        return F.to_json(F.array_sort(F.map_entries(column)))
+        return F.to_json(normal(column, dtype))
     if isinstance(dtype, (T.ArrayType, T.StructType)):
-        return F.to_json(column, {"ignoreNullFields": "false"})
-    return column.cast("string")
+        return F.to_json(normal(column, dtype), {"ignoreNullFields": "false"})
+    return normal(column, dtype).cast("string")
 
 
 def compat_text(column: Column, dtype: T.DataType) -> Column:
@@ -86,7 +116,12 @@ def row_hash(df: DataFrame, columns: Iterable[str], mode: str = "safe") -> Colum
     if not chosen:
         raise ValueError("no column is left to fingerprint")
     if mode == "compat":
-        parts = [compat_text(df[name], types[name.lower()]) for name in chosen]
+        parts = [compat_text(named(name), types[name.lower()]) for name in chosen]
         return F.md5(F.concat(*parts))
-    parts = [safe_text(df[name], types[name.lower()]) for name in chosen]
-    return F.md5(F.concat_ws("|", *parts))
+    return all_hash(df, chosen)
+
+
+def all_hash(df: DataFrame, columns: Iterable[str]) -> Column:
+    """The safe fingerprint over all of ``columns``, audit columns too."""
+    types = {field.name.lower(): field.dataType for field in df.schema.fields}
+    return F.md5(F.concat_ws("|", *[safe_text(named(name), types[name.lower()]) for name in columns]))

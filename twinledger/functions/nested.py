@@ -12,15 +12,20 @@ OBJECT = "map<string, variant>"
 def json_merge(base: Column, update: Column) -> Column:
     """Shallow merge of two JSON objects; the update's keys win.
 
-    Values stay variants on the way, so numbers, texts and nested values come
-    out as they went in. Keys keep the base's order, new ones follow.
+    Values stay variants on the way: texts and nested values come out as they
+    went in, numbers in their shortest form (``1.50`` as ``1.5``). Keys keep the
+    base's order, new ones follow. A side that is NULL or no JSON object adds
+    nothing; if neither is one, the base comes back as it is.
     """
-    old, new = F.from_json(base, OBJECT), F.from_json(update, OBJECT)
+    read_old, read_new = F.from_json(base, OBJECT), F.from_json(update, OBJECT)
+    nothing = F.create_map().cast(OBJECT)
+    old, new = F.coalesce(read_old, nothing), F.coalesce(read_new, nothing)
     kept = F.transform_values(
         old, lambda key, value: F.when(F.map_contains_key(new, key), new[key]).otherwise(value)
     )
     added = F.map_filter(new, lambda key, value: ~F.map_contains_key(old, key))
-    return F.to_json(F.map_concat(kept, added))
+    merged = F.to_json(F.map_concat(kept, added))
+    return F.when(read_old.isNull() & read_new.isNull(), base).otherwise(merged)
 
 
 def array_add_unique(items: Column, item: Column) -> Column:

@@ -88,6 +88,12 @@ def rebuild_text(description: Column, folder: Column, token: str = STAGE_TOKEN)
     )
 
 
+def file_path() -> Column:
+    """The path of a row's file as it is named, without percent codes."""
+    # url_decode takes a plus for a blank, which it is not in a path
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def folder_of(path: Column) -> Column:
     """The last part of a path but for its extension."""
     return F.element_at(F.split(path, "[/.]"), -2)
@@ -134,7 +140,7 @@ def fits_length(value: Column, limit: int = DESCRIPTION_LIMIT) -> Column:
 def abbreviation_base(name: Column) -> Column:
     """First letter of each ``.`` or ``_`` part, without the first letter."""
     letters = F.transform(F.split(name, "[._]"), lambda part: F.substring(part, 1, 1))
-    return F.substring(F.array_join(letters, ""), 2, 1 << 20)
+    return F.substr(F.array_join(letters, ""), F.lit(2))
 
 
 def line_value(text: Column, label: str) -> Column:

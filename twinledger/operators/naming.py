@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from twinledger.functions.text import TOKEN_MARK, abbreviation_base, has_token
 
-RANK_BUCKET_DIGITS = 3
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -62,11 +60,15 @@ def rank_in_group(df: DataFrame, group: Sequence[str], name: str, rank: str) ->
     """Number the distinct ``name`` values of each group by their MD5.
 
     A window over the group would put a hot group into one task. The MD5 cuts
-    each group into 4096 buckets in rank order: rows are numbered within their
-    bucket and the sizes of the earlier buckets are added.
+    each group into buckets in rank order: rows are numbered within their bucket
+    and the sizes of the earlier buckets are added. There are about as many
+    buckets as the square root of the rows, so that neither a bucket nor a
+    group's list of buckets grows with more than that.
     """
+    digits = F.ceil(F.log2(F.count(F.lit(1)) + 1) / 8).cast("int")
+    digits = df.agg(F.greatest(digits, F.lit(1))).scalar()
     hashed = df.withColumn("_order", F.md5(name)).withColumn(
-        "_bucket", F.substring("_order", 1, RANK_BUCKET_DIGITS)
+        "_bucket", F.substring("_order", 1, digits)
     )
     cells = [*group, "_bucket"]
     earlier = (
@@ -89,56 +91,92 @@ def rank_in_group(df: DataFrame, group: Sequence[str], name: str, rank: str) ->
     )
 
 
-def abbreviate(names: DataFrame, name: str = "name") -> DataFrame:
-    """(``name``, ``base``, ``abbreviation``) for every distinct name.
+def _settled(
+    proposed: DataFrame, taken: DataFrame, name: str
+) -> tuple[DataFrame, DataFrame]:
+    """Proposals that are free and first of their text, and the others.
 
-    The first name of a base gets the base, later ones the base and their own
-    last three characters. Among equal results the second gets ``1``, the third
-    ``12`` and so on. First and later go by MD5, a fixed order that does not
-    depend on how the names arrive. NULL is no name.
+    ``_place`` counts the names of one text from 1, or from 2 where the text itself
+    is free and the first has it.
     """
-    present = names.select(F.col(name)).filter(F.col(name).isNotNull())
-    distinct = present.distinct().withColumn("base", abbreviation_base(F.col(name)))
-    ranked = rank_in_group(distinct, ["base"], name, "_rank")
-    first = ranked.filter(F.col("_rank") == 1).select(
-        name, "base", F.col("base").alias("abbreviation")
+    ranked = rank_in_group(proposed, ["_text"], name, "_rank")
+    marked = ranked.join(
+        taken.select(F.col("abbreviation").alias("_text")).distinct().withColumn("_used", F.lit(True)),
+        "_text",
+        "left",
     )
-    later = ranked.filter(F.col("_rank") > 1).select(
-        name, "base", F.concat("base", F.right(name, F.lit(3))).alias("_longer")
+    free = F.col("_used").isNull()
+    won = marked.filter(free & (F.col("_rank") == 1))
+    lost = marked.filter(~(free & (F.col("_rank") == 1))).withColumn(
+        "_place", F.when(free, F.col("_rank") - 1).otherwise(F.col("_rank"))
     )
-    ties = rank_in_group(later, ["base", "_longer"], name, "_tie")
-    counter = F.when(
-        F.col("_tie") > 1, F.array_join(F.sequence(F.lit(1).cast("bigint"), F.col("_tie") - 1), "")
-    ).otherwise("")
-    return first.unionByName(
-        ties.select(name, "base", F.concat("_longer", counter).alias("abbreviation"))
+    return won.select(name, "base", F.col("_text").alias("abbreviation")), lost.select(
+        name, "base", "_text", "_place"
     )
 
 
+def abbreviate(
+    names: DataFrame, name: str = "name", existing: DataFrame | None = None
+) -> DataFrame:
+    """(``name``, ``base``, ``abbreviation``) for every distinct name, all different.
+
+    The first name of a base is given the base, later ones the base and their own
+    last three characters. Of names that are given the same text, whatever their
+    base, the first keeps it, unless it is among the ``abbreviation`` values of
+    ``existing``; the others get it with their number, and where that is
+    taken too, with the MD5 of the name. First and later go by MD5, a fixed order
+    that does not depend on how the names arrive. NULL is no name.
+    """
+    present = names.select(F.col(name)).filter(F.col(name).isNotNull())
+    distinct = present.distinct().withColumn("base", abbreviation_base(F.col(name)))
+    if existing is None:
+        existing = names.sparkSession.createDataFrame([], "abbreviation string")
+    used = existing.select("abbreviation")
+    ranked = rank_in_group(distinct, ["base"], name, "_rank")
+    longer = F.concat("base", F.right(name, F.lit(3)))
+    first = F.when(F.col("_rank") == 1, F.col("base")).otherwise(longer)
+    given, rest = _settled(ranked.select(name, "base", first.alias("_text")), used, name)
+    counted = rest.select(name, "base", F.concat("_text", F.col("_place").cast("string")).alias("_text"))
+    numbered, rest = _settled(counted, used.unionByName(given.select("abbreviation")), name)
+    hashed = rest.select(name, "base", F.concat("_text", F.lit("-"), F.md5(name)).alias("abbreviation"))
+    return given.unionByName(numbered).unionByName(hashed)
+
+
 def slug_match(needles: DataFrame, names: DataFrame, needle: str, name: str) -> DataFrame:
     """For each needle the first name (by text) that contains it, and how many do.
 
-    Containment is made an equality: names are cut into their pieces of the
-    lengths that needles have, and pieces that are no needle are dropped by a
-    semi join. What is left are true hits only; no pair of needle and name is
-    tried. Letter case does not count.
+    Containment starts from an equality: a needle is keyed by its longest prefix
+    whose length is a power of two, names are cut into their pieces of those
+    lengths, of which there are few however many needles there are, and pieces
+    that are no key are dropped by a semi join. What meets is then
+    verified. Letter case does not count.
     """
-    wanted = needles.select(needle, F.lower(needle).alias("_piece")).distinct()
-    lengths = wanted.agg(F.collect_set(F.length("_piece")).alias("_lengths")).scalar()
-    last = F.length("_text") - F.col("_size") + 1
+    wanted = needles.select(needle, F.lower(needle).alias("_needle")).distinct()
+    size = F.length("_needle")
+    power = F.pow(F.lit(2), F.floor(F.log2(F.greatest(size, F.lit(1))))).cast("int")
+    keyed = (
+        wanted.select("_needle")
+        .filter(F.col("_needle").isNotNull())
+        .distinct()
+        .withColumn("_piece", F.substring("_needle", F.lit(1), F.least(size, power)))
+    )
+    lengths = keyed.agg(F.collect_set(F.length("_piece")).alias("_lengths")).scalar()
+    last = F.when(F.col("_size") == 0, 1).otherwise(F.length("_text") - F.col("_size") + 1)
     pieces = (
         names.select(name, F.lower(name).alias("_text"))
         .select(name, "_text", F.explode(lengths).alias("_size"))
         .filter(last >= 1)
         .select(name, "_text", "_size", F.explode(F.sequence(F.lit(1), last)).alias("_at"))
-        .select(name, F.substring("_text", F.col("_at"), F.col("_size")).alias("_piece"))
+        .select(name, "_text", F.substring("_text", F.col("_at"), F.col("_size")).alias("_piece"))
     )
     found = (
-        pieces.join(wanted.select("_piece").distinct(), "_piece", "left_semi")
+        pieces.join(keyed.select("_piece").distinct(), "_piece", "left_semi")
         .distinct()
-        .groupBy("_piece")
-        .agg(F.min(name).alias(name), F.count(F.lit(1)).alias("matches"))
+        .join(keyed, "_piece")
+        .filter(F.contains("_text", "_needle"))
+        .groupBy("_needle")
+        .agg(F.min(name).alias(name), F.count_distinct(F.col(name)).alias("matches"))
     )
-    return wanted.join(found, "_piece", "left").select(
+    return wanted.join(found, "_needle", "left").select(
         needle, name, F.coalesce("matches", F.lit(0).cast("bigint")).alias("matches")
     )

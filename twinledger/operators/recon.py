@@ -2,16 +2,21 @@
 
 The result of that join is only ever read as join keys plus a flag, and a key
 with ``p`` rows on one side and ``t`` on the other gives ``p * t`` rows that
-differ in nothing but the flag. So the join is not run as a join. Both sides
-are counted per (keys, fingerprint), the counts are added up per key, and the
-number of matching and differing pairs follows from them:
-
-* pairs = p * t, matching pairs = the sum over fingerprints of p_h * t_h;
+differ in nothing but the flag. So the join is not run as a join:
+
+* both sides are folded to one row per key: the rows of each side and the
+  smallest and largest fingerprint, all of fixed size and combined before the
+  one shuffle that is as large as the rows;
+* that settles every key that one side lacks, every key with one fingerprint
+  (matching pairs = p * t) and every key with one row a side;
+* keys with repeated rows and several fingerprints go on to be counted per
+  (key, fingerprint): matching pairs = the sum over fingerprints of p_h * t_h.
+  Where there are none, that branch reads no row;
 * a key with NULL in it matches nothing, as in a join.
 
-Both groupings combine before they shuffle, so a key that holds a third of all
-rows costs a task no more than any other, and no pair is ever built. What goes
-over the wire is keys and 16 bytes of fingerprint, then keys and counts.
+No pair is ever built. A key that holds a third of all rows is combined like
+any other; if its rows differ, a join that Spark can split brings them to a
+second count that combines again.
 
 Pair counts are ``decimal(38,0)``: a hot key may well exceed a bigint. The
 products that fit are computed as bigints, which is all of them for ordinary
@@ -21,10 +26,12 @@ keys.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from twinledger.functions.hashing import row_hash
+from twinledger.functions.columns import all_named, named
+from twinledger.functions.hashing import all_hash, row_hash
 from twinledger.operators.counts import BASELINE_ENV, CANDIDATE_ENV
 
 # The flags, in the order they are tested.
@@ -46,25 +53,36 @@ def fingerprint(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], mode: str = "safe"
 ) -> DataFrame:
     """``keys`` and ``md5_col`` over ``columns``; nothing else is read."""
-    return df.select(*keys, row_hash(df, columns, mode).alias("md5_col"))
+    return df.select(*all_named(keys), row_hash(df, columns, mode).alias("md5_col"))
+
+
+def _sided(df: DataFrame, keys: Sequence[str], p: int, t: int, *more: Column) -> DataFrame:
+    return df.select(
+        *all_named(keys),
+        F.lit(p).cast("bigint").alias("_p"),
+        F.lit(t).cast("bigint").alias("_t"),
+        *more,
+    )
 
 
 def hash_counts(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows per side for each (keys, fingerprint); fingerprints as bytes."""
+    mark = F.unhex("md5_col").alias("_hash")
+    return (
+        _sided(baseline, keys, 1, 0, mark)
+        .unionByName(_sided(candidate, keys, 0, 1, mark))
+        .groupBy(*all_named(keys), "_hash")
+        .agg(F.sum("_p").alias("_p"), F.sum("_t").alias("_t"))
+    )
 
-    def side(df: DataFrame, p: int, t: int) -> DataFrame:
-        return df.select(
-            *keys,
-            F.unhex("md5_col").alias("_hash"),
-            F.lit(p).cast("bigint").alias("_p"),
-            F.lit(t).cast("bigint").alias("_t"),
-        )
 
+def key_rows(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key with the rows of each side; reads the keys only."""
     return (
-        side(baseline, 1, 0)
-        .unionByName(side(candidate, 0, 1))
-        .groupBy(*keys, "_hash")
-        .agg(F.sum("_p").alias("_p"), F.sum("_t").alias("_t"))
+        _sided(baseline, keys, 1, 0)
+        .unionByName(_sided(candidate, keys, 0, 1))
+        .groupBy(*all_named(keys))
+        .agg(F.sum("_p").alias("prod_rows"), F.sum("_t").alias("test_rows"))
     )
 
 
@@ -83,10 +101,40 @@ def _whole(small: Column, large: Column) -> Column:
 
 def key_counts(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key: rows on each side and matching pairs in two parts."""
+    halves = [F.xxhash64("md5_col", F.lit(half)).alias(f"_h{half}") for half in (1, 2)]
+    ends = [
+        end(f"_h{half}").alias(f"_{name}{half}")
+        for half in (1, 2)
+        for name, end in (("low", F.min), ("high", F.max))
+    ]
+    state = (
+        _sided(baseline, keys, 1, 0, *halves)
+        .unionByName(_sided(candidate, keys, 0, 1, *halves))
+        .groupBy(*all_named(keys))
+        .agg(F.sum("_p").alias("prod_rows"), F.sum("_t").alias("test_rows"), *ends)
+    )
+    p, t = F.col("prod_rows"), F.col("test_rows")
+    one = (F.col("_low1") == F.col("_high1")) & (F.col("_low2") == F.col("_high2"))
+    both = _no_null(keys) & (p > 0) & (t > 0)
+    open_keys = both & ~one & ((p > 1) | (t > 1))
+    small, large = _product(p, t)
+    settled = state.filter(~open_keys).select(
+        *all_named(keys),
+        "prod_rows",
+        "test_rows",
+        F.when(one, small).alias("_match_small"),
+        F.when(one, large).alias("_match_large"),
+    )
+    left = state.filter(open_keys)
+    any_left = left.agg(F.count(F.lit(1)) > 0).scalar()
+    again = [
+        side.filter(any_left).join(left.select(*all_named(keys)), list(keys), "left_semi")
+        for side in (baseline, candidate)
+    ]
     small, large = _product(F.col("_p"), F.col("_t"))
-    return (
-        hash_counts(baseline, candidate, keys)
-        .groupBy(*keys)
+    counted = (
+        hash_counts(*again, keys)
+        .groupBy(*all_named(keys))
         .agg(
             F.sum("_p").alias("prod_rows"),
             F.sum("_t").alias("test_rows"),
@@ -94,12 +142,13 @@ def key_counts(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -
             F.sum(large).alias("_match_large"),
         )
     )
+    return settled.unionByName(counted)
 
 
 def _no_null(keys: Sequence[str]) -> Column:
     condition = F.lit(True)
     for key in keys:
-        condition = condition & F.col(key).isNotNull()
+        condition = condition & named(key).isNotNull()
     return condition
 
 
@@ -110,7 +159,7 @@ def _pairs(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     matched = _whole(F.col("_match_small"), F.col("_match_large"))
     zero = F.lit(0).cast(WIDE)
     return counts.select(
-        *keys,
+        *all_named(keys),
         "prod_rows",
         "test_rows",
         F.when(both, matched).otherwise(zero).alias("matching_pairs"),
@@ -132,9 +181,16 @@ def flag_rows(
     """(keys, ``dq_flag``, ``row_count``): every joined row, equal ones counted.
 
     Without MATCHING among the ``flags``, keys with one matching row a side,
-    which is most of them, are dropped before anything is made of them.
+    which is most of them, are dropped before anything is made of them. Flags
+    of missing rows alone need no fingerprint, and none is computed.
     """
-    counts = key_counts(baseline, candidate, keys)
+    if set(flags) <= {MISSING_FROM_PROD, MISSING_FROM_TEST}:
+        none = F.lit(None).cast("bigint")
+        counts = key_rows(baseline, candidate, keys).withColumns(
+            {"_match_small": none, "_match_large": none}
+        )
+    else:
+        counts = key_counts(baseline, candidate, keys)
     if MATCHING not in flags:
         single = (F.col("prod_rows") == 1) & (F.col("test_rows") == 1)
         same = F.coalesce(F.col("_match_small") == 1, F.lit(False))
@@ -158,8 +214,8 @@ def flag_rows(
     )
     return (
         _pairs(counts, keys)
-        .select(*keys, F.explode(entries).alias("_e"))
-        .select(*keys, "_e.dq_flag", "_e.row_count")
+        .select(*all_named(keys), F.explode(entries).alias("_e"))
+        .select(*all_named(keys), "_e.dq_flag", "_e.row_count")
         .filter(F.col("row_count") > 0)
     )
 
@@ -205,32 +261,23 @@ def _spread(rows: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     """Counted rows as single rows again, at most ``n`` of each."""
     times = F.least(F.col("row_count"), F.lit(n).cast(WIDE)).cast("int")
     copies = F.explode(F.sequence(F.lit(1), times)).alias("_copy")
-    return rows.select(*keys, "dq_flag", copies).drop("_copy")
+    return rows.select(*all_named(keys), "dq_flag", copies).drop("_copy")
 
 
 def sample_rows(rows: DataFrame, flag: str, n: int = SAMPLE_ROWS) -> DataFrame:
-    """The first ``n`` joined rows of a flag by key, equal rows repeated."""
+    """The first ``n`` joined rows of a flag by key, equal rows repeated.
+
+    An ordered limit: each task keeps ``n`` rows, whatever ``n`` is.
+    """
     keys = _sample_keys(rows)
-    order = [F.asc_nulls_first(key) for key in keys]
+    order = [named(key).asc_nulls_first() for key in keys]
     first = rows.filter(F.col("dq_flag") == flag).orderBy(*order).limit(n)
     return _spread(first, keys, n).orderBy(*order).limit(n)
 
 
 def mismatch_samples(rows: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
-    """The samples of all three mismatches from one pass over ``rows``.
-
-    The rank filter is applied in each task before the shuffle (a window group
-    limit), so what meets in a window is ``n`` rows per task and flag.
-    """
-    keys = _sample_keys(rows)
-    order = [F.asc_nulls_first(key) for key in keys]
-    rank = F.row_number().over(Window.partitionBy("dq_flag").orderBy(*order))
-
-    def first(df: DataFrame) -> DataFrame:
-        return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
-
-    wanted = rows.filter(F.col("dq_flag").isin(*MISMATCHES))
-    return first(_spread(first(wanted), keys, n))
+    """The samples of all three mismatches; they share the exchange of ``rows``."""
+    return reduce(DataFrame.unionByName, [sample_rows(rows, flag, n) for flag in MISMATCHES])
 
 
 def duplicate_keys(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -247,7 +294,7 @@ def duplicate_keys(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str
 
     sides = F.array(side("prod_rows", BASELINE_ENV), side("test_rows", CANDIDATE_ENV))
     return (
-        key_counts(baseline, candidate, keys)
+        key_rows(baseline, candidate, keys)
         .agg(sides.alias("_sides"))
         .select(F.explode("_sides").alias("_s"))
         .select("_s.*")
@@ -262,19 +309,21 @@ def symmetric_difference(
 ) -> DataFrame:
     """Size of A-B and of B-A as multisets, per ``by`` group if given.
 
-    Equal rows are netted in one grouping: +1 for the baseline, -1 for the
-    candidate. What is left above zero is A-B, below zero B-A.
+    Equal rows are netted in one grouping by their fingerprint, so that rows of
+    any width shuffle 16 bytes: +1 for the baseline, -1 for the candidate. What
+    is left above zero is A-B, below zero B-A.
     """
     names = list(dict.fromkeys([*by, *columns]))
-    signed = baseline.select(*names, F.lit(1).cast("bigint").alias("_n")).unionByName(
-        candidate.select(*names, F.lit(-1).cast("bigint").alias("_n"))
+    signed = baseline.select(*all_named(names), F.lit(1).cast("bigint").alias("_n")).unionByName(
+        candidate.select(*all_named(names), F.lit(-1).cast("bigint").alias("_n"))
     )
-    net = signed.groupBy(*names).agg(F.sum("_n").alias("_n"))
+    marked = signed.select(*all_named(by), F.unhex(all_hash(signed, names)).alias("_hash"), "_n")
+    net = marked.groupBy(*all_named(by), "_hash").agg(F.sum("_n").alias("_n"))
 
     def surplus(n: Column) -> Column:
         return F.coalesce(F.sum(F.when(n > 0, n)), F.lit(0).cast("bigint"))
 
-    return net.groupBy(*by).agg(
+    return net.groupBy(*all_named(by)).agg(
         surplus(F.col("_n")).alias("baseline_minus_candidate"),
         surplus(-F.col("_n")).alias("candidate_minus_baseline"),
     )

@@ -38,16 +38,20 @@ def describe(df: DataFrame, table_schema: str, table_name: str) -> DataFrame:
 def column_catalog(
     catalog: DataFrame, table_schema: str, table_name: str | None = None
 ) -> DataFrame:
-    """A table's distinct catalog rows by position; none at all is an error.
+    """A table's distinct catalog rows; none at all is an error of the plan.
 
     Without a table name: those of every table of the schema.
     """
     found = catalog.filter(F.upper("table_schema") == table_schema.upper())
     if table_name is not None:
         found = found.filter(F.upper("table_name") == table_name.upper())
-    if found.isEmpty():
-        raise LookupError(f"no columns found for {table_schema}.{table_name or '*'}")
-    return found.dropDuplicates().orderBy("table_name", "ordinal_position")
+    distinct = found.dropDuplicates()
+    error = F.raise_error(F.lit(f"no columns found for {table_schema}.{table_name or '*'}"))
+    none = F.when(F.col("_rows") == 0, error.cast("boolean")).otherwise(F.lit(False))
+    check = distinct.agg(F.count(F.lit(1)).alias("_rows")).filter(none)
+    return distinct.unionByName(
+        check.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in distinct.schema.fields])
+    )
 
 
 def _keyed(catalog: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 STAGES = ("beta", "prod")
+MISSING_STAGES = "missing_stages"
 
 
 def latest_version(
@@ -14,14 +15,18 @@ def latest_version(
 ) -> DataFrame:
     """The highest version of each table, with the row's ``payload``.
 
-    Combined before the shuffle, so a table with very many versions sends one
-    row per task.
+    Of rows of the same version the one with the largest payload counts, so
+    the result does not depend on how rows arrive. Combined before the shuffle,
+    so a table with very many versions sends one row per task.
     """
     best = F.max(version).alias(version)
     if not payload:
         return versions.groupBy(*by).agg(best)
-    row = F.max_by(F.struct(*payload), F.col(version)).alias("_row")
-    return versions.groupBy(*by).agg(best, row).select(*by, version, "_row.*")
+    row = F.struct(F.col(version).alias("_version"), F.struct(*payload).alias("_payload"))
+    highest = F.max(F.when(F.col(version).isNotNull(), row)).alias("_row")
+    return versions.groupBy(*by).agg(highest).select(
+        *by, F.col("_row._version").alias(version), "_row._payload.*"
+    )
 
 
 def next_version(
@@ -50,28 +55,37 @@ def stage_lookup(
     """The recommended scheme and version of each table in both stages.
 
     ``metadata`` is folded to one row per table first, so one join serves both
-    stages. A table that lacks one of them is left out, as neither half of its
-    configuration could be written.
+    stages; of equal versions the largest scheme counts. Every table is in the
+    result: ``missing_stages`` lists those it lacks, and is NULL if it has both.
     """
 
-    def best(name: str) -> list[Column]:
-        here = F.when(F.col(stage) == name, F.col(version))
-        return [
-            F.max_by(scheme, here).alias(f"{name}_scheme"),
-            F.max(here).alias(f"{name}_version"),
-        ]
+    def best(name: str) -> Column:
+        here = (F.col(stage) == name) & F.col(version).isNotNull()
+        row = F.struct(F.col(version).alias("version"), F.col(scheme).alias("scheme"))
+        return F.max(F.when(here, row)).alias(f"_{name}")
 
-    columns = [column for name in STAGES for column in best(name)]
-    folded = (
-        metadata.groupBy(*by)
-        .agg(*columns)
-        .filter(F.col("beta_version").isNotNull() & F.col("prod_version").isNotNull())
+    folded = metadata.groupBy(*by).agg(*[best(name) for name in STAGES])
+    found = [
+        F.col(f"_{name}.{column}").alias(f"{name}_{column}")
+        for name in STAGES
+        for column in ("scheme", "version")
+    ]
+    lacking = F.concat_ws(",", *[F.when(F.col(f"_{n}").isNull(), n) for n in STAGES])
+    return (
+        tables.select(*by)
+        .distinct()
+        .join(folded, list(by), "left")
+        .select(*by, *found, F.nullif(lacking, F.lit("")).alias(MISSING_STAGES))
     )
-    return tables.select(*by).distinct().join(folded, list(by))
 
 
 def config_long(lookup: DataFrame, abbreviation: str = "abbreviation") -> DataFrame:
-    """Wide lookup rows as (stage, config_key, config_value), values quoted."""
+    """Wide lookup rows as (stage, config_key, config_value), values quoted.
+
+    A table that lacks a stage is left out: half a configuration is not written.
+    """
+    if MISSING_STAGES in lookup.columns:
+        lookup = lookup.filter(F.col(MISSING_STAGES).isNull()).drop(MISSING_STAGES)
     entries = F.array(
         *[
             F.struct(

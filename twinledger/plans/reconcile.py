@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from twinledger.functions.columns import all_named
 from twinledger.functions.text import split_names
 from twinledger.operators import counts, recon, schema
 from twinledger.operators.scope import FULL, Scope, choose_scope
@@ -100,9 +101,7 @@ class Reconciliation:
                 "row_count",
             ),
         ]
-        key_text = F.concat_ws(
-            ",", *[F.coalesce(F.col(key).cast("string"), F.lit("")) for key in self.keys]
-        )
+        key_text = F.to_json(F.struct(*all_named(self.keys)), {"ignoreNullFields": "false"})
         parts.append(
             recon.mismatch_samples(mismatches, n).select(
                 F.concat(F.lit("sample "), "dq_flag").alias("section"),

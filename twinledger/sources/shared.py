@@ -2,31 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
-
-_local_folders: dict[str, str] = {}
+WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, as ``spark.checkpoint.dir`` names it.
 
-    Only a local session, whose one machine is the whole cluster, gets a folder
-    of its own when the setting is missing.
+    Where that is unset, as in tests, a folder in the session's warehouse, which
+    a cluster shares as well. Never a folder of one machine's own.
     """
     folder = spark.conf.get(SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError(f"set {SETTING} to a folder that all executors can reach")
-    application = spark.conf.get("spark.app.id")
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="twinledger-")
-    return _local_folders[application]
+    return spark.conf.get(WAREHOUSE).rstrip("/") + "/_shared"
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -4,10 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from twinledger.functions.text import line_value
-
-# Fixed value: how many files a report is written as.
-REPORT_FILES = 16
+from twinledger.functions.text import file_path, line_value
 
 
 def read_table(spark: SparkSession, name: str, format: str | None = None, **options) -> DataFrame:
@@ -31,11 +28,16 @@ def report_path(template: str, table: str, user: str, run: str) -> str:
 
 
 def write_report(
-    df: DataFrame, template: str, table: str, user: str, run: str, files: int = REPORT_FILES
+    df: DataFrame, template: str, table: str, user: str, run: str, files: int | None = None
 ) -> str:
-    """Write a result as text files with a header; returns the path."""
+    """Write a result as text files with a header; returns the path.
+
+    As many files as the result has partitions, unless a small report is asked
+    for as so many ``files``.
+    """
     path = report_path(template, table, user, run)
-    df.repartition(files).write.option("header", True).csv(path)
+    written = df if files is None else df.repartition(files)
+    written.write.option("header", True).csv(path)
     return path
 
 
@@ -48,4 +50,4 @@ def read_line_values(spark: SparkSession, path: str, labels: dict[str, str]) ->
     """Labelled values out of text files: one row per file, a column per label."""
     texts = spark.read.text(path, wholetext=True)
     values = [line_value(F.col("value"), label).alias(name) for name, label in labels.items()]
-    return texts.select(F.col("_metadata.file_path").alias("path"), *values)
+    return texts.select(file_path().alias("path"), *values)

@@ -261,7 +261,7 @@ def report_sql() -> str:
         parts.append(f"SELECT 'schema {item}_columns', {none}, {none}, {count}")
     for flag in SAMPLE_NAMES.values():
         parts.append(
-            f"SELECT * FROM (SELECT 'sample {flag}', {none}, CAST(o_orderkey AS VARCHAR), 1 "
+            f"SELECT * FROM (SELECT 'sample {flag}', {none}, '{{\"o_orderkey\":' || o_orderkey || '}}', 1 "
             f"FROM j WHERE dq_flag = '{flag}' ORDER BY o_orderkey LIMIT 10)"
         )
     body = " UNION ALL ".join(parts)

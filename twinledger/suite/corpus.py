@@ -99,14 +99,22 @@ def rebuild_text(spark, sf_dir):
     WITH names AS (SELECT DISTINCT replace(p_name, ' ', '_') || '.' || replace(p_type, ' ', '_') || '_' || p_partkey AS name FROM part),
     based AS (SELECT name, substring(array_to_string(list_transform(regexp_split_to_array(name, '[._]'), lambda x: substring(x, 1, 1)), ''), 2) AS base FROM names),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY md5(name), name) AS r FROM based),
-    tied AS (SELECT *, CASE WHEN r > 1 THEN base || right(name, 3) END AS longer FROM ranked),
-    counted AS (SELECT *, row_number() OVER (PARTITION BY base, longer ORDER BY md5(name), name) AS k FROM tied)
-    SELECT name, base, CASE WHEN r = 1 THEN base WHEN k = 1 THEN longer
-                            ELSE longer || array_to_string(range(1, k), '') END AS abbreviation
-    FROM counted
+    one AS (SELECT name, base, CASE WHEN r = 1 THEN base ELSE base || right(name, 3) END AS text FROM ranked),
+    used AS (SELECT DISTINCT lower(substring(p_type, 1, 1)) || p_size AS text FROM part
+             UNION SELECT base || right(name, 3) FROM based WHERE right(name, 1) = '7'),
+    first_try AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY md5(name), name) AS k,
+                         text IN (FROM used) AS old FROM one),
+    given AS (SELECT name, base, text FROM first_try WHERE k = 1 AND NOT old),
+    two AS (SELECT name, base, text || CASE WHEN old THEN k ELSE k - 1 END AS text FROM first_try WHERE k > 1 OR old),
+    second_try AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY md5(name), name) AS k,
+                          text IN (FROM used) OR text IN (SELECT text FROM given) AS old FROM two)
+    SELECT name, base, text AS abbreviation FROM given
+    UNION ALL
+    SELECT name, base, CASE WHEN k = 1 AND NOT old THEN text ELSE text || '-' || md5(name) END FROM second_try
     """,
 )
 def abbreviate(spark, sf_dir):
+    """Against texts in use, which some of the names would get."""
     name = F.concat(
         F.replace("p_name", F.lit(" "), F.lit("_")),
         F.lit("."),
@@ -114,7 +122,14 @@ def abbreviate(spark, sf_dir):
         F.lit("_"),
         F.col("p_partkey"),
     )
-    return naming.abbreviate(part(spark, sf_dir).select(name.alias("name")))
+    names = part(spark, sf_dir).select(name.alias("name"))
+    used = part(spark, sf_dir).select(
+        F.concat(F.lower(F.substring("p_type", 1, 1)), F.col("p_size")).alias("abbreviation")
+    )
+    ending = names.filter(F.right("name", F.lit(1)) == "7").select(
+        F.concat(text.abbreviation_base(F.col("name")), F.right("name", F.lit(3))).alias("abbreviation")
+    )
+    return naming.abbreviate(names, existing=used.unionByName(ending))
 
 
 @query(

@@ -116,11 +116,11 @@ SELECT o_custkey AS table_id,
        arg_max('S' || substring(o_orderpriority, 1, 1), o_orderkey) FILTER (o_orderstatus <> 'F') AS prod_scheme,
        max(o_orderkey) FILTER (o_orderstatus <> 'F') AS prod_version
 FROM orders GROUP BY o_custkey
-HAVING count(*) FILTER (o_orderstatus = 'F') > 0 AND count(*) FILTER (o_orderstatus <> 'F') > 0
 """
+MISSING_SQL = "nullif(concat_ws(',', CASE WHEN beta_version IS NULL THEN 'beta' END, CASE WHEN prod_version IS NULL THEN 'prod' END), '')"
 
 
-@query("stage_lookup", LOOKUP_SQL)
+@query("stage_lookup", f"SELECT *, {MISSING_SQL} AS missing_stages FROM ({LOOKUP_SQL})")
 def stage_lookup(spark, sf_dir):
     known = order_versions(spark, sf_dir)
     metadata = known.select(
@@ -139,7 +139,8 @@ def config_sql() -> str:
             parts.append(
                 f"SELECT table_id, '{stage}' AS stage, 't' || table_id || '{suffix}' AS config_key, "
                 f"'\"' || {stage}_{column} || '\"' AS config_value, "
-                f"'{stage}.*.t' || table_id || '{suffix}=\"' || {stage}_{column} || '\";' AS line FROM l"
+                f"'{stage}.*.t' || table_id || '{suffix}=\"' || {stage}_{column} || '\";' AS line FROM l "
+                "WHERE beta_version IS NOT NULL AND prod_version IS NOT NULL"
             )
     return f"WITH l AS ({LOOKUP_SQL}) " + " UNION ALL ".join(parts)
 
