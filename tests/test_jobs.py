@@ -4,12 +4,12 @@ import json
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 from twinledger.operators import load, rules, schema, versions
-from twinledger.plans.standardise import changes, standardise_jobs, standardise_profiles
+from twinledger.plans.standardise import changes, standardise, standardise_jobs, standardise_profiles
 from twinledger.sources import shared, tables
-from twinledger.sources.definitions import read_definitions, write_definitions
-from twinledger.suite.corpus import POLICY, definitions
+from twinledger.sources.definitions import definition_schema, read_definitions, write_definitions
+from twinledger.suite.corpus import POLICY, definitions, typed_definitions, typed_forms
 
 
 def test_catalog_of_one_table(spark):
@@ -131,7 +131,7 @@ def test_definitions_keep_unknown_fields(spark, tmp_path):
         "definition": {"description": "Load - old", "loadOption": {"mergeOption": ""}},
         "inputs": [{"type": "FILE", "value": "a.txt", "keep": True}],
         "outputs": [{"value": "own.table_own"}, {"value": "PROMO.t"}]}, indent=4))
-    docs = read_definitions(spark, str(tmp_path))
+    docs = read_definitions(spark, str(tmp_path), definition_schema(spark, str(tmp_path)))
     assert {row["kind"] for row in docs.collect()} == {"job", "profile"}
     job = standardise_jobs(docs.filter("kind = 'job'"), POLICY)
     profile = standardise_profiles(docs.filter("kind = 'profile'"), POLICY)
@@ -144,13 +144,13 @@ def test_definitions_keep_unknown_fields(spark, tmp_path):
         if file.read_text().strip():
             back[file.parent.name] = json.loads(file.read_text())
     assert back["file=j"] == {
-        "definition": {"group": "$[PromoGroup]", "odd": [1, 2], "owner": "$[Owner]"},
+        "definition": {"group": "$[TeamB]", "odd": [1, 2], "owner": "$[Keeper]"},
         "schedule": "$[Scheduled2Hourly]",
     }
     assert back["file=p"] == {
         "definition": {"description": "Load - my-profile$[Stage]", "loadOption": {"mergeOption": "UPSERT"}},
         "inputs": [{"type": "FILE", "value": "a$[Stage].txt", "keep": True}],
-        "outputs": [{"value": "$[Provider].table_$[Provider]$[Stage]"}, {"value": "$[ProviderSecure].t$[Stage]"}],
+        "outputs": [{"value": "$[Source].table_$[Source]$[Stage]"}, {"value": "$[SourceB].t$[Stage]"}],
     }
     with pytest.raises(Exception):
         write_definitions(named[0], out + "/1", "name")
@@ -165,3 +165,60 @@ def test_standardising_twice_is_once(spark, small):
         fields = ("definition.group", "definition.description", "outputs", "schedule")
         assert changes(twice, fields).count() == 0
         assert changes(once, fields).count() > 0
+
+
+def test_all_forms_twice_are_once(spark, small):
+    docs = typed_definitions(spark, small)
+    once = standardise(docs, typed_forms())
+    twice = standardise(once.drop("before"), typed_forms())
+    assert rows(twice.select(F.to_json("doc"))) == rows(once.select(F.to_json("doc")))
+    assert changes(once, ("outputs",)).count() > 0 and changes(twice, ("outputs", "inputs")).count() == 0
+
+
+def test_odd_file_names_and_empty_arrays(spark, tmp_path):
+    names = ["my load (1)", "50% off", "a+b", "plain"]
+    (tmp_path / "jobs").mkdir()
+    for name in names:
+        doc = {"definition": {"description": "x - y"}, "inputs": [], "outputs": []}
+        (tmp_path / "jobs" / f"{name}.json").write_text(json.dumps(doc))
+    schema = definition_schema(spark, str(tmp_path))
+    docs = read_definitions(spark, str(tmp_path), schema)
+    assert {row["path"].rsplit("/", 1)[1] for row in docs.collect()} == {f"{n}.json" for n in names}
+    done = standardise_profiles(docs, POLICY).select("doc.definition.description").collect()
+    assert {row[0] for row in done} == {f"x - {n}$[Stage]" for n in names}
+    known = T.StructType().add("inputs", T.ArrayType(T.StructType().add("type", "string").add("value", "string")))
+    wide = definition_schema(spark, str(tmp_path), known)
+    assert wide["inputs"].dataType == known["inputs"].dataType
+    assert standardise_profiles(read_definitions(spark, str(tmp_path), wide), POLICY).count() == 4
+
+
+def test_both_kinds_in_one_write(spark, small, tmp_path):
+    docs = definitions(spark, small)
+    write_definitions(docs, str(tmp_path / "out"))
+    back = read_definitions(spark, str(tmp_path / "out"), docs.schema["doc"].dataType, one_per_file=False)
+    assert rows(back.select("kind", F.to_json("doc"))) == rows(docs.select("kind", F.to_json("doc")))
+
+
+def test_upsert_of_repeated_and_null_keys(spark):
+    base = spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "k int, v string, w int")
+    incoming = spark.createDataFrame([(2, "x", 1), (2, "y", 2), (2, "z", 2), (None, "n", 1), (3, "q", 0)], "k int, v string, t int")
+    with pytest.raises(Exception, match="repeat a key"):
+        load.upsert(base, incoming, ["k"]).collect()
+    once = load.upsert(base, incoming, ["k"], order=["t"])
+    found = rows(once)
+    assert (1, "a", 5) in found and (3, "q", None) in found and (None, "n", None) in found
+    assert [r for r in found if r[0] == 2] in ([(2, "y", None)], [(2, "z", None)])
+    turned = load.upsert(base, incoming.orderBy(F.desc("v")).repartition(3), ["k"], order=["t"])
+    assert rows(turned) == found
+    again = rows(load.upsert(once, incoming, ["k"], order=["t"]))
+    assert len(again) == len(found) + 1  # only the row with a NULL key
+
+
+def test_version_ties_and_stages(spark):
+    known = spark.createDataFrame([("a", 1, "x"), ("a", 1, "z"), ("a", 1, "y"), ("b", None, "n")], "t string, v int, note string")
+    assert rows(versions.latest_version(known, ["t"], "v", ["note"])) == [("a", 1, "z"), ("b", None, None)]
+    metadata = spark.createDataFrame([("a", "beta", 1, "s"), ("a", "prod", 2, "s"), ("b", "prod", 3, "s")], "t string, stage string, version int, scheme string")
+    asked = spark.createDataFrame([("a",), ("b",), ("c",)], "t string")
+    found = versions.stage_lookup(asked, metadata, ["t"])
+    assert rows(found.select("t", "missing_stages")) == [("a", None), ("b", "beta"), ("c", "beta,prod")]
+    assert {r["t"] for r in versions.config_long(found.withColumn("abbreviation", F.lit("z"))).collect()} == {"a"}

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-UPSERT = "UPSERT"
+from twinledger.functions.columns import all_named, named
+from twinledger.functions.hashing import all_hash
+from twinledger.functions.nested import drop_field, edit_field, field_type
 
-# What a copied version starts as, and a schema field it loses.
-NEW_STATE = "UNRELEASED"
-DROPPED_SCHEMA_FIELD = "sdlReference"
+UPSERT = "UPSERT"
 
 
 def clone_schema(df: DataFrame) -> DataFrame:
@@ -19,50 +19,92 @@ def clone_schema(df: DataFrame) -> DataFrame:
 
 
 def upsert(
-    base: DataFrame, incoming: DataFrame, keys: Sequence[str], option: str | None = ""
+    base: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    option: str | None = "",
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """``base`` with incoming rows added and rows of the same key replaced.
 
     An absent or empty ``option`` means UPSERT, the only one there is. Columns
-    the base lacks are not loaded; NULL keys match nothing.
+    the base lacks are not loaded, columns the incoming rows lack are NULL in
+    them. Of several incoming rows of a key the one that is last by the ``order``
+    columns counts, of equal ones the one with the largest fingerprint; without
+    an order, a repeated key is an error of the plan. A key with NULL in it
+    matches nothing: such rows are added as they come, by every load again.
     """
     if (option or UPSERT) != UPSERT:
         raise ValueError(f"unknown merge option {option!r}")
     keys = list(keys)
-    kept = base.join(incoming.select(*keys).distinct(), keys, "left_anti")
-    return kept.select(*base.columns).unionByName(incoming.select(*base.columns))
+    known = {name.lower() for name in incoming.columns}
+    loaded = [
+        named(f.name) if f.name.lower() in known else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in base.schema.fields
+    ]
+    row, place = F.struct(*loaded), F.struct(*all_named(order), all_hash(incoming, incoming.columns))
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & named(key).isNotNull()
+    by_key = (
+        incoming.filter(whole)
+        .select(*[named(key).alias(f"_k{i}") for i, key in enumerate(keys)], row.alias("_row"), place.alias("_place"))
+        .groupBy(*[f"_k{i}" for i in range(len(keys))])
+        .agg(F.max_by("_row", "_place").alias("_row"), F.count(F.lit(1)).alias("_n"))
+    )
+    if not order:
+        error = F.raise_error(F.lit("incoming rows repeat a key and no order is given"))
+        by_key = by_key.filter(F.when(F.col("_n") > 1, error.cast("boolean")).otherwise(F.lit(True)))
+    latest = by_key.select("_row.*")
+    kept = base.join(incoming.select(*all_named(keys)).distinct(), keys, "left_anti")
+    return (
+        kept.select(*all_named(base.columns))
+        .unionByName(latest)
+        .unionByName(incoming.filter(~whole).select(*loaded))
+    )
 
 
 def clone_definition(
     version: Column,
-    owner: Column,
-    name: Column,
-    number: Column,
-    dropped_entries: Sequence[str] = (),
+    dtype: T.StructType,
+    new: dict[str, Column],
+    carried: Sequence[str],
+    dropped: Sequence[str] = (),
+    without: dict[str, Sequence[str]] | None = None,
+    defaults: dict[str, Column] | None = None,
 ) -> Column:
     """A version struct as the first draft of another table's version.
 
-    Owner, name and number are new, the state starts over; keys, partitioning,
-    schema text and notes are carried. ``dropped_entries`` are left out of the
-    appendix.
+    All names are the caller's, as dotted paths into ``dtype``: ``new`` values,
+    the paths ``carried`` over as they are, those ``dropped`` from what is carried,
+    map entries it goes ``without``, and ``defaults`` for carried values that are
+    absent, also where the type lacks the path. Other carried paths that the
+    type lacks are left out.
     """
-    definition = version["definition"]
-    entries = F.map_filter(
-        version["appendix"]["entries"], lambda key, _: ~key.isin(*dropped_entries)
-    ) if dropped_entries else version["appendix"]["entries"]
+    without, defaults = without or {}, defaults or {}
+    for path, names in without.items():
+        version = edit_field(
+            version, dtype, path, lambda old, n=names: F.map_filter(old, lambda key, _: ~key.isin(*n))
+        )
+    version = drop_field(version, dtype, *dropped)
+    found = dict(new)
+    for path in carried:
+        if field_type(dtype, path) is not None:
+            value = version
+            for name in path.split("."):
+                value = value.getField(name)
+            found[path] = F.coalesce(value, defaults[path]) if path in defaults else value
+        elif path in defaults:
+            found[path] = defaults[path]
+    return _nested(found)
+
+
+def _nested(paths: dict[str, Column]) -> Column:
+    """A struct of values at dotted paths, fields in the order of their first path."""
+    heads: dict[str, dict[str, Column]] = {}
+    for path, value in paths.items():
+        head, _, rest = path.partition(".")
+        heads.setdefault(head, {})[rest] = value
     return F.struct(
-        owner.alias("providerId"),
-        name.alias("tableName"),
-        number.alias("versionNumber"),
-        F.struct(
-            definition["contentType"].alias("contentType"),
-            definition["partitionKeys"].alias("partitionKeys"),
-            definition["schema"].dropFields(DROPPED_SCHEMA_FIELD).alias("schema"),
-            definition["partitionType"].alias("partitionType"),
-            definition["dataplaneType"].alias("dataplaneType"),
-        ).alias("definition"),
-        version["description"].alias("description"),
-        F.lit(NEW_STATE).alias("lifecycleState"),
-        version["appendix"].withField("entries", entries).alias("appendix"),
-        version["audit"].alias("audit"),
+        *[(inner[""] if "" in inner else _nested(inner)).alias(head) for head, inner in heads.items()]
     )

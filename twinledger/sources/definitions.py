@@ -2,47 +2,74 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from twinledger.functions.text import file_path
 
 # Fixed value: a path through this folder holds a job, any other a profile.
 JOBS_FOLDER = "/jobs/"
+WRITTEN_JOBS = "/kind=job/"
+
+
+def _reader(spark: SparkSession, one_per_file: bool):
+    return spark.read.options(
+        recursiveFileLookup=True, pathGlobFilter="*.json", multiLine=one_per_file
+    )
+
+
+def _known_first(found: T.DataType, known: T.DataType | None) -> T.DataType:
+    """``found`` with the types of ``known`` where it has them."""
+    if isinstance(found, T.StructType) and isinstance(known, T.StructType):
+        fields = {f.name: f.dataType for f in found.fields}
+        for field in known.fields:
+            fields[field.name] = _known_first(fields.get(field.name, field.dataType), field.dataType)
+        return T.StructType([T.StructField(name, dtype) for name, dtype in fields.items()])
+    if isinstance(found, T.ArrayType) and isinstance(known, T.ArrayType):
+        return T.ArrayType(_known_first(found.elementType, known.elementType))
+    return found if known is None else known
+
+
+def definition_schema(
+    spark: SparkSession, path: str, known: T.StructType | None = None, one_per_file: bool = True
+) -> T.StructType:
+    """The fields that the documents below ``path`` have, which takes a pass over them.
+
+    ``known`` types win over found ones, so an array that is empty in every
+    document has the type of its items.
+    """
+    return _known_first(_reader(spark, one_per_file).json(path).schema, known)
+
+
+def kind_of(path: Column) -> Column:
+    job = path.contains(JOBS_FOLDER) | path.contains(WRITTEN_JOBS)
+    return F.when(job, "job").otherwise("profile")
 
 
 def read_definitions(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, one_per_file: bool = True
+    spark: SparkSession, path: str, schema: T.StructType, one_per_file: bool = True
 ) -> DataFrame:
-    """All ``*.json`` below ``path`` as (path, kind, doc).
+    """All ``*.json`` below ``path`` as (path, kind, doc), with the fields of ``schema``.
 
-    The documents' fields come from the documents unless ``schema`` is given,
-    which saves the pass that looks for them.
+    Nothing is inferred; :func:`definition_schema` says what a corpus holds. The
+    path is the file's as it is named.
     """
-    reader = spark.read.options(
-        recursiveFileLookup=True, pathGlobFilter="*.json", multiLine=one_per_file
-    )
-    if schema is not None:
-        reader = reader.schema(schema)
-    files = reader.json(path)
-    file_path = F.col("_metadata.file_path")
+    files = _reader(spark, one_per_file).schema(schema).json(path)
     return files.select(
-        file_path.alias("path"),
-        F.when(file_path.contains(JOBS_FOLDER), "job").otherwise("profile").alias("kind"),
+        file_path().alias("path"),
+        kind_of(file_path()).alias("kind"),
         F.struct(*[F.col(f"`{name}`") for name in files.columns]).alias("doc"),
     )
 
 
 def write_definitions(df: DataFrame, path: str, file_name: str | None = None) -> None:
-    """Write (kind, doc) rows as JSON to a new path, jobs and profiles apart.
+    """Write (kind, doc) rows as JSON to a new path, jobs and profiles in folders of their own.
 
-    With ``file_name``, a column that is unique per document, each document
-    becomes an indented file of its own. Otherwise each line is a document,
-    which is the layout for large corpora. Absent fields stay absent.
+    One write for both. With ``file_name``, a column that is unique per document,
+    each document becomes an indented file of its own. Otherwise each line is a
+    document, which is the layout for large corpora. Absent fields stay absent.
     """
-    for kind, folder in (("job", "jobs"), ("profile", "profiles")):
-        docs = df.filter(F.col("kind") == kind)
-        target = f"{path}/{folder}"
-        if file_name is None:
-            docs.select("doc.*").write.json(target)
-        else:
-            docs.select("doc.*", F.col(file_name).alias("file")).write.partitionBy(
-                "file"
-            ).option("pretty", True).json(target)
+    if file_name is None:
+        df.select("doc.*", "kind").write.partitionBy("kind").json(path)
+    else:
+        named = df.select("doc.*", "kind", F.col(file_name).alias("file"))
+        named.write.partitionBy("kind", "file").option("pretty", True).json(path)

@@ -122,6 +122,44 @@ def row_fingerprint(spark, sf_dir):
     )
 
 
+@query(
+    "row_fingerprint_nested",
+    """
+    SELECT o_orderkey, 'MATCHING' AS maps_and_zero,
+           CASE WHEN o_orderkey % 5 = 0 THEN 'NOT MATCHING' ELSE 'MATCHING' END AS deep_value
+    FROM orders
+    """,
+)
+def row_fingerprint_nested(spark, sf_dir):
+    """Documents of orders against the same with map entries turned round and zeros negated."""
+    orders = table(spark, sf_dir, "orders")
+
+    def document(turned: bool):
+        pairs = [F.lit("status"), F.col("o_orderstatus"), F.lit("priority"), F.col("o_orderpriority")]
+        pairs = pairs[2:] + pairs[:2] if turned else pairs
+        inner = F.create_map(*pairs)
+        zero = F.lit(-0.0 if turned else 0.0)
+        return F.struct(
+            F.array(inner, inner).alias("list"),
+            F.create_map(F.lit("in"), inner).alias("map"),
+            F.struct(zero.alias("zero"), F.array(zero).alias("zeros")).alias("part"),
+        )
+
+    deep = F.array(F.create_map(F.lit("p"), F.struct(F.col("o_orderkey").alias("k"))))
+    other = F.array(F.create_map(F.lit("p"), F.struct(F.expr("o_orderkey + int(o_orderkey % 5 = 0)").alias("k"))))
+    both = orders.select(
+        "o_orderkey",
+        document(False).alias("one"),
+        document(True).alias("two"),
+        deep.alias("deep_one"),
+        other.alias("deep_two"),
+    )
+    same = lambda a, b: F.when(hashing.row_hash(both, [a]) == hashing.row_hash(both, [b]), "MATCHING").otherwise("NOT MATCHING")
+    return both.select(
+        "o_orderkey", same("one", "two").alias("maps_and_zero"), same("deep_one", "deep_two").alias("deep_value")
+    )
+
+
 ROLLUP = "SELECT dq_flag, count(*) AS row_count FROM j GROUP BY dq_flag"
 
 

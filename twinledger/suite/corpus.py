@@ -7,7 +7,22 @@ from pyspark.sql import functions as F
 from twinledger.functions import nested, schedule, text
 from twinledger.operators import naming
 from twinledger.operators.naming import Rule
-from twinledger.plans.standardise import Policy, changes, standardise_jobs, standardise_profiles
+from twinledger.operators import versions
+from twinledger.plans.standardise import (
+    Form,
+    Insert,
+    Policy,
+    abbreviation_edits,
+    changes,
+    load_profile_edits,
+    script_job_edits,
+    script_profile_edits,
+    standardise,
+    standardise_jobs,
+    standardise_profiles,
+    table_profile_edits,
+    transform_profile_edits,
+)
 from twinledger.sources.definitions import read_definitions, write_definitions
 from twinledger.sources.shared import new_path
 from twinledger.suite.registry import query, table
@@ -420,7 +435,8 @@ def definitions(spark, sf_dir):
 def definition_scan(spark, sf_dir):
     path = new_path(spark, "definitions")
     write_definitions(definitions(spark, sf_dir), path)
-    docs = read_definitions(spark, path, one_per_file=False)
+    schema = definitions(spark, sf_dir).schema["doc"].dataType
+    docs = read_definitions(spark, path, schema, one_per_file=False)
     return docs.select(
         "doc.id",
         "kind",
@@ -430,19 +446,24 @@ def definition_scan(spark, sf_dir):
 
 
 POLICY = Policy(
-    group_rules=(Rule("ECON", "$[Group]", whole=True), Rule("PROMO", "$[PromoGroup]", whole=True)),
-    user_rules=(Rule("user_1", "$[LoadUser]", whole=True),),
-    output_rules=(Rule("ECONOMY", "$[ProviderName]"), Rule("PROMO", "$[ProviderSecure]")),
+    owner_token="$[Keeper]",
+    provider_token="$[Source]",
+    mapped=(
+        ("definition.group", (Rule("ECON", "$[TeamA]", whole=True), Rule("PROMO", "$[TeamB]", whole=True))),
+        ("definition.dbUser", (Rule("user_1", "$[LoadUser]", whole=True),)),
+        ("definition.database", (Rule("db", "$[Db]"),)),
+    ),
+    output_rules=(Rule("ECONOMY", "$[SourceA]"), Rule("PROMO", "$[SourceB]")),
     suffix_types=("TABLE",),
     insert_types=("FILE",),
 )
 
 JOBS_SQL = """
 SELECT p_partkey AS id,
-       CASE WHEN contains(p_type, 'ECON') THEN '$[Group]' WHEN contains(p_type, 'PROMO') THEN '$[PromoGroup]'
+       CASE WHEN contains(p_type, 'ECON') THEN '$[TeamA]' WHEN contains(p_type, 'PROMO') THEN '$[TeamB]'
             ELSE 'GROUP-' || p_type END AS job_group,
        CASE WHEN contains('user_' || p_size, 'user_1') THEN '$[LoadUser]' ELSE 'user_' || p_size END AS db_user,
-       CASE WHEN p_partkey % 3 = 0 THEN 'someone' ELSE '$[Owner]' END AS owner,
+       CASE WHEN p_partkey % 3 = 0 THEN 'someone' ELSE '$[Keeper]' END AS owner,
        CASE p_partkey % 12 WHEN 0 THEN '$[ScheduledDaily]' WHEN 2 THEN '$[ScheduledHourly]'
             WHEN 4 THEN '$[Scheduled2Hourly]' WHEN 8 THEN '$[NotScheduled]' END AS schedule,
        CASE WHEN p_partkey % 12 = 6 THEN 'INTRADAY' END AS old_schedule
@@ -467,19 +488,19 @@ PROFILES_SQL = """
 SELECT p_partkey AS id, p_name || ' - ' || p_partkey || '$[Stage]' AS description,
        CASE WHEN p_size % 2 = 0 THEN 'UPSERT' ELSE 'APPEND' END AS merge_option,
        p_brand || '$[Stage]' AS table_input, replace(p_name, ' ', '_') || '$[Stage].txt' AS file_input,
-       CASE p_type WHEN 'ECONOMY' THEN '$[ProviderName]' WHEN 'PROMO' THEN '$[ProviderSecure]'
-                   ELSE '$[Provider]' END || '.' || replace(p_name, ' ', '_') || '$[Stage]' AS output
+       CASE p_type WHEN 'ECONOMY' THEN '$[SourceA]' WHEN 'PROMO' THEN '$[SourceB]'
+                   ELSE '$[Source]' END || '.' || replace(p_name, ' ', '_') || '$[Stage]' AS output
 FROM part WHERE p_partkey % 2 <> 0
 """
 
 
 @query("standardise_profiles", PROFILES_SQL)
 def profiles(spark, sf_dir):
-    """Standardised, written as JSON and read back."""
+    """Standardised, as JSON text and back."""
     docs = definitions(spark, sf_dir).filter(F.col("kind") == "profile")
-    path = new_path(spark, "standardised")
-    write_definitions(standardise_profiles(docs, POLICY), path)
-    return read_definitions(spark, path, one_per_file=False).select(
+    done = standardise_profiles(docs, POLICY)
+    back = F.from_json(F.to_json("doc"), done.schema["doc"].dataType)
+    return done.select(back.alias("doc")).select(
         "doc.id",
         F.regexp_replace("doc.definition.description", "  +", " ").alias("description"),
         F.col("doc.definition.loadOption.mergeOption").alias("merge_option"),
@@ -489,6 +510,221 @@ def profiles(spark, sf_dir):
     )
 
 
+# Every fourth part is a profile of each type; those of Brand#1 lie in a folder that names files.
+TYPES = ("table", "load", "transform", "script")
+SPECIAL = "/special/"
+
+TYPED_SQL = f"""
+SELECT p_partkey AS id, {list(TYPES)}[1 + p_partkey % 4] AS type, p_brand = 'Brand#1' AS special,
+       replace(p_name, ' ', '_') AS name, p_type, p_brand, p_name, p_size
+FROM part
+"""
+
+
+def typed_definitions(spark, sf_dir):
+    """Profiles of four types in one corpus, and jobs of the last."""
+    parts = part(spark, sf_dir)
+    kind = F.element_at(F.array(*map(F.lit, TYPES)), (F.col("p_partkey") % 4 + 1).cast("int"))
+    script = F.col("type") == "script"
+    name = F.replace("p_name", F.lit(" "), F.lit("_"))
+    value = F.concat(F.col("p_type"), F.lit("."), name, F.lit("{x}"))
+    output = F.struct(
+        F.when(~script, value).alias("value"),
+        F.when(script, F.concat("p_type", F.lit(".x"))).alias("source"),
+        F.when(script, name).alias("target"),
+        F.when(script, F.col("p_size").cast("int")).alias("release"),
+    )
+    inputs = F.array(
+        F.struct(F.lit("TABLE").alias("type"), F.col("p_brand").alias("value")),
+        F.struct(F.lit("FILE").alias("type"), F.concat(name, F.lit("{d}.txt")).alias("value")),
+    )
+    folder = F.when(F.col("p_brand") == "Brand#1", "special/").otherwise("plain/")
+    return parts.withColumn("type", kind).select(
+        F.concat(F.lit("/corpus/"), folder, F.col("p_partkey"), F.lit(".json")).alias("path"),
+        "type",
+        F.struct(
+            F.col("p_partkey").alias("id"),
+            F.struct(
+                F.concat("p_name", F.lit(" - old text")).alias("description"),
+                F.when(script, F.concat("p_name", F.lit(" run"))).alias("title"),
+                F.when(script & (F.col("p_size") % 2 == 0), "own").alias("account"),
+                F.struct(
+                    F.when(F.col("type") == "table", "DAY").alias("scheme"),
+                    F.when(F.col("type") == "table", F.col("p_size").cast("int")).alias("release"),
+                ).alias("data"),
+                F.struct(
+                    F.struct(
+                        F.when(script, F.col("p_size").cast("int")).alias("size"),
+                        F.when(script & (F.col("p_size") % 3 == 0), "big").alias("pool"),
+                    ).alias("variables")
+                ).alias("parameters"),
+            ).alias("definition"),
+            F.when(~script, inputs).alias("inputs"),
+            F.array(output).alias("outputs"),
+        ).alias("doc"),
+    )
+
+
+def typed_policy():
+    special = F.col("path").contains(SPECIAL)
+    return Policy(
+        owner_token="$[Keeper]",
+        provider_token="$[Source]",
+        output_rules=(
+            Rule("ECONOMY", "$[Special]", where=special),
+            Rule("ECONOMY", "$[SourceA]"),
+            Rule("PROMO", "$[SourceB]"),
+        ),
+        suffix_types=("TABLE",),
+        insert_types=("FILE",),
+        inserts=(Insert("{", "$[FileStage]_", special), Insert(".")),
+    )
+
+
+def typed_forms():
+    """A form for each type; jobs and profiles of scripts are told apart by their fields."""
+    policy = typed_policy()
+    kind = F.col("type")
+    variables = "definition.parameters.variables."
+    script = [
+        *script_profile_edits(
+            policy,
+            provider="outputs[].source",
+            name="outputs[].target",
+            version="outputs[].release",
+            version_token="$[OutputRelease]",
+            account="definition.account",
+            account_token="$[Account]",
+            title="definition.title",
+        ),
+        *script_job_edits({variables + "size": "$[Size]", variables + "pool": "$[Pool]"}),
+    ]
+    return [
+        Form(kind == "table", table_profile_edits(policy)),
+        Form(kind == "load", load_profile_edits(policy)),
+        Form(kind == "transform", transform_profile_edits(policy)),
+        Form(kind == "script", script),
+    ]
+
+
+MAPPED_SQL = """
+CASE WHEN p_type = 'ECONOMY' AND special THEN '$[Special]' WHEN p_type = 'ECONOMY' THEN '$[SourceA]'
+     WHEN p_type = 'PROMO' THEN '$[SourceB]' ELSE '$[Source]' END || '.'"""
+FILE_SQL = "CASE WHEN special THEN name || '$[FileStage]_{d}.txt' ELSE name || '{d}$[Stage].txt' END"
+
+
+def typed_profiles(spark, sf_dir, kind):
+    done = standardise(typed_definitions(spark, sf_dir), typed_forms()).filter(F.col("type") == kind)
+    return done.select(
+        "doc.id",
+        F.regexp_replace("doc.definition.description", "  +", " ").alias("description"),
+        F.col("doc.inputs")[0]["value"].alias("table_input"),
+        F.col("doc.inputs")[1]["value"].alias("file_input"),
+        F.col("doc.outputs")[0]["value"].alias("output"),
+    )
+
+
+@query(
+    "standardise_table",
+    f"""
+    SELECT id, p_name || ' - ' || id || '$[Stage]' AS description, p_brand || '$[Stage]' AS table_input,
+           {FILE_SQL} AS file_input, {MAPPED_SQL} || name || '{{x}}$[Stage]' AS output
+    FROM ({TYPED_SQL}) WHERE type = 'table'
+    """,
+)
+def table_profiles(spark, sf_dir):
+    return typed_profiles(spark, sf_dir, "table")
+
+
+@query(
+    "standardise_load",
+    f"""
+    SELECT id, p_name || ' - ' || id || '$[Stage]' AS description, p_brand || '$[Stage]' AS table_input,
+           {FILE_SQL} AS file_input, {MAPPED_SQL} || name || '{{x}}' AS output
+    FROM ({TYPED_SQL}) WHERE type = 'load'
+    """,
+)
+def load_profiles(spark, sf_dir):
+    return typed_profiles(spark, sf_dir, "load")
+
+
+@query(
+    "standardise_transform",
+    f"""
+    SELECT id, p_name || ' - ' || id || '$[Stage]' AS description, p_brand AS table_input,
+           name || '{{d}}.txt' AS file_input,
+           CASE WHEN special THEN p_type || '.' || name || '$[FileStage]_{{x}}'
+                ELSE p_type || '$[Stage].' || name || '{{x}}' END AS output
+    FROM ({TYPED_SQL}) WHERE type = 'transform'
+    """,
+)
+def transform_profiles(spark, sf_dir):
+    return typed_profiles(spark, sf_dir, "transform")
+
+
+@query(
+    "standardise_script",
+    f"""
+    SELECT id, {MAPPED_SQL} || 'x' AS source, name || '$[Stage]' AS target, '$[OutputRelease]' AS release,
+           p_name || ' run$[Stage]' AS title, CASE WHEN p_size % 2 = 0 THEN '$[Account]' END AS account,
+           '$[Size]' AS size, CASE WHEN p_size % 3 = 0 THEN '$[Pool]' END AS pool
+    FROM ({TYPED_SQL}) WHERE type = 'script'
+    """,
+)
+def script_profiles(spark, sf_dir):
+    done = standardise(typed_definitions(spark, sf_dir), typed_forms()).filter(F.col("type") == "script")
+    output, variables = F.col("doc.outputs")[0], F.col("doc.definition.parameters.variables")
+    return done.select(
+        "doc.id",
+        output["source"].alias("source"),
+        output["target"].alias("target"),
+        output["release"].alias("release"),
+        F.col("doc.definition.title").alias("title"),
+        F.col("doc.definition.account").alias("account"),
+        variables["size"].alias("size"),
+        variables["pool"].alias("pool"),
+    )
+
+
+@query(
+    "profile_config",
+    f"""
+    WITH t AS ({TYPED_SQL}), names AS (SELECT id, p_type || '.' || name || '{{x}}' AS name FROM t WHERE type = 'table'),
+    one AS (SELECT DISTINCT name, substring(array_to_string(list_transform(regexp_split_to_array(name, '[._]'),
+                   lambda x: substring(x, 1, 1)), ''), 2) AS base FROM names),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY md5(name), name) AS r FROM one),
+    text AS (SELECT name, CASE WHEN r = 1 THEN base ELSE base || right(name, 3) END AS text FROM ranked),
+    tied AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY md5(name), name) AS k FROM text),
+    short AS (SELECT name, CASE WHEN k = 1 THEN text ELSE text || (k - 1) END AS short FROM tied)
+    SELECT id, '$[' || short || 'Scheme]' AS scheme, '$[' || short || 'Release]' AS release,
+           stage, short || ending AS config_key, '"' || value || '"' AS config_value
+    FROM (SELECT id, short, stage, ending,
+                 CASE ending WHEN 'PartitionScheme' THEN 'S' || (id % 3) ELSE CAST(id + (stage = 'prod')::INT AS VARCHAR) END AS value
+          FROM names JOIN short USING (name), (VALUES ('beta'), ('prod')) AS s(stage),
+               (VALUES ('PartitionScheme'), ('VersionNumber')) AS e(ending))
+    """,
+)
+def profile_config(spark, sf_dir):
+    """Abbreviations of outputs as placeholders in the documents and as keys of the configuration."""
+    docs = typed_definitions(spark, sf_dir).filter(F.col("type") == "table")
+    docs = docs.withColumn("name", F.col("doc.outputs")[0]["value"])
+    short = naming.abbreviate(docs.select("name")).drop("base")
+    paths = {"definition.data.scheme": "Scheme", "definition.data.release": "Release"}
+    named = standardise(docs.join(short, "name"), [Form(F.lit(True), abbreviation_edits(paths))])
+    number = F.col("doc.id")
+    lookup = named.select(
+        number.alias("id"),
+        F.col("doc.definition.data.scheme").alias("scheme"),
+        F.col("doc.definition.data.release").alias("release"),
+        "abbreviation",
+        F.concat(F.lit("S"), number % 3).alias("beta_scheme"),
+        number.alias("beta_version"),
+        F.concat(F.lit("S"), number % 3).alias("prod_scheme"),
+        (number + 1).alias("prod_version"),
+    )
+    return versions.config_long(lookup).drop("abbreviation")
+
+
 @query(
     "definition_changes",
     f"""
@@ -507,3 +743,24 @@ def definition_changes(spark, sf_dir):
     docs = definitions(spark, sf_dir).filter(F.col("kind") == "job")
     fields = ("definition.group", "definition.dbUser", "definition.owner", "schedule")
     return changes(standardise_jobs(docs, POLICY), fields)
+
+
+@query(
+    "profile_changes",
+    f"""
+    SELECT path, field, old, new FROM (
+        SELECT '/corpus/' || CASE WHEN special THEN 'special/' ELSE 'plain/' END || id || '.json' AS path, 'definition.title' AS field,
+               p_name || ' run' AS old, p_name || ' run$[Stage]' AS new FROM ({TYPED_SQL}) WHERE type = 'script'
+        UNION ALL
+        SELECT '/corpus/' || CASE WHEN special THEN 'special/' ELSE 'plain/' END || id || '.json', 'definition.account',
+               'own', '$[Account]' FROM ({TYPED_SQL}) WHERE type = 'script' AND p_size % 2 = 0)
+    """,
+)
+def profile_changes(spark, sf_dir):
+    """Of all types in one pass, applied a second time to what the first gave, which adds nothing."""
+    once = standardise(typed_definitions(spark, sf_dir), typed_forms())
+    first = once.select("path", "type", "before", "doc")
+    twice = standardise(first.select("path", "type", "doc"), typed_forms())
+    fields = ("definition.title", "definition.account")
+    again = changes(twice, (*fields, "outputs", "inputs", "definition.description"))
+    return changes(first, fields).unionByName(again)

@@ -82,6 +82,24 @@ def latest_version(spark, sf_dir):
     )
 
 
+@query(
+    "latest_version_ties",
+    """
+    SELECT o_custkey AS table_id, max(o_orderkey % 4) AS version,
+           max(o_orderpriority || o_orderkey) FILTER (o_orderkey % 4 = top) AS note
+    FROM (SELECT *, max(o_orderkey % 4) OVER (PARTITION BY o_custkey) AS top FROM orders) GROUP BY o_custkey
+    """,
+)
+def latest_version_ties(spark, sf_dir):
+    """Many rows of the same highest version."""
+    rows = order_versions(spark, sf_dir).select(
+        "table_id",
+        (F.col("version") % 4).alias("version"),
+        F.concat("o_orderpriority", F.col("version").cast("string")).alias("note"),
+    )
+    return versions.latest_version(rows, ["table_id"], "version", ["note"])
+
+
 # Tables in this class have no version yet.
 NEW_TABLE = "table_id % 10 = 0"
 

@@ -101,54 +101,108 @@ def upsert(spark, sf_dir):
     return load.upsert(*fx_sides(spark, sf_dir), KEYS)
 
 
+# Orders against themselves: every key comes in once to three times, priced by its turn.
+TURNS = "1 + o_orderkey % 3"
+
+
+@query(
+    "upsert_repeated",
+    f"""
+    SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus || ({TURNS}) ELSE o_orderstatus END AS state
+    FROM orders
+    UNION ALL
+    SELECT NULL, o_custkey, o_orderstatus || turn FROM orders, unnest(range(1, 2 + o_orderkey % 3)) AS t(turn)
+    WHERE o_orderkey % 100 = 0
+    """,
+)
+def upsert_repeated(spark, sf_dir):
+    """The latest of repeated incoming rows counts; NULL keys are added as they come."""
+    orders = table(spark, sf_dir, "orders")
+    base = orders.select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("state"))
+    turns = orders.withColumn("turn", F.explode(F.expr(f"sequence(1L, {TURNS})")))
+    state = F.concat("o_orderstatus", F.col("turn").cast("string")).alias("state")
+    even = turns.filter("o_orderkey % 2 = 0").select("o_orderkey", "o_custkey", state, "turn")
+    unkeyed = turns.filter("o_orderkey % 100 = 0").select(
+        F.lit(None).cast("bigint").alias("o_orderkey"), "o_custkey", state, "turn"
+    )
+    return load.upsert(base, even.unionByName(unkeyed), ["o_orderkey"], order=["turn"])
+
+
 @query(
     "clone_definition",
     """
     SELECT 'new_owner' AS owner, 'copy_' || o_custkey AS name, o_orderkey + 1 AS number,
-           o_orderstatus AS content_type, o_orderpriority AS partition_key, 'o_orderkey' AS primary_key,
-           'struct ' || o_custkey AS sdl, 'UNRELEASED' AS state, 'keep' AS entry_keys,
-           'price ' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS description
+           o_orderstatus AS media, o_orderpriority AS split_key, 'o_orderkey' AS main_key,
+           'struct ' || o_custkey AS layout, 'DRAFT' AS state, 'keep' AS entry_keys,
+           'price ' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS notes,
+           CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'files' END AS storage, 'zone ' || o_orderstatus AS zone,
+           o_orderkey % 2 = 0 AS governed, 'someone' AS changed_by, false AS has_link, false AS has_extra
     FROM orders
     """,
 )
 def clone_definition(spark, sf_dir):
+    """Every carried field, a default for absent storage, and what is left behind."""
     version = F.struct(
         F.struct(
-            F.col("o_orderstatus").alias("contentType"),
-            F.array("o_orderpriority").alias("partitionKeys"),
+            F.col("o_orderstatus").alias("media"),
+            F.array("o_orderpriority").alias("splitKeys"),
+            F.struct(
+                F.array(F.lit("o_orderkey")).alias("mainKeys"),
+                F.concat(F.lit("struct "), F.col("table_id")).alias("layout"),
+                F.lit("elsewhere").alias("link"),
+            ).alias("shape"),
+            F.when(F.col("version") % 3 != 0, "files").alias("storage"),
             F.struct(
-                F.array(F.lit("o_orderkey")).alias("primaryKeys"),
-                F.concat(F.lit("struct "), F.col("table_id")).alias("sdl"),
-                F.lit("elsewhere").alias("sdlReference"),
-            ).alias("schema"),
-            F.lit("DAY").alias("partitionType"),
-            F.lit("files").alias("dataplaneType"),
-        ).alias("definition"),
+                F.struct(
+                    F.concat(F.lit("zone "), F.col("o_orderstatus")).alias("zone"),
+                    F.lit("own").alias("extra"),
+                ).alias("disk")
+            ).alias("place"),
+        ).alias("body"),
         F.concat(
             F.lit("price "), F.col("o_totalprice").cast("decimal(18,2)").cast("string")
-        ).alias("description"),
+        ).alias("notes"),
         F.struct(
             F.create_map(F.lit("keep"), F.lit("1"), F.lit("drop"), F.lit("2")).alias("entries")
-        ).alias("appendix"),
-        F.struct(F.lit("someone").alias("by")).alias("audit"),
+        ).alias("extras"),
+        F.struct(F.lit("someone").alias("by")).alias("history"),
+        (F.col("version") % 2 == 0).alias("governed"),
     )
     versions = order_versions(spark, sf_dir).withColumn("v", version)
     copy = load.clone_definition(
         F.col("v"),
-        F.lit("new_owner"),
-        F.concat(F.lit("copy_"), F.col("table_id")),
-        F.col("version") + 1,
-        dropped_entries=["drop"],
+        versions.schema["v"].dataType,
+        new={
+            "owner": F.lit("new_owner"),
+            "name": F.concat(F.lit("copy_"), F.col("table_id")),
+            "number": F.col("version") + 1,
+            "state": F.lit("DRAFT"),
+        },
+        carried=(
+            "body.media", "body.splitKeys", "body.shape", "body.storage", "body.place.disk.zone",
+            "notes", "extras", "history", "governed", "body.unknown",
+        ),
+        dropped=["body.shape.link"],
+        without={"extras.entries": ["drop"]},
+        defaults={"body.storage": F.lit("")},
     )
-    return versions.select(copy.alias("c")).select(
-        F.col("c.providerId").alias("owner"),
-        F.col("c.tableName").alias("name"),
-        F.col("c.versionNumber").alias("number"),
-        F.col("c.definition.contentType").alias("content_type"),
-        F.col("c.definition.partitionKeys")[0].alias("partition_key"),
-        F.col("c.definition.schema.primaryKeys")[0].alias("primary_key"),
-        F.col("c.definition.schema.sdl").alias("sdl"),
-        F.col("c.lifecycleState").alias("state"),
-        F.array_join(F.map_keys("c.appendix.entries"), ",").alias("entry_keys"),
-        F.col("c.description").alias("description"),
+    copies = versions.select(copy.alias("c"))
+    kept = copies.schema["c"].dataType["body"].dataType
+    return copies.select(
+        "c.owner",
+        "c.name",
+        "c.number",
+        F.col("c.body.media").alias("media"),
+        F.col("c.body.splitKeys")[0].alias("split_key"),
+        F.col("c.body.shape.mainKeys")[0].alias("main_key"),
+        F.col("c.body.shape.layout").alias("layout"),
+        "c.state",
+        F.array_join(F.map_keys("c.extras.entries"), ",").alias("entry_keys"),
+        "c.notes",
+        F.col("c.body.storage").alias("storage"),
+        F.col("c.body.place.disk.zone").alias("zone"),
+        "c.governed",
+        F.col("c.history.by").alias("changed_by"),
+        F.lit("link" in kept["shape"].dataType.fieldNames()).alias("has_link"),
+        F.lit("extra" in kept["place"].dataType["disk"].dataType.fieldNames()).alias("has_extra"),
     )

@@ -159,6 +159,28 @@ def region_cutoff(spark, sf_dir):
     )
 
 
+# Every seventh customer has a region without a zone, every eleventh none.
+PLANTED = "CASE WHEN o_custkey % 7 = 0 THEN 6 WHEN o_custkey % 11 <> 0 THEN region_id END"
+
+
+@query(
+    "region_without_zone",
+    with_fx(
+        f"""
+        SELECT region_id, count(*) AS row_count, count(*) FILTER (region_id BETWEEN 1 AND 5) AS with_cutoff
+        FROM (SELECT {PLANTED} AS region_id FROM fx_prod) GROUP BY region_id
+        """
+    ),
+)
+def region_without_zone(spark, sf_dir):
+    planted = fx_prod(spark, sf_dir).withColumn("region_id", F.expr(PLANTED).cast("int"))
+    return (
+        dates.region_cutoff(planted, END_OF_DAY)
+        .groupBy("region_id")
+        .agg(F.count(F.lit(1)).alias("row_count"), F.count("cutoff").alias("with_cutoff"))
+    )
+
+
 @query(
     "filter_interval",
     "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15'",
