@@ -284,3 +284,12 @@ def test_samples_beyond_a_thousand(spark):
     assert rows_of.count() == 3000
     text = rows_of._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in text and "Window" not in text
+
+
+def test_types_of_the_baseline_on_request(spark):
+    one = spark.sql("select 1 k, 5 a, date'2024-01-02' d")
+    two = spark.sql("select 1L k, 5.00BD a, '2024-01-02' d")
+    assert flags_of(one, two) == {"NOT MATCHING": 1}
+    result = reconcile(one, two, "k", cast=True)
+    assert flags(result.rollup) == {recon.MATCHING: 1}
+    assert "a int -> decimal" in result.schema_summary.first()["type_drift"]

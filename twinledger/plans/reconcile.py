@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from twinledger.functions.columns import all_named
+from twinledger.functions.columns import all_named, named
 from twinledger.functions.text import split_names
 from twinledger.operators import counts, recon, schema
 from twinledger.operators.scope import FULL, Scope, choose_scope
@@ -25,11 +25,27 @@ class Reconciliation:
     scope: Scope = FULL
     mode: str = "safe"
     region: str | None = None
+    cast: bool = False
+
+    def _aligned(self) -> DataFrame:
+        """The candidate as it is compared: with ``cast``, in the baseline's types."""
+        if not self.cast:
+            return self.candidate
+        types = {f.name.lower(): f.dataType for f in self.baseline.schema.fields}
+        wanted = {name.lower() for name in (*self.keys, *self.columns)}
+        return self.candidate.select(
+            *[
+                named(f.name).try_cast(types[f.name.lower()]).alias(f.name)
+                if f.name.lower() in wanted and f.dataType != types[f.name.lower()]
+                else named(f.name)
+                for f in self.candidate.schema.fields
+            ]
+        )
 
     def _sides(self) -> tuple[DataFrame, DataFrame]:
         return tuple(
             recon.fingerprint(self.scope.apply(side), self.keys, self.columns, self.mode)
-            for side in (self.baseline, self.candidate)
+            for side in (self.baseline, self._aligned())
         )
 
     @property
@@ -149,13 +165,16 @@ def reconcile(
     run_date: str | None = None,
     end_of_day: str | None = None,
     mode: str = "safe",
+    cast: bool = False,
 ) -> Reconciliation:
     """Set up a comparison of two tables on their common columns.
 
     ``exclude`` columns are neither compared nor counted as differences. With
     no ``scope`` the tables' columns choose one, and ``run_date`` or
     ``end_of_day`` gives its value. Region sections appear if both tables have
-    the region column; nothing else depends on it.
+    the region column; nothing else depends on it. With ``cast`` the candidate's
+    columns are compared in the baseline's types (NULL where a value has no such
+    form); the schema sections show the types as they are.
     """
     key_names = split_names(keys)
     if not key_names:
@@ -177,4 +196,5 @@ def reconcile(
         scope,
         mode,
         by_lower.get(schema.REGION_COLUMN),
+        cast,
     )
