@@ -94,16 +94,19 @@ def top_k(data: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", v
     for pack, parts in packs.values():
         splits[pack] = max(parts, splits.get(pack, 1))
     split_of = F.create_map(*(F.lit(x) for item in splits.items() for x in item))
-    parts = max(1, -(-shape["rows"] // DATA))
+    # one row a pack, of which there are no more than pivots
+    held = {row["pack"]: row["count"] for row in replicas.groupBy("pack").count().collect()}
+    parts_of = F.create_map(*(F.lit(x) for pack in splits for x in (pack, max(1, -(-held.get(pack, 0) // DATA)))))
+    parts = parts_of[F.col("pack")]
     split = F.pmod(F.xxhash64("id"), split_of[F.col("pack")])
     left = (
         queries.withColumn("pack", pack_of[F.col("cell")])
         .withColumn("split", split)
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
         .select("pack", "split", "part", "id", "vector")
     )
     right = (
-        replicas.withColumn("part", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(parts)).cast("int"))
+        replicas.withColumn("part", F.pmod(F.xxhash64("id", F.lit(3)), parts).cast("int"))
         .withColumn("split", F.explode(F.sequence(F.lit(0).cast("bigint"), split_of[F.col("pack")].cast("bigint") - 1)))
         .select("pack", "split", "part", "id", "vector")
     )
