@@ -91,9 +91,9 @@ def mix(
     A document is taken ``floor(target / source_size)`` times and, in the seeded order
     of MD5, once more until the rest of the target is reached. That choice is
     made within strata of a source (sizes of the same power of two), and the
-    source's largest stratum also evens out what the others miss, so that the
-    words taken differ from the target by little more than a document of that stratum. The
-    running sums go over hash buckets, as many as the square root of a
+    stratum of the smallest documents that can do so evens out what the others
+    miss, so that the words taken differ from the target by about half a
+    document of that stratum. The running sums go over hash buckets, as many as the square root of a
     stratum's rows, so a source of any share is spread over tasks.
 
     NULL and empty texts have size 0 and are taken as often as their source's
@@ -170,18 +170,24 @@ def _rest(rows: DataFrame, strata: DataFrame, sources: DataFrame, seed: str) ->
         F.sum("size").alias("words"),
         F.coalesce(F.sum(F.when(F.col("middle") <= F.col("quota"), F.col("size"))), F.lit(0)).alias("got"),
     )
-    largest = reached.groupBy("source").agg(
+    miss = F.col("quota").cast("decimal(38,6)") - F.col("got")
+    missed = reached.groupBy(F.col("source").alias("of")).agg(
         F.max(F.struct("words", "stratum")).getField("stratum").alias("largest"),
-        F.sum(F.col("quota") - F.col("got")).alias("missed"),
-    ).withColumnRenamed("source", "of")
+        F.sum(miss).cast("double").alias("missed"),
+    )
+    moved = F.col("got") + F.col("missed")
+    pick = F.struct(F.col("stratum").alias("evens"), moved.alias("line"))
+    fits = (moved >= 0) & (moved <= F.col("words"))
     even = (
-        reached.join(largest, F.col("source").eqNullSafe(F.col("of")) & (F.col("stratum") == F.col("largest")))
-        .select("of", "largest", (F.col("quota") + F.col("missed") - (F.col("quota") - F.col("got"))).alias("line"))
+        reached.join(missed, F.col("source").eqNullSafe(F.col("of")))
+        .groupBy("of")
+        .agg(F.coalesce(F.min(F.when(fits, pick)), F.min(F.when(F.col("stratum") == F.col("largest"), pick))).alias("pick"))
+        .select("of", "pick.*")
     )
     sources = sources.join(even, F.col("source").eqNullSafe(F.col("of")), "left").select(
-        F.col("source").alias("of"), "source_size", "target", "whole", "largest", "line"
+        F.col("source").alias("of"), "source_size", "target", "whole", "evens", "line"
     )
-    line = F.when(F.col("stratum") == F.col("largest"), F.col("line")).otherwise(F.col("quota"))
+    line = F.when(F.col("stratum") == F.col("evens"), F.col("line")).otherwise(F.col("quota"))
     return placed.join(sources, F.col("source").eqNullSafe(F.col("of"))).withColumn(
         "extra", (F.col("size") > 0).cast("int") * (F.col("middle") <= line).cast("int")
     )

@@ -123,13 +123,20 @@ WITH d AS (
   SELECT source, stratum, any_value(words) AS words, any_value(quota) AS quota,
          coalesce(sum(size) FILTER (middle <= quota), 0) AS got
   FROM q GROUP BY source, stratum
-), line AS (
-  SELECT source, max_by(stratum, (words, stratum)) AS largest, sum(quota - got) AS missed,
-         max_by(got, (words, stratum)) AS got
+), total_missed AS (
+  SELECT source, max_by(stratum, (words, stratum)) AS largest,
+         CAST(sum(CAST(quota AS DECIMAL(38,6)) - got) AS DOUBLE) AS missed
   FROM g GROUP BY source
+), moved AS (
+  SELECT g.*, largest, got + missed AS line, got + missed BETWEEN 0 AND words AS fits
+  FROM g JOIN total_missed m ON g.source IS NOT DISTINCT FROM m.source
+), line AS (
+  SELECT source, coalesce(min(stratum) FILTER (fits), any_value(largest)) AS evens,
+         coalesce(min_by(line, stratum) FILTER (fits), min(line) FILTER (stratum = largest)) AS line
+  FROM moved GROUP BY source
 )
 SELECT doc_id, size, source_size, target,
-       CAST((whole + CASE WHEN size > 0 AND middle <= CASE WHEN stratum = largest THEN got + missed ELSE quota END
+       CAST((whole + CASE WHEN size > 0 AND middle <= CASE WHEN stratum = evens THEN line ELSE quota END
                      THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM q JOIN line ON q.source IS NOT DISTINCT FROM line.source
 """
