@@ -192,9 +192,9 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def rule_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        rules(), "rule int, label string, keyword string, priority int, confidence double, expression string"
-    )
+    names = ("rule", "label", "keyword", "priority", "confidence", "expression")
+    every = [F.struct(*(F.lit(value).alias(name) for name, value in zip(names, rule))) for rule in rules()]
+    return spark.range(1).select(F.inline(F.array(*every)))
 
 
 def kept_detections(spaced: DataFrame) -> DataFrame:
