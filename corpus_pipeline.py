@@ -10,9 +10,10 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from twinledger.functions.columns import named
 from twinledger.llm import bpe, mixing, pii, quality, shingles
 from twinledger.llm.queries import RANKS
-from twinledger.llm.shared import column, shared_folder, unused
+from twinledger.llm.shared import shared_folder, unused
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Documents below this chance of label 1 are rejected.
@@ -23,14 +24,14 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents that the classifier, trained on the labelled ones, doesn't reject."""
     weights = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     score = unused(docs, "_score")
-    return docs.withColumn(score, quality.score(F.col("text"), weights)).filter(column(score) >= QUALITY).drop(score)
+    return docs.withColumn(score, quality.score(F.col("text"), weights)).filter(named(score) >= QUALITY).drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents connected by links of 0.8 or more on 5-grams the one of the smallest id."""
     found = unused(docs, "_id")
     gone = shingles.jaccard_join(docs, n=5, threshold=0.8).filter(~F.col("kept")).select(F.col("doc_id").alias(found))
-    return docs.join(gone.distinct(), column("doc_id") == F.col(found), "left_anti")
+    return docs.join(gone.distinct(), named("doc_id") == F.col(found), "left_anti")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,22 +44,22 @@ def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, at most three times."""
     found, copies, copy = (unused(docs, name) for name in ("_id", "_copies", "_copy"))
     taken = mixing.mix(docs).filter(F.col("copies") > 0).groupBy(F.col("doc_id").alias(found)).agg(F.max("copies").alias(copies))
-    repeated = docs.join(taken, column("doc_id").eqNullSafe(F.col(found)))
+    repeated = docs.join(taken, named("doc_id").eqNullSafe(F.col(found)))
     return repeated.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(
-        *(column(c) for c in docs.columns)
+        *(named(c) for c in docs.columns)
     )
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each text, with the digest of what they decode to."""
     ranks = bpe.rank_map(spark, public_tokenizers.path(RANKS))
-    encoded = docs.select("doc_id", "source", bpe.encode("text", ranks, public_tokenizers.PATTERN).alias("ids"))
+    encoded = docs.select("doc_id", "source", bpe.round_trip("text", ranks, public_tokenizers.PATTERN).alias("trip"))
     return encoded.select(
         "doc_id",
         "source",
-        bpe.token_count("ids").alias("n_tokens"),
-        "ids",
-        F.sha2(bpe.decode("ids", ranks), 256).alias("decoded_sha256"),
+        bpe.token_count("trip.ids").alias("n_tokens"),
+        F.col("trip.ids").alias("ids"),
+        F.sha2("trip.decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -26,12 +26,14 @@ def test_ids_and_round_trip(spark, reference):
     ranks = bpe.rank_map(spark, PATH)
     df = spark.createDataFrame(list(enumerate(TEXTS)) + [(None, "x"), (1, "x")], "doc_id long, text string")
     out = df.withColumn("ids", bpe.encode("text", ranks, public_tokenizers.PATTERN))
-    rows = out.select("*", bpe.decode("ids", ranks).alias("back"), bpe.token_count("ids").alias("n")).collect()
+    trip = bpe.round_trip("text", ranks, public_tokenizers.PATTERN)
+    rows = out.select("*", bpe.decode("ids", ranks).alias("back"), bpe.token_count("ids").alias("n"), trip.alias("trip")).collect()
     assert len(rows) == len(TEXTS) + 2
     for row in rows:
         ids = reference.encode_ordinary(row.text or "")
         assert [int.from_bytes(row.ids[i : i + 4], "little") for i in range(0, len(row.ids), 4)] == ids
         assert bytes(row.back).decode() == (row.text or "") and row.n == len(ids)
+        assert (row.trip.ids, row.trip.decoded) == (row.ids, row.back)
 
 
 def test_documents(spark, middle, reference):

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,8 +18,10 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession, functions as F
 
+from twinledger.llm.shared import bounded_batches
+
 #: Distinct words whose ids a worker keeps at a time, and the longest that it keeps.
-KEPT_WORDS, KEPT_LENGTH = 300_000, 64
+KEPT_WORDS, KEPT_LENGTH = 100_000, 64
 #: Words of more bytes are merged from a heap.
 SHORT = 48
 
@@ -99,9 +101,26 @@ class _Encoded(dict):
 
 def rank_map(spark: SparkSession, path: str) -> Broadcast:
     """The rank file, for ``encode`` and ``decode``; its size is that of the vocabulary."""
+    bounded_batches(spark)
     return spark.sparkContext.broadcast(read_ranks(path))
 
 
+def _encoder(ranks: dict[bytes, int], pattern: str) -> Callable[[str | None], bytes]:
+    split, known = regex.compile(pattern).findall, _Encoded(ranks)
+
+    def encoded(text: str | None) -> bytes:
+        if len(known) > KEPT_WORDS:
+            known.clear()
+        return b"".join([known[word] for word in split(text or "")])
+
+    return encoded
+
+
+def _decoder(ranks: dict[bytes, int]) -> Callable[[bytes | None], bytes]:
+    pieces = {rank: token for token, rank in ranks.items()}
+    return lambda ids: b"".join([pieces[i] for i in np.frombuffer(ids or b"", "<u4").tolist()])
+
+
 def encode(text: str | Column, ranks: Broadcast, pattern: str) -> Column:
     """The ids of whole texts as little-endian unsigned 32-bit integers.
 
@@ -110,15 +129,9 @@ def encode(text: str | Column, ranks: Broadcast, pattern: str) -> Column:
 
     @F.pandas_udf("binary")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        split = regex.compile(pattern).findall
-        known = _Encoded(ranks.value)
+        one = _encoder(ranks.value, pattern)
         for batch in batches:
-            ids = []
-            for one in batch:
-                ids.append(b"".join([known[word] for word in split(one or "")]))
-                if len(known) > KEPT_WORDS:
-                    known.clear()
-            yield pd.Series(ids, dtype=object)
+            yield pd.Series([one(text) for text in batch], dtype=object)
 
     return encoded(text)
 
@@ -128,12 +141,25 @@ def decode(ids: str | Column, ranks: Broadcast) -> Column:
 
     @F.pandas_udf("binary")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        pieces = {rank: token for token, rank in ranks.value.items()}
+        one = _decoder(ranks.value)
         for batch in batches:
-            yield pd.Series([b"".join([pieces[i] for i in np.frombuffer(x or b"", "<u4").tolist()]) for x in batch], dtype=object)
+            yield pd.Series([one(x) for x in batch], dtype=object)
 
     return decoded(ids)
 
 
+def round_trip(text: str | Column, ranks: Broadcast, pattern: str) -> Column:
+    """``ids`` as ``encode`` gives them and ``decoded``, what they decode to, from one worker a task."""
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def there_and_back(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        there, back = _encoder(ranks.value, pattern), _decoder(ranks.value)
+        for batch in batches:
+            ids = [there(text) for text in batch]
+            yield pd.DataFrame({"ids": ids, "decoded": [back(x) for x in ids]}, dtype=object)
+
+    return there_and_back(text)
+
+
 def token_count(ids: str | Column) -> Column:
     return (F.octet_length(ids) / 4).cast("long")

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from twinledger.llm.shared import checkpointed
-from twinledger.llm.vectors import distances, finite, matrix, sample
+from twinledger.llm.vectors import distances, matrix
 
 #: Queries that share a task, and data vectors that a task holds on average.
 QUERIES, DATA = 2048, 8192
@@ -182,6 +182,3 @@ def _ranked(found: DataFrame, k: int, id_col: str) -> DataFrame:
         .filter(F.col("rank") <= k)
         .select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score")
     )
-
-
-__all__ = ["finite", "quantised", "sample", "top_k"]

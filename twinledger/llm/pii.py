@@ -18,7 +18,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from twinledger.llm.shared import checkpointed, column, unused
+from twinledger.functions.columns import named
+from twinledger.llm.shared import bounded_batches, checkpointed, unused
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -161,6 +162,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sett
     is a span in documents that hold the entity it discloses, within the
     window around it. Copies of a text count as documents but not as different texts.
     """
+    bounded_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     found = checkpointed(
         source.select("id", F.xxhash64("text").alias("text_hash"), _detector(settings.window)("text").alias("found"))
@@ -248,7 +250,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", se
     spans = (
         detect(docs, id_col, text_col, settings)
         .filter(F.size("spans") > 0)
-        .select(column(id_col).alias(found_id), F.col("text_hash").alias(found_hash), F.col("spans").alias(found))
+        .select(named(id_col).alias(found_id), F.col("text_hash").alias(found_hash), F.col("spans").alias(found))
         .dropDuplicates([found_id, found_hash])
     )
 
@@ -262,8 +264,8 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", se
             dtype=object,
         )
 
-    joined = docs.withColumn(own_hash, F.xxhash64(column(text_col))).join(
-        spans, column(id_col).eqNullSafe(F.col(found_id)) & (F.col(own_hash) == F.col(found_hash)), "left"
+    joined = docs.withColumn(own_hash, F.xxhash64(named(text_col))).join(
+        spans, named(id_col).eqNullSafe(F.col(found_id)) & (F.col(own_hash) == F.col(found_hash)), "left"
     )
-    text = F.when(F.col(found).isNull(), column(text_col)).otherwise(replaced(column(text_col), found))
-    return joined.select(*(text.alias(c) if c == text_col else column(c) for c in docs.columns))
+    text = F.when(F.col(found).isNull(), named(text_col)).otherwise(replaced(named(text_col), found))
+    return joined.select(*(text.alias(c) if c == text_col else named(c) for c in docs.columns))

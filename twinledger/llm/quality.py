@@ -17,8 +17,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from twinledger.llm.shared import bounded_batches
+
 #: Distinct words whose hashes a worker keeps at a time.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 100_000
 
 
 class Settings(NamedTuple):
@@ -32,7 +34,7 @@ class Settings(NamedTuple):
     l2: float = 0.001
     epochs: int = 4
     max_rows: int = 32_768
-    shard_rows: int = 4_096
+    shard_rows: int = 2_048
     seed: int = 11
 
 
@@ -98,7 +100,7 @@ def _weights(z: np.ndarray, n: np.ndarray, s: Settings) -> np.ndarray:
 def ftrl(texts: list[str | None], labels: np.ndarray, s: Settings) -> np.ndarray:
     """The weights after ``epochs`` passes of follow-the-regularised-leader updates."""
     known = _Hashes()
-    rows = [features(text, s.bits, known) for text in texts]
+    rows = [(i.astype(np.int32), v.astype(np.float32)) for i, v in (features(t, s.bits, known) for t in texts)]
     z, n = np.zeros(1 << s.bits), np.zeros(1 << s.bits)
     random = np.random.default_rng(s.seed)
     for _ in range(s.epochs):
@@ -128,6 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     averaged. Only the weights, ``2 ** bits`` at most, reach the driver. Without
     a labelled row all weights are 0.
     """
+    bounded_batches(docs.sparkSession)
     usable = labels.select(F.col("doc_id").cast("long").alias("id"), "quality").filter(
         F.col("id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("id"))
     )

@@ -64,13 +64,13 @@ def op3_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.rank_map(spark, public_tokenizers.path(RANKS))
     encoded = table(spark, sf_dir, "documents").select(
-        "doc_id", bpe.encode("text", ranks, public_tokenizers.PATTERN).alias("ids")
+        "doc_id", bpe.round_trip("text", ranks, public_tokenizers.PATTERN).alias("trip")
     )
     return encoded.select(
         "doc_id",
-        bpe.token_count("ids").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(bpe.decode("ids", ranks), 256).alias("decoded_sha256"),
+        bpe.token_count("trip.ids").alias("n_tokens"),
+        F.sha2("trip.ids", 256).alias("ids_sha256"),
+        F.sha2("trip.decoded", 256).alias("decoded_sha256"),
     )
 
 

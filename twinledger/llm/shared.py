@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-SETTING = "spark.checkpoint.dir"
+from twinledger.sources import shared as sources
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names.
 
-    Where it is unset, as in tests, a folder in the session's warehouse is taken, which a
-    cluster shares as well.
-    """
-    folder = spark.conf.get(SETTING, None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder, in which checkpoints go too."""
+    folder = sources.shared_folder(spark)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+    return folder
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of a few MB, whatever the length of the texts."""
+    if spark.conf.get(BATCH) == "67108864b":  # Spark's own default
+        spark.conf.set(BATCH, "8m")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -31,8 +35,3 @@ def unused(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
-
-
-def column(name: str):
-    """The column of that very name, dots and all."""
-    return F.col("`" + name.replace("`", "``") + "`")

@@ -18,14 +18,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from twinledger.llm.components import components
-from twinledger.llm.shared import checkpointed
+from twinledger.llm.shared import bounded_batches, checkpointed
 
 #: Bytes that end a word become blanks, A-Z become a-z.
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
 )
 #: Distinct words whose hashes a worker keeps at a time.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 100_000
 #: Buckets up to this size give pairs, larger ones blocks of this many documents.
 PAIRED, BLOCK = 32, 512
 #: Columns of the incidence matrix that a block fills at a time.
@@ -150,6 +150,7 @@ def jaccard_join(
     own class. A row with a NULL id takes part under no id: it gets no links.
     Repeated rows of one id count as copies.
     """
+    bounded_batches(docs.sparkSession)
     bands = bands_for(threshold, recall)
     signed = checkpointed(signatures(docs, id_col, text_col, n, bands, seed))
     usable = signed.filter("size > 0 AND id IS NOT NULL")
