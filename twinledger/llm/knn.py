@@ -85,9 +85,11 @@ def top_k(data: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", v
 
     def needed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            within = batch["away"].to_numpy()[:, None] >= reach[:, batch["cell"].to_numpy()].T
-            row, pack = np.nonzero(within)
-            yield pd.DataFrame({"pack": pack, "id": batch["id"].to_numpy()[row], "vector": batch["vector"].to_numpy()[row]})
+            for start in range(0, len(batch), ROWS):
+                part = batch.iloc[start : start + ROWS]
+                within = part["away"].to_numpy()[:, None] >= reach[:, part["cell"].to_numpy()].T
+                row, pack = np.nonzero(within)
+                yield pd.DataFrame({"pack": pack, "id": part["id"].to_numpy()[row], "vector": part["vector"].to_numpy()[row]})
 
     replicas = data.mapInPandas(needed, "pack int, id long, vector array<bigint>")
     pack_of, splits = F.create_map(*(F.lit(x) for cell, (pack, _) in packs.items() for x in (cell, pack))), {}
