@@ -2,21 +2,17 @@
 
 The result of that join is only ever read as join keys plus a flag, and a key
 with ``p`` rows on one side and ``t`` on the other gives ``p * t`` rows that
-differ in nothing but the flag. So the join is not run as a join:
-
-* both sides are folded to one row per key: the rows of each side and the
-  smallest and largest fingerprint, all of fixed size and combined before the
-  one shuffle that is as large as the rows;
-* that settles every key that one side lacks, every key with one fingerprint
-  (matching pairs = p * t) and every key with one row a side;
-* keys with repeated rows and several fingerprints go on to be counted per
-  (key, fingerprint): matching pairs = the sum over fingerprints of p_h * t_h.
-  Where there are none, that branch reads no row;
+differ in nothing but the flag. So the join is not run as a join. Both sides
+are counted per (keys, fingerprint), the counts are added up per key, and the
+number of matching and differing pairs follows from them:
+
+* pairs = p * t, matching pairs = the sum over fingerprints of p_h * t_h;
 * a key with NULL in it matches nothing, as in a join.
 
-No pair is ever built. A key that holds a third of all rows is combined like
-any other; if its rows differ, a join that Spark can split brings them to a
-second count that combines again.
+Both groupings combine before they shuffle, so a key that holds a third of all
+rows costs a task no more than any other, and no pair is ever built. What goes
+over the wire is keys and 16 bytes of fingerprint, then keys and counts. Each
+side is read once.
 
 Pair counts are ``decimal(38,0)``: a hot key may well exceed a bigint. The
 products that fit are computed as bigints, which is all of them for ordinary
@@ -66,12 +62,16 @@ def _sided(df: DataFrame, keys: Sequence[str], p: int, t: int, *more: Column) ->
 
 
 def hash_counts(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per side for each (keys, fingerprint); fingerprints as bytes."""
-    mark = F.unhex("md5_col").alias("_hash")
+    """Rows per side for each (keys, fingerprint); fingerprints as two bigints.
+
+    Fixed-width keys keep the grouping in its fast path; 128 bits tell rows apart
+    as well as the MD5 that they are made from.
+    """
+    halves = [F.xxhash64("md5_col", F.lit(half)).alias(f"_h{half}") for half in (1, 2)]
     return (
-        _sided(baseline, keys, 1, 0, mark)
-        .unionByName(_sided(candidate, keys, 0, 1, mark))
-        .groupBy(*all_named(keys), "_hash")
+        _sided(baseline, keys, 1, 0, *halves)
+        .unionByName(_sided(candidate, keys, 0, 1, *halves))
+        .groupBy(*all_named(keys), "_h1", "_h2")
         .agg(F.sum("_p").alias("_p"), F.sum("_t").alias("_t"))
     )
 
@@ -101,39 +101,9 @@ def _whole(small: Column, large: Column) -> Column:
 
 def key_counts(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key: rows on each side and matching pairs in two parts."""
-    halves = [F.xxhash64("md5_col", F.lit(half)).alias(f"_h{half}") for half in (1, 2)]
-    ends = [
-        end(f"_h{half}").alias(f"_{name}{half}")
-        for half in (1, 2)
-        for name, end in (("low", F.min), ("high", F.max))
-    ]
-    state = (
-        _sided(baseline, keys, 1, 0, *halves)
-        .unionByName(_sided(candidate, keys, 0, 1, *halves))
-        .groupBy(*all_named(keys))
-        .agg(F.sum("_p").alias("prod_rows"), F.sum("_t").alias("test_rows"), *ends)
-    )
-    p, t = F.col("prod_rows"), F.col("test_rows")
-    one = (F.col("_low1") == F.col("_high1")) & (F.col("_low2") == F.col("_high2"))
-    both = _no_null(keys) & (p > 0) & (t > 0)
-    open_keys = both & ~one & ((p > 1) | (t > 1))
-    small, large = _product(p, t)
-    settled = state.filter(~open_keys).select(
-        *all_named(keys),
-        "prod_rows",
-        "test_rows",
-        F.when(one, small).alias("_match_small"),
-        F.when(one, large).alias("_match_large"),
-    )
-    left = state.filter(open_keys)
-    any_left = left.agg(F.count(F.lit(1)) > 0).scalar()
-    again = [
-        side.filter(any_left).join(left.select(*all_named(keys)), list(keys), "left_semi")
-        for side in (baseline, candidate)
-    ]
     small, large = _product(F.col("_p"), F.col("_t"))
-    counted = (
-        hash_counts(*again, keys)
+    return (
+        hash_counts(baseline, candidate, keys)
         .groupBy(*all_named(keys))
         .agg(
             F.sum("_p").alias("prod_rows"),
@@ -142,7 +112,6 @@ def key_counts(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -
             F.sum(large).alias("_match_large"),
         )
     )
-    return settled.unionByName(counted)
 
 
 def _no_null(keys: Sequence[str]) -> Column:
