@@ -60,6 +60,13 @@ def test_reruns_agree_however_rows_lie(spark):
     assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
 
 
+def test_few_and_many_sources_agree(spark, monkeypatch):
+    df = spark.createDataFrame(corpus(5, 6, 150), SCHEMA)
+    few = sorted(map(str, mixing.mix(df).collect()))
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 0)
+    assert sorted(map(str, mixing.mix(df).collect())) == few
+
+
 def test_nulls_white_space_and_no_rows(spark):
     rows = [(1, None, "a"), (2, "", "a"), (3, " \t\n\x0b ", "b"), (4, "x y z\x1cq", None), (4, "x y", None), (None, "p q r", "b")]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("size", F.lit(99)).withColumn("whole", F.lit("w"))

@@ -8,6 +8,8 @@ repeated redistribution of the excess by weight ends at.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from twinledger.llm.shared import checkpointed
@@ -15,6 +17,8 @@ from twinledger.llm.shared import checkpointed
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
 WORDS = r"[^\x20\x09-\x0D]+"
+#: Up to so many sources, of at most 64 size classes each, the figures of each are broadcast.
+FEW_SOURCES = 5000
 
 
 def word_count(text) -> F.Column:
@@ -111,10 +115,12 @@ def mix(
     sources = numbered(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "source", "place")
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int"))
     sources = water_filling(sources.select("source", "source_size", weight.cast("long").alias("weight")), epochs)
+    # sources that are few by count are sent to the documents, many are met by a join
+    small = F.broadcast if sources.count() <= FEW_SOURCES else lambda df: df
     sources = sources.withColumn(
         "whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     ).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    chosen = _rest(rows, strata, sources, seed)
+    chosen = _rest(rows, strata, sources, seed, small)
     copies = F.col("whole") + F.col("extra")
     return chosen.select(
         F.col("id").alias(id_col),
@@ -127,7 +133,9 @@ def mix(
     )
 
 
-def _rest(rows: DataFrame, strata: DataFrame, sources: DataFrame, seed: str) -> DataFrame:
+def _rest(
+    rows: DataFrame, strata: DataFrame, sources: DataFrame, seed: str, small: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
     """``rows`` with their source's figures and ``extra``, 1 for those that fill its rest."""
     plan = strata.join(sources.select(F.col("source").alias("of"), "source_size", "rest"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     plan = plan.withColumn(
@@ -136,7 +144,7 @@ def _rest(rows: DataFrame, strata: DataFrame, sources: DataFrame, seed: str) ->
     order = F.md5(F.concat_ws(":", F.lit(seed), F.col("id").cast("string")))
     dealt = (
         rows.join(
-            plan.select(F.col("source").alias("of"), F.col("stratum").alias("in"), "buckets", "quota"),
+            small(plan.select(F.col("source").alias("of"), F.col("stratum").alias("in"), "buckets", "quota")),
             F.col("source").eqNullSafe(F.col("of")) & (F.col("stratum") == F.col("in")),
         )
         .drop("of", "in")
@@ -188,6 +196,6 @@ def _rest(rows: DataFrame, strata: DataFrame, sources: DataFrame, seed: str) ->
         F.col("source").alias("of"), "source_size", "target", "whole", "evens", "line"
     )
     line = F.when(F.col("stratum") == F.col("evens"), F.col("line")).otherwise(F.col("quota"))
-    return placed.join(sources, F.col("source").eqNullSafe(F.col("of"))).withColumn(
+    return placed.join(small(sources), F.col("source").eqNullSafe(F.col("of"))).withColumn(
         "extra", (F.col("size") > 0).cast("int") * (F.col("middle") <= line).cast("int")
     )
