@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,10 +19,10 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession, functions as F
 
-from twinledger.llm.shared import bounded_batches
+from twinledger.llm.shared import Recent, bounded_batches
 
-#: Distinct words whose ids a worker keeps at a time, and the longest that it keeps.
-KEPT_WORDS, KEPT_LENGTH = 100_000, 64
+#: Distinct words that a worker takes for recent, and the longest that it keeps.
+KEPT_WORDS, KEPT_LENGTH = 150_000, 64
 #: Words of more bytes are merged from a heap.
 SHORT = 48
 
@@ -85,18 +86,18 @@ def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-class _Encoded(dict):
-    """The ids of words seen, as bytes."""
+class _Encoded(Recent):
+    """The ids of words seen lately, as bytes; long words are not kept."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
-        self.ranks = ranks
+        def packed(word: str) -> bytes:
+            ids = merge(word.encode("utf-8", "surrogatepass"), ranks)
+            return struct.pack(f"<{len(ids)}I", *ids)
+
+        super().__init__(packed, KEPT_WORDS)
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(merge(word.encode("utf-8", "surrogatepass"), self.ranks), dtype="<u4").tobytes()
-        if len(word) <= KEPT_LENGTH:
-            self[word] = ids
-        return ids
+        return super().__missing__(word) if len(word) <= KEPT_LENGTH else self.compute(word)
 
 
 def rank_map(spark: SparkSession, path: str) -> Broadcast:
@@ -108,12 +109,7 @@ def rank_map(spark: SparkSession, path: str) -> Broadcast:
 def _encoder(ranks: dict[bytes, int], pattern: str) -> Callable[[str | None], bytes]:
     split, known = regex.compile(pattern).findall, _Encoded(ranks)
 
-    def encoded(text: str | None) -> bytes:
-        if len(known) > KEPT_WORDS:
-            known.clear()
-        return b"".join([known[word] for word in split(text or "")])
-
-    return encoded
+    return lambda text: b"".join([known[word] for word in split(text or "")])
 
 
 def _decoder(ranks: dict[bytes, int]) -> Callable[[bytes | None], bytes]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from twinledger.sources import shared as sources
@@ -23,6 +25,28 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH, "8m")
 
 
+class Recent(dict):
+    """Values computed once and kept while they are asked for.
+
+    When ``most`` are held, those become the old ones, which are forgotten the next time
+    unless they were asked for again: frequent keys stay, and twice ``most`` bounds what is held.
+    """
+
+    def __init__(self, compute: Callable, most: int):
+        super().__init__()
+        self.compute, self.most, self.old = compute, most, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.old = self.copy()
+            self.clear()
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
+        return value
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the cluster's shared folder."""
     shared_folder(df.sparkSession)
