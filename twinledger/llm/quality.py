@@ -17,9 +17,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from twinledger.llm.shared import bounded_batches
+from twinledger.llm.shared import Recent, bounded_batches
 
-#: Distinct words whose hashes a worker keeps at a time.
+#: Distinct words that a worker takes for recent.
 KEPT_WORDS = 100_000
 
 
@@ -50,12 +50,13 @@ def shape(word: str) -> str:
     return word
 
 
-class _Hashes(dict):
-    """The hashes of a word and of its shape."""
+def _hashes(word: str) -> tuple[int, int]:
+    """Of a word and of its shape."""
+    return tuple(zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in (word.lower(), shape(word)))
 
-    def __missing__(self, word: str) -> tuple[int, int]:
-        value = self[word] = tuple(zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in (word.lower(), shape(word)))
-        return value
+
+def _known() -> Recent:
+    return Recent(_hashes, KEPT_WORDS)
 
 
 def _slots(streams: list[np.ndarray], bits: int, group: int) -> tuple[np.ndarray, np.ndarray]:
@@ -78,8 +79,6 @@ def _grams(x: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
 def features(text: str | None, bits: int, known: dict) -> tuple[np.ndarray, np.ndarray]:
     """Slots of the table and their values; slot 0 is the bias."""
     found = (text or "").split()
-    if len(known) > KEPT_WORDS:
-        known.clear()
     pairs = np.array([known[w] for w in found], dtype=np.uint64).reshape(-1, 2)
     words, shapes = pairs[:, 0], pairs[:, 1].copy()
     shapes[1:][words[1:] == words[:-1]] = 1
@@ -99,7 +98,7 @@ def _weights(z: np.ndarray, n: np.ndarray, s: Settings) -> np.ndarray:
 
 def ftrl(texts: list[str | None], labels: np.ndarray, s: Settings) -> np.ndarray:
     """The weights after ``epochs`` passes of follow-the-regularised-leader updates."""
-    known = _Hashes()
+    known = _known()
     rows = [(i.astype(np.int32), v.astype(np.float32)) for i, v in (features(t, s.bits, known) for t in texts)]
     z, n = np.zeros(1 << s.bits), np.zeros(1 << s.bits)
     random = np.random.default_rng(s.seed)
@@ -173,7 +172,7 @@ def score(text, weights: np.ndarray, settings: Settings = Settings()) -> F.Colum
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = _Hashes()
+        known = _known()
         for batch in batches:
             totals = []
             for one in batch:

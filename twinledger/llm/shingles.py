@@ -18,13 +18,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from twinledger.llm.components import components
-from twinledger.llm.shared import bounded_batches, checkpointed
+from twinledger.llm.shared import Recent, bounded_batches, checkpointed
 
 #: Bytes that end a word become blanks, A-Z become a-z.
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
 )
-#: Distinct words whose hashes a worker keeps at a time.
+#: Distinct words that a worker takes for recent.
 KEPT_WORDS = 100_000
 #: Buckets up to this size give pairs, larger ones blocks of this many documents.
 PAIRED, BLOCK = 32, 512
@@ -53,10 +53,8 @@ def bands_for(threshold: float, recall: float, hashes: int = 160) -> Bands:
     return best
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+def _words() -> Recent:
+    return Recent(xxhash.xxh64_intdigest, KEPT_WORDS)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -67,8 +65,6 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def shingle_hashes(text: str | None, n: int, words: dict) -> np.ndarray:
     """The distinct 64-bit hashes of a text's word n-grams, sorted."""
     found = (text or "").encode("utf-8", "surrogatepass").translate(WORD_BYTES).split()
-    if len(words) > KEPT_WORDS:
-        words.clear()
     hashes = np.array([words[w] for w in found], dtype=np.uint64)
     size = min(n, len(hashes))
     total = np.full(max(0, len(hashes) - size + 1) if size else 0, size, dtype=np.uint64)
@@ -99,7 +95,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, bands: Bands
 
     @F.pandas_udf("hi long, lo long, size long, bands array<long>")
     def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        words = _Words()
+        words = _words()
         for batch in batches:
             rows = []
             for text in batch:
@@ -116,7 +112,7 @@ def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame
 
     @F.pandas_udf("binary")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = _Words()
+        words = _words()
         for batch in batches:
             yield pd.Series([shingle_hashes(text, n, words).tobytes() for text in batch], dtype=object)
 
