@@ -53,9 +53,9 @@ def test_shadowed_rule(spark):
 
 
 def test_routes_are_lists(spark):
-    route = naming.route_by_type(F.col("v"), [("r", ["CRADLE"])])
+    route = naming.route_by_type(F.col("v"), [("r", ["SCRIPT"])])
     assert one(spark, route, v="CRAD") is None
-    assert one(spark, route, v="CRADLE") == "r"
+    assert one(spark, route, v="SCRIPT") == "r"
 
 
 def test_replace_head(spark):
