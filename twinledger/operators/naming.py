@@ -56,17 +56,25 @@ def route_by_type(kind: Column, routes: Sequence[tuple[str, Sequence[str]]]) ->
     return F.lit(None).cast("string") if result is None else result
 
 
-def rank_in_group(df: DataFrame, group: Sequence[str], name: str, rank: str) -> DataFrame:
+def bucket_digits(df: DataFrame) -> Column:
+    """Hex digits of a bucket, so that buckets are about the square root of the rows."""
+    digits = F.ceil(F.log2(F.count(F.lit(1)) + 1) / 8).cast("int")
+    return df.agg(F.greatest(digits, F.lit(1))).scalar()
+
+
+def rank_in_group(
+    df: DataFrame, group: Sequence[str], name: str, rank: str, digits: Column | None = None
+) -> DataFrame:
     """Number the distinct ``name`` values of each group by their MD5.
 
     A window over the group would put a hot group into one task. The MD5 cuts
     each group into buckets in rank order: rows are numbered within their bucket
     and the sizes of the earlier buckets are added. There are about as many
     buckets as the square root of the rows, so that neither a bucket nor a
-    group's list of buckets grows with more than that.
+    group's list of buckets grows with more than that. ``digits`` may come from a
+    table that is cheaper to count.
     """
-    digits = F.ceil(F.log2(F.count(F.lit(1)) + 1) / 8).cast("int")
-    digits = df.agg(F.greatest(digits, F.lit(1))).scalar()
+    digits = bucket_digits(df) if digits is None else digits
     hashed = df.withColumn("_order", F.md5(name)).withColumn(
         "_bucket", F.substring("_order", 1, digits)
     )
@@ -92,14 +100,14 @@ def rank_in_group(df: DataFrame, group: Sequence[str], name: str, rank: str) ->
 
 
 def _settled(
-    proposed: DataFrame, taken: DataFrame, name: str
+    proposed: DataFrame, taken: DataFrame, name: str, digits: Column
 ) -> tuple[DataFrame, DataFrame]:
     """Proposals that are free and first of their text, and the others.
 
     ``_place`` counts the names of one text from 1, or from 2 where the text itself
     is free and the first has it.
     """
-    ranked = rank_in_group(proposed, ["_text"], name, "_rank")
+    ranked = rank_in_group(proposed, ["_text"], name, "_rank", digits)
     marked = ranked.join(
         taken.select(F.col("abbreviation").alias("_text")).distinct().withColumn("_used", F.lit(True)),
         "_text",
@@ -132,12 +140,13 @@ def abbreviate(
     if existing is None:
         existing = names.sparkSession.createDataFrame([], "abbreviation string")
     used = existing.select("abbreviation")
-    ranked = rank_in_group(distinct, ["base"], name, "_rank")
+    digits = bucket_digits(names)
+    ranked = rank_in_group(distinct, ["base"], name, "_rank", digits)
     longer = F.concat("base", F.right(name, F.lit(3)))
     first = F.when(F.col("_rank") == 1, F.col("base")).otherwise(longer)
-    given, rest = _settled(ranked.select(name, "base", first.alias("_text")), used, name)
+    given, rest = _settled(ranked.select(name, "base", first.alias("_text")), used, name, digits)
     counted = rest.select(name, "base", F.concat("_text", F.col("_place").cast("string")).alias("_text"))
-    numbered, rest = _settled(counted, used.unionByName(given.select("abbreviation")), name)
+    numbered, rest = _settled(counted, used.unionByName(given.select("abbreviation")), name, digits)
     hashed = rest.select(name, "base", F.concat("_text", F.lit("-"), F.md5(name)).alias("abbreviation"))
     return given.unionByName(numbered).unionByName(hashed)
 
