@@ -128,3 +128,12 @@ def test_actions():
     text = "Al of x42 and abc"
     spans = [("term", 0, 2, "generalise"), ("term", 6, 9, "generalise"), ("term", 14, 17, "remove"), ("email", 7, 8, "mask")]
     assert pii.masked(text, spans) == "[NAME] of [NUMBER] and "
+
+
+def test_terms_of_rare_entities_are_found(spark, middle):
+    docs = spark.read.parquet(f"{middle}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    terms = [(r.doc_id, s) for r in pii.detect(docs).collect() for s in r.spans if s.kind == "term"]
+    holds = Counter(w for t in texts.values() for w in {m[0].lower() for m in re.finditer(r"\w+", t or "")})
+    assert len(terms) > 50 and all(naive(texts[i]) for i, _ in terms)
+    assert all(holds[texts[i][s.start : s.end].lower()] < 10 for i, s in terms)

@@ -4,8 +4,9 @@ Values of a fixed form (addresses, numbers) are found by pattern and are the
 protected entities. A term next to an entity discloses it as far as the corpus
 says so: with c the number of documents that hold something, the term tells
 log2(N c(term, entity) / (c(term) c(entity))) of the entity's information
-log2(N / c(entity)). Terms that tell more than a share of it are generalised,
-those that tell nearly all of it removed.
+log2(N / c(entity)). Few documents are weak evidence, so c(term, entity) / c(term) is
+smoothed by documents that hold the entity as often as the corpus does. Terms that tell
+more than a share of the information are generalised, those that tell nearly all of it removed.
 """
 
 from __future__ import annotations
@@ -26,11 +27,11 @@ KINDS = ("email", "ip", "card", "phone", "term")
 
 class Settings(NamedTuple):
     """``window``: words on either side of an entity that may disclose it.
-    ``texts``: different texts in which a term must stand with it. ``generalise``,
-    ``remove``: shares of its information from which a term is replaced."""
+    ``prior``: documents of the corpus' own mix by which a term's are smoothed. ``generalise``,
+    ``remove``: shares of an entity's information from which a term is replaced."""
 
     window: int = 8
-    texts: int = 3
+    prior: float = 1.0
     generalise: float = 0.8
     remove: float = 0.95
 
@@ -160,7 +161,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sett
     exclusive) and ``action`` (``mask`` for entities, ``generalise`` or ``remove`` for
     terms), by kind as listed and start. NULL and empty texts have none. A term
     is a span in documents that hold the entity it discloses, within the
-    window around it. Copies of a text count as documents but not as different texts.
+    window around it. Copies of a text count as documents.
     """
     bounded_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -202,18 +203,17 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sett
 
 def _disclosing(source: DataFrame, found: DataFrame, settings: Settings) -> DataFrame:
     """``entity``, ``term``, ``action`` of the terms that tell too much."""
-    pairs = found.select("row", "text_hash", F.explode(F.array_distinct(F.transform("contexts", lambda c: F.struct(c["entity"].alias("entity"), c["term"].alias("term"))))).alias("pair"))
+    pairs = found.select(F.explode(F.array_distinct(F.transform("contexts", lambda c: F.struct(c["entity"].alias("entity"), c["term"].alias("term"))))).alias("pair"))
     together = checkpointed(
         pairs.groupBy("pair.entity", "pair.term")
-        .agg(F.count(F.lit(1)).alias("both"), F.count_distinct("text_hash").alias("texts"))
-        .filter(F.col("texts") >= settings.texts)
+        .agg(F.count(F.lit(1)).alias("both"))
     )
     whole = found.count()
     in_entity = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("in_entity"))
     in_term = _document_frequency(source.select("text").filter("text IS NOT NULL"))
-    bits = lambda share: F.log2(F.lit(float(max(1, whole))) * share)
-    told = bits(F.col("both") / (F.col("in_term") * F.col("in_entity")))
-    share = told / F.greatest(bits(1 / F.col("in_entity")), F.lit(1e-9))
+    expected = F.col("in_entity") / F.lit(float(max(1, whole)))
+    smoothed = (F.col("both") + settings.prior * expected) / (F.col("in_term") + settings.prior)
+    share = F.log2(smoothed / expected) / F.greatest(-F.log2(expected), F.lit(1e-9))
     return (
         together.join(in_entity, "entity")
         .join(in_term, "term")
