@@ -137,3 +137,39 @@ def test_terms_of_rare_entities_are_found(spark, middle):
     holds = Counter(w for t in texts.values() for w in {m[0].lower() for m in re.finditer(r"\w+", t or "")})
     assert len(terms) > 50 and all(naive(texts[i]) for i, _ in terms)
     assert all(holds[texts[i][s.start : s.end].lower()] < 10 for i, s in terms)
+
+
+def disclosing(rows, share=0.8):
+    """The terms of whole texts, counted document by document and smoothed by one document."""
+    held, words, entities = [], [], []
+    for text in rows:
+        text = text or ""
+        base = naive(text)
+        held.append({m[0].lower() for m in re.finditer(r"\w+", text)})
+        words.append([m for m in re.finditer(r"\w+", text) if not any(s < m.end() and e > m.start() for _, s, e in base)])
+        entities.append({(k, text[s:e].lower() if k < 2 else re.sub("[^0-9]", "", text[s:e])) for k, s, e in base})
+    in_term, in_entity = Counter(t for h in held for t in h), Counter(e for found in entities for e in found)
+    both = Counter((e, t) for found, w in zip(entities, words) for e in found for t in {m[0].lower() for m in w})
+    flagged = set()
+    for (e, t), n in both.items():
+        p = in_entity[e] / len(rows)
+        if p < 1 and math.log2((n + p) / (in_term[t] + 1) / p) / -math.log2(p) >= share - 1e-12:
+            flagged.add((e, t))
+    return [sorted(m.span() for m in w if any((e, m[0].lower()) in flagged for e in found)) for found, w in zip(entities, words)]
+
+
+def test_terms_of_the_whole_text_disclose(spark):
+    filler = " ".join(["the desk said nothing"] * 40)
+    rows = corpus() + [f"Memo of Ospina{i}\n{filler} Ospina{i}, İzmir{i}\n{filler}\nwrite to p{i}@x.org or 10.0.0.{i}" for i in range(3)]
+    rows += ["the desk said nothing of it"] * 60
+    df = spark.createDataFrame(list(enumerate(rows)), SCHEMA)
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "term"] for r in pii.detect(df).collect()}
+    assert got == dict(enumerate(disclosing(rows)))
+    at = len(corpus())
+    assert [rows[at][s:e] for s, e in got[at]] == ["Ospina0", "Ospina0", "İzmir0"]
+
+
+def test_terms_of_the_documents(spark, middle):
+    rows = spark.read.parquet(f"{middle}/documents.parquet").collect()
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "term"] for r in pii.detect(spark.createDataFrame(rows)).collect()}
+    assert got == {r.doc_id: spans for r, spans in zip(rows, disclosing([r.text for r in rows]))}

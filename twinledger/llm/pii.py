@@ -1,7 +1,7 @@
 """Personal data in texts, and the terms around it that give it away.
 
 Values of a fixed form (addresses, numbers) are found by pattern and are the
-protected entities. A term next to an entity discloses it as far as the corpus
+protected entities. A term of a text that holds an entity discloses it as far as the corpus
 says so: with c the number of documents that hold something, the term tells
 log2(N c(term, entity) / (c(term) c(entity))) of the entity's information
 log2(N / c(entity)). Few documents are weak evidence, so c(term, entity) / c(term) is
@@ -12,9 +12,10 @@ more than a share of the information are generalised, those that tell nearly all
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -26,11 +27,9 @@ KINDS = ("email", "ip", "card", "phone", "term")
 
 
 class Settings(NamedTuple):
-    """``window``: words on either side of an entity that may disclose it.
-    ``prior``: documents of the corpus' own mix by which a term's are smoothed. ``generalise``,
+    """``prior``: documents of the corpus' own mix by which a term's are smoothed. ``generalise``,
     ``remove``: shares of an entity's information from which a term is replaced."""
 
-    window: int = 8
     prior: float = 1.0
     generalise: float = 0.8
     remove: float = 0.95
@@ -95,49 +94,56 @@ def _entity(text: str, span: tuple[int, int, int]) -> int:
     return _hash(f"{kind}:{value.lower() if kind == 0 else value if kind == 1 else ''.join(_DIGIT.findall(value))}")
 
 
-def _contexts(text: str, spans: list[tuple[int, int, int]], window: int) -> list[tuple[int, int, int, int]]:
-    """(entity, term, start, end) of the words around each entity, other entities left out."""
-    words, covered, last = [], sorted((s, e) for _, s, e in spans), 0
+def _words(text: str, spans: Iterable[tuple[int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(word in lower case, start, end) of the words that no span overlaps."""
+    covered, last = sorted(spans), 0
     for m in _WORD.finditer(text):
         while last < len(covered) and covered[last][1] <= m.start():
             last += 1
-        if not any(s < m.end() for s, _ in covered[last : last + 4]):
-            words.append((m.start(), m.end()))
-    found, at = [], 0
-    for span in sorted(spans, key=lambda s: s[1]):
-        while at < len(words) and words[at][0] < span[1]:
-            at += 1
-        entity = _entity(text, span)
-        for start, end in words[max(0, at - window) : at + window]:
-            found.append((entity, _hash(text[start:end].lower()), start, end))
-    return found
-
-
-_DETECTED = (
-    "spans array<struct<kind int, start int, end int>>, entities array<long>, "
-    "contexts array<struct<entity long, term long, start int, end int>>"
-)
-
-
-def _detector(window: int):
-    @F.pandas_udf(_DETECTED)
-    def detected(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        names = ("kind", "start", "end"), ("entity", "term", "start", "end")
+        if last == len(covered) or covered[last][0] >= m.end():
+            yield m[0].lower(), m.start(), m.end()
+
+
+def _detected(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    names = ("kind", "start", "end")
+    for batch in batches:
+        rows = []
+        for text in batch:
+            spans = entities(text) if text else []
+            rows.append(([dict(zip(names, s)) for s in spans], sorted({_entity(text, s) for s in spans})))
+        yield pd.DataFrame(rows, columns=["spans", "entities"])
+
+
+def _located(texts: pd.Series, spans: pd.Series, terms: pd.Series) -> pd.Series:
+    """Every place of the terms in the texts."""
+    found = []
+    for text, base, actions in zip(texts, spans, terms):
+        wanted, hashed = {t["term"]: t["action"] for t in actions}, {}
+        places = []
+        for word, start, end in _words(text, ((s["start"], s["end"]) for s in base)):
+            if word not in hashed:
+                hashed[word] = wanted.get(_hash(word))
+            if hashed[word]:
+                places.append({"kind": KINDS.index("term"), "start": start, "end": end, "action": hashed[word]})
+        found.append(places)
+    return pd.Series(found, dtype=object)
+
+
+def _terms(held: DataFrame, most: int) -> DataFrame:
+    """``row, term`` of the distinct words of each text, without those in more than ``most`` texts of a batch."""
+
+    def distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for text in batch:
-                spans = entities(text) if text else []
-                near = _contexts(text, spans, window) if spans else []
-                rows.append(
-                    (
-                        [dict(zip(names[0], s)) for s in spans],
-                        sorted({_entity(text, s) for s in spans}),
-                        [dict(zip(names[1], c)) for c in near],
-                    )
-                )
-            yield pd.DataFrame(rows, columns=["spans", "entities", "contexts"])
-
-    return detected
+            seen: dict[str, list[int]] = {}
+            for row, text, spans in zip(batch["row"], batch["held"], batch["spans"]):
+                for word in {word for word, _, _ in _words(text, ((s["start"], s["end"]) for s in spans))}:
+                    seen.setdefault(word, []).append(row)
+            rare = {word: rows for word, rows in seen.items() if len(rows) <= most}
+            terms = np.array([_hash(word) for word in rare], dtype=np.int64)
+            rows = np.array([row for rows in rare.values() for row in rows], dtype=np.int64)
+            yield pd.DataFrame({"row": rows, "term": np.repeat(terms, [len(rows) for rows in rare.values()])})
+
+    return held.mapInPandas(distinct, "row long, term long")
 
 
 def _document_frequency(texts: DataFrame) -> DataFrame:
@@ -147,7 +153,7 @@ def _document_frequency(texts: DataFrame) -> DataFrame:
         for batch in batches:
             seen: dict[str, int] = {}
             for text in batch["text"]:
-                for word in set(_WORD.findall(text.lower())):
+                for word in {word.lower() for word in set(_WORD.findall(text))}:
                     seen[word] = seen.get(word, 0) + 1
             yield pd.DataFrame({"term": pd.Series([_hash(w) for w in seen], dtype="int64"), "n": pd.Series(seen.values(), dtype="int64")})
 
@@ -160,33 +166,23 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sett
     ``spans`` holds ``kind`` (of ``KINDS``), ``start``, ``end`` (code points, end
     exclusive) and ``action`` (``mask`` for entities, ``generalise`` or ``remove`` for
     terms), by kind as listed and start. NULL and empty texts have none. A term
-    is a span in documents that hold the entity it discloses, within the
-    window around it. Copies of a text count as documents.
+    is a span wherever it stands in documents that hold the entity it discloses. Copies of a text count as documents.
     """
     bounded_batches(docs.sparkSession)
+    detected = F.pandas_udf(_detected, "spans array<struct<kind int, start int, end int>>, entities array<long>")
+    located = F.pandas_udf(_located, "array<struct<kind int, start int, end int, action string>>")
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     found = checkpointed(
-        source.select("id", F.xxhash64("text").alias("text_hash"), _detector(settings.window)("text").alias("found"))
-        .select("id", "text_hash", "found.*")
+        source.select("id", "text", F.xxhash64("text").alias("text_hash"), detected("text").alias("found"))
+        .select("id", "text_hash", "found.*", F.when(F.size("found.entities") > 0, F.col("text")).alias("held"))
         .withColumn("row", F.monotonically_increasing_id())
     )
-    flagged = _disclosing(source, found, settings)
-    near = found.select("row", F.explode("contexts").alias("near")).select("row", "near.*")
-    terms = (
-        near.join(flagged, ["entity", "term"])
-        .groupBy("row", "start", "end")
-        .agg(F.max("action").alias("action"))
-        .groupBy("row")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct(F.lit(KINDS.index("term")).alias("kind"), "start", "end", "action"))
-            ).alias("terms")
-        )
-    )
+    held = found.filter("held IS NOT NULL").select("row", "held", "spans")
+    terms = held.join(_disclosing(source, found, settings), "row").select("row", located("held", "spans", "actions").alias("terms"))
     base = F.transform(
         "spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit("mask").alias("action"))
     )
-    return found.join(terms, "row", "left").select(
+    return found.select("id", "text_hash", "spans", "row").join(terms, "row", "left").select(
         F.col("id").alias(id_col),
         "text_hash",
         F.transform(
@@ -202,25 +198,42 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sett
 
 
 def _disclosing(source: DataFrame, found: DataFrame, settings: Settings) -> DataFrame:
-    """``entity``, ``term``, ``action`` of the terms that tell too much."""
-    pairs = found.select(F.explode(F.array_distinct(F.transform("contexts", lambda c: F.struct(c["entity"].alias("entity"), c["term"].alias("term"))))).alias("pair"))
-    together = checkpointed(
-        pairs.groupBy("pair.entity", "pair.term")
-        .agg(F.count(F.lit(1)).alias("both"))
+    """``row`` and ``actions`` (``term``, ``action``) of the terms that tell too much of an entity of the row.
+
+    A term in more texts than ``reach`` can't tell enough of an entity, were it in all texts with it.
+    """
+    whole = max(1, found.count())
+    entity = found.select("row", F.explode("entities").alias("entity"))
+    in_entity = checkpointed(entity.groupBy("entity").agg(F.count(F.lit(1)).alias("in_entity")))
+    expected = F.col("in_entity") / F.lit(float(whole))
+    smoothed = lambda both: both + settings.prior * expected
+    reach = smoothed(F.col("in_entity")) * F.pow(expected, F.lit(settings.generalise - 1)) - settings.prior + 1e-6
+    in_entity = in_entity.filter(F.col("in_entity") < whole).withColumn("reach", reach)
+    most = int(in_entity.agg(F.max("reach")).first()[0] or 0)
+    in_term = _document_frequency(source.select("text").filter("text IS NOT NULL")).filter(F.col("in_term") <= most)
+    rare = _terms(found.filter("held IS NOT NULL").select("row", "held", "spans"), most).join(in_term, "term")
+    pairs = checkpointed(
+        rare.join(entity.join(in_entity, "entity"), "row")
+        .filter(F.col("in_term") <= F.col("reach"))
+        .select("row", "entity", "term", "in_term", "in_entity")
     )
-    whole = found.count()
-    in_entity = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("in_entity"))
-    in_term = _document_frequency(source.select("text").filter("text IS NOT NULL"))
-    expected = F.col("in_entity") / F.lit(float(max(1, whole)))
-    smoothed = (F.col("both") + settings.prior * expected) / (F.col("in_term") + settings.prior)
-    share = F.log2(smoothed / expected) / F.greatest(-F.log2(expected), F.lit(1e-9))
-    return (
-        together.join(in_entity, "entity")
-        .join(in_term, "term")
-        .withColumn("told", F.when(F.col("in_entity") < whole, share).otherwise(0.0))
+    together = pairs.groupBy("entity", "term").agg(
+        F.count(F.lit(1)).alias("both"), F.first("in_term").alias("in_term"), F.first("in_entity").alias("in_entity")
+    )
+    share = F.log2(smoothed(F.col("both")) / (F.col("in_term") + settings.prior) / expected) / -F.log2(expected)
+    flagged = (
+        together.withColumn("told", share)
         .filter(F.col("told") >= settings.generalise)
         .select("entity", "term", F.when(F.col("told") >= settings.remove, "remove").otherwise("generalise").alias("action"))
     )
+    return (
+        pairs.select("row", "entity", "term")
+        .join(flagged, ["entity", "term"])
+        .groupBy("row", "term")
+        .agg(F.max("action").alias("action"))
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("term", "action")).alias("actions"))
+    )
 
 
 def _general(term: str) -> str:
