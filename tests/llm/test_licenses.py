@@ -109,3 +109,35 @@ def test_repeats_null_ids_and_no_rows(spark):
 def test_nothing_leaves_the_engine(spark, middle):
     plan = licenses.detect(spark.read.parquet(f"{middle}/documents.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def names(parsed):
+    """All texts of a finite expression; the first of a range of characters stands for it."""
+    found = [""]
+    for kind, value in parsed:
+        match str(kind):
+            case "LITERAL":
+                more = [chr(value)]
+            case "IN":
+                more = [chr(v if str(k) == "LITERAL" else v[0]) for k, v in value]
+            case "BRANCH":
+                more = [t for branch in value[1] for t in names(branch)]
+            case "SUBPATTERN":
+                more = names(value[3])
+            case "MAX_REPEAT":
+                assert value[:2] == (0, 1)
+                more = ["", *names(value[2])]
+        found = [a + b for a in found for b in more]
+    return found
+
+
+def test_every_name_passes_its_gate():
+    for label, keyword, name in licenses.FAMILIES:
+        for text in names(re._parser.parse(name)):
+            assert keyword in text.split() and re.search(licenses.HINTS, text), (label, text)
+
+
+def test_names_that_the_gates_held_back(spark):
+    texts = ["This is 0BSD.", "common development and distribution license 1.1", "x_CC-BY-SA 4.0", "zero-clause BSD"]
+    got = detect(spark, texts)
+    assert [got[i].labels for i in range(4)] == [["0bsd"], ["cddl-1.1"], ["cc-by", "cc-by-sa-4.0"], ["0bsd"]]

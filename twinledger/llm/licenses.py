@@ -47,7 +47,8 @@ FAMILIES = (
     ("bsd-4-clause", "bsd", "(?:4|four) clause bsd licen[cs]e|bsd 4 clause licen[cs]e"),
     ("bsd-3-clause", "bsd", "(?:3|three) clause bsd licen[cs]e|bsd 3 clause licen[cs]e|(?:new|modified|revised) bsd licen[cs]e"),
     ("bsd-2-clause", "bsd", "(?:2|two) clause bsd licen[cs]e|bsd 2 clause licen[cs]e|(?:simplified|freebsd) bsd licen[cs]e"),
-    ("0bsd", "bsd", "zero clause bsd|0bsd"),
+    ("0bsd", "bsd", "zero clause bsd"),
+    ("0bsd", "0bsd", "0bsd"),
     ("bsd", "bsd", "bsd licen[cs]e"),
     ("mpl-2.0", "mozilla", "mozilla public licen[cs]e" + _V + "2(?: 0)?"),
     ("mpl-1.1", "mozilla", "mozilla public licen[cs]e" + _V + "1 1"),
@@ -55,7 +56,7 @@ FAMILIES = (
     ("epl-2.0", "eclipse", "eclipse public licen[cs]e" + _V + "2(?: 0)?"),
     ("epl-1.0", "eclipse", "eclipse public licen[cs]e" + _V + "1(?: 0)?"),
     ("epl", "eclipse", "eclipse public licen[cs]e"),
-    ("cddl-1.1", "cddl", "common development and distribution licen[cs]e(?: cddl)?" + _V + "1 1"),
+    ("cddl-1.1", "distribution", "common development and distribution licen[cs]e(?: cddl)?" + _V + "1 1"),
     ("cddl", "distribution", "common development and distribution licen[cs]e"),
     ("cpl-1.0", "common", "common public licen[cs]e"),
     ("eupl-1.2", "european", "european union public licen[cs]e" + _V + "1 2"),
@@ -108,7 +109,7 @@ FORMS = (
 
 
 #: Every rule's words hold one of these.
-HINTS = r"(?i)licen[cs]e|spdx|\bcc|commons|bsd|wtfpl|domain|reserved"
+HINTS = r"(?i)licen[cs]e|spdx|(?:\b|_)cc|commons|bsd|wtfpl|domain|reserved"
 
 
 def rules() -> list[tuple[int, str, str, int, float, str]]:
