@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from twinledger.functions.columns import named
 from twinledger.llm import bpe, mixing, pii, quality, shingles
 from twinledger.llm.queries import RANKS
-from twinledger.llm.shared import shared_folder, unused
+from twinledger.llm.shared import checkpointed, shared_folder, unused
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Documents below this chance of label 1 are rejected.
@@ -28,10 +28,15 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents connected by links of 0.8 or more on 5-grams the one of the smallest id."""
-    found = unused(docs, "_id")
-    gone = shingles.jaccard_join(docs, n=5, threshold=0.8).filter(~F.col("kept")).select(F.col("doc_id").alias(found))
-    return docs.join(gone.distinct(), named("doc_id") == F.col(found), "left_anti")
+    """Of rows connected by links of 0.8 or more on 5-grams the one of the smallest id, one row if ids repeat."""
+    row, path = unused(docs, "_row"), f"{shared_folder(spark)}/numbered-{uuid.uuid4().hex}"
+    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
+    numbered = spark.read.parquet(path)
+    linked = shingles.jaccard_join(numbered, row, n=5, threshold=0.8).select(F.col(row).alias("row"), "class_id")
+    rows = checkpointed(numbered.select(named("doc_id").alias("id"), F.col(row).alias("row")).join(linked, "row"))
+    first = rows.groupBy("class_id").agg(F.min(F.struct("id", "row")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    gone = rows.join(first, "class_id").filter("row <> first.row").select(F.col("row").alias(row))
+    return numbered.join(gone, row, "left_anti").drop(row)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

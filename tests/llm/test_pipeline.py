@@ -115,3 +115,13 @@ def test_other_columns_nulls_and_no_rows(spark, kept, middle):
         assert done.count() >= 0
         docs = done if "text" in done.columns else docs
     assert set(docs.columns) >= {"_score", "_copies"}
+
+
+def test_rows_that_repeat_an_id(spark, middle):
+    long, other = (" ".join(f"{w}{i}" for i in range(60)) for w in ("a", "b"))
+    rows = [(1, long), (1, long), (1, other), (2, other + " more"), (3, long), (4, "x y"), (4, "x y"), (5, None), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit("r"))
+    got = corpus_pipeline.near_duplicates(spark, docs, middle)
+    assert got.columns == docs.columns
+    left = sorted((r.doc_id, r.text or "") for r in got.collect())
+    assert left == [(1, long), (1, other), (4, "x y"), (5, ""), (5, "")]
