@@ -56,7 +56,7 @@ def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of each text, with the digest of what they decode to."""
+    """The token ids of each text, with their digest and that of what they decode to."""
     ranks = bpe.rank_map(spark, public_tokenizers.path(RANKS))
     encoded = docs.select("doc_id", "source", bpe.round_trip("text", ranks, public_tokenizers.PATTERN).alias("trip"))
     return encoded.select(
@@ -64,6 +64,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "source",
         bpe.token_count("trip.ids").alias("n_tokens"),
         F.col("trip.ids").alias("ids"),
+        F.sha2("trip.ids", 256).alias("ids_sha256"),
         F.sha2("trip.decoded", 256).alias("decoded_sha256"),
     )
 

@@ -1,5 +1,6 @@
 """Each stage against brute force on what the stage before kept."""
 
+import hashlib
 import uuid
 from collections import Counter
 
@@ -125,3 +126,12 @@ def test_rows_that_repeat_an_id(spark, middle):
     assert got.columns == docs.columns
     left = sorted((r.doc_id, r.text or "") for r in got.collect())
     assert left == [(1, long), (1, other), (4, "x y"), (5, ""), (5, "")]
+
+
+def test_digest_of_the_token_ids(spark, middle):
+    own = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(public_tokenizers.path(RANKS)), special_tokens={})
+    texts = {1: "Some words, 12 numbers and é", 2: ""}
+    docs = spark.createDataFrame([(i, t, "s") for i, t in texts.items()], "doc_id long, text string, source string")
+    got = {r.doc_id: r.ids_sha256 for r in corpus_pipeline.token_ids(spark, docs, middle).drop("ids").collect()}
+    packed = {i: b"".join(n.to_bytes(4, "little") for n in own.encode_ordinary(t)) for i, t in texts.items()}
+    assert got == {i: hashlib.sha256(b).hexdigest() for i, b in packed.items()}
