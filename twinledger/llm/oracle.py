@@ -251,3 +251,15 @@ SELECT t.doc_id, {_COUNT.format("t.text")} AS n_words, CAST(coalesce(n_base, 0)
        greatest(CASE WHEN n_base > 0 THEN 0.7 ELSE 0.0 END::DOUBLE, coalesce(score, 0.0::DOUBLE)) AS score
 FROM t LEFT JOIN place USING (row) LEFT JOIN ruled USING (row)
 """
+
+SQL["op13_content_sort"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content
+  FROM documents
+), g AS (
+  SELECT doc_id, content, first_value(doc_id) OVER w AS keep_id, row_number() OVER w AS place,
+         count(*) OVER (PARTITION BY content) AS group_size
+  FROM d WINDOW w AS (PARTITION BY content ORDER BY length(text) DESC, doc_id)
+)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(content) AS text_sha256 FROM g
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from twinledger.llm import bpe, knn, licenses, metric, mixing, pages, pii, quality, secrets, shingles
+from twinledger.llm import bpe, contents, knn, licenses, metric, mixing, pages, pii, quality, secrets, shingles
 from twinledger.llm.oracle import SQL
 from twinledger.llm.vectors import finite
 
@@ -117,4 +117,9 @@ def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op13_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contents.exact_dedup(table(spark, sf_dir, "documents"))
+
+
 ORACLE = {name: SQL[name] for name in QUERIES if name in SQL}
