@@ -263,3 +263,91 @@ WITH d AS (
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(content) AS text_sha256 FROM g
 """
+
+# A checksum bit by bit; then rows are walked in order with the cheapest way to each state of the pattern,
+# held as the cost in twelve digits and the audit.
+_BIT = "CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END"
+_ADD = "lpad(CAST(CAST({0}[1:12] AS BIGINT) + {1} AS VARCHAR), 12, '0') || {0}[13:] || '{2}'"
+
+
+def _add(state: str, cost: str, edit: str) -> str:
+    return "(" + _ADD.format(state, cost, edit) + ")"
+
+
+def _turn(state: str, initial: str) -> str:
+    """A kept or re-roled turn after ``state``; NULL if the turn must go."""
+    roles = "" if initial == "s" else f" ELSE {_add(state, '1 + extra', 'R')}"
+    return f"CASE WHEN gone THEN NULL WHEN initial = '{initial}' THEN {_add(state, 'extra', 'K')}{roles} END"
+
+
+_STATES = f"""
+  least(u, {_add("s", "5", "I")}, {_add("y", "5", "I")}, {_add("a", "5", "I")}) AS u,
+  least(a, {_add("u", "5", "I")}, {_add("s", "10", "II")}, {_add("y", "10", "II")}) AS a"""
+SQL["op12_conversation_repair"] = rf"""
+WITH RECURSIVE crc AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+           string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT)),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda v, z: {_BIT})),
+         4294967295) % 20 AS fault
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM crc)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM damaged
+), seen AS (
+  SELECT *, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again,
+         regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS final,
+         left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before
+  FROM placed
+), faulty AS (
+  SELECT *, NOT blank AND again AS duplicate, NOT blank AND NOT again AND final NOT IN ('.', '!', '?') AS truncated,
+         blank OR again AS gone
+  FROM seen
+), line AS (SELECT *, CASE WHEN truncated THEN 5 ELSE 0 END AS extra FROM faulty),
+walk(conv_id, pos, s, y, u, a) AS (
+  SELECT conv_id, 0::BIGINT, repeat('0', 12), NULL::VARCHAR, repeat('0', 11) || '5I', repeat('0', 10) || '10II'
+  FROM (SELECT DISTINCT conv_id FROM line)
+  UNION ALL
+  SELECT conv_id, pos, s, y, {_STATES}
+  FROM (
+    SELECT walk.conv_id, line.pos, {_add("s", "2", "D")} AS s,
+           least({_add("y", "2", "D")}, {_turn("s", "s")}) AS y,
+           least({_add("u", "2", "D")}, {_turn("s", "u")}, {_turn("y", "u")}, {_turn("a", "u")}) AS u,
+           least({_add("a", "2", "D")}, {_turn("u", "a")}) AS a
+    FROM walk JOIN line ON walk.conv_id IS NOT DISTINCT FROM line.conv_id AND line.pos = walk.pos + 1
+  )
+), ended AS (
+  SELECT conv_id, CAST(best[1:12] AS BIGINT) AS cost, best[13:] AS audit
+  FROM (SELECT conv_id, arg_max(least(s, a), pos) AS best FROM walk GROUP BY conv_id)
+), edit AS (
+  SELECT conv_id, n, audit[n] AS edit, len(replace(audit[1:n], 'I', '')) AS pos, len(replace(audit[1:n], 'D', '')) AS output,
+         len(replace(audit, 'D', '')) AS outputs
+  FROM (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS n FROM ended)
+), said AS (
+  SELECT edit.conv_id, n,
+         CASE WHEN edit = 'K' THEN role WHEN (output + outputs) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+         CASE WHEN edit = 'I' THEN '' ELSE text END AS said
+  FROM edit LEFT JOIN line ON edit.conv_id IS NOT DISTINCT FROM line.conv_id AND edit.pos = line.pos
+  WHERE edit <> 'D'
+), repaired AS (SELECT conv_id, string_agg(said, chr(10) ORDER BY n) AS repaired FROM said GROUP BY conv_id),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+         count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM line GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN repaired ON repaired.conv_id IS NOT DISTINCT FROM c.conv_id
+"""

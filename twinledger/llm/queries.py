@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from twinledger.llm import bpe, contents, knn, licenses, metric, mixing, pages, pii, quality, secrets, shingles
+from twinledger.llm import bpe, contents, conversations, knn, licenses, metric, mixing, pages, pii, quality, secrets, shingles
 from twinledger.llm.oracle import SQL
 from twinledger.llm.vectors import finite
 
@@ -117,6 +117,20 @@ def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    report = conversations.repair(conversations.damaged(rows)).report.withColumnRenamed("conv_id", "found")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    every = rows.select("conv_id").distinct()
+    return every.join(report, F.col("conv_id").eqNullSafe(F.col("found")), "left").select(
+        "conv_id",
+        *(F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 @query
 def op13_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contents.exact_dedup(table(spark, sf_dir, "documents"))
