@@ -351,3 +351,42 @@ LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN repaired ON repaired.conv_id IS NOT DISTINCT FROM c.conv_id
 """
+
+SQL["op11_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), o AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+grp AS (SELECT DISTINCT lang, source, false AS whole FROM d UNION ALL SELECT DISTINCT lang, NULL, true FROM d),
+counted AS (
+  SELECT lang, source, false AS whole, term, count(*) AS n FROM o GROUP BY lang, source, term
+  UNION ALL SELECT lang, NULL, true, term, count(*) FROM o GROUP BY lang, term
+), dense AS (
+  SELECT g.lang, g.source, g.whole, k.term, coalesce(c.n, 0) AS n
+  FROM grp g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN counted c ON c.lang = g.lang AND c.source IS NOT DISTINCT FROM g.source AND c.whole = g.whole AND c.term = k.term
+), share AS (
+  SELECT *, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER g + 5 * count(*) OVER g)::HUGEINT AS p
+  FROM dense WINDOW g AS (PARTITION BY lang, whole, source)
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  WHERE NOT a.whole AND NOT b.whole GROUP BY ALL
+), every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  WHERE NOT a.whole AND NOT b.whole
+  UNION ALL
+  SELECT a.lang, a.source, 'term', a.term, a.p - b.p
+  FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND b.whole
+  WHERE NOT a.whole AND a.n > 0 AND a.p > b.p
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM every
+QUALIFY part = 'pair' OR rank <= 50
+"""

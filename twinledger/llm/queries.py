@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from twinledger.llm import bpe, contents, conversations, knn, licenses, metric, mixing, pages, pii, quality, secrets, shingles
+from twinledger.llm import bpe, contents, conversations, divergence, knn, licenses, metric, mixing, pages, pii, quality, secrets, shingles
 from twinledger.llm.oracle import SQL
 from twinledger.llm.vectors import finite
 
@@ -117,6 +117,11 @@ def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
