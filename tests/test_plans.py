@@ -41,13 +41,21 @@ def test_no_pairs_no_python(spark, small, name):
         assert bad not in text
 
 
-def test_rollup_is_three_exchanges_and_no_join(sides):
+def test_rollup_is_one_exchange_of_rows_and_no_join(sides):
     text = plan(reconcile(*sides, "k", scope=FULL).rollup)
     assert "Join" not in text
-    assert exchanges(text) == 3
+    assert exchanges(text) == 2 and text.count("Exchange hashpartitioning(k") == text.count("Exchange SinglePartition") == 1
     assert text.count("FileScan") == 2
 
 
+def test_hot_keys_are_counted_where_they_are_read(sides, monkeypatch):
+    monkeypatch.setattr(recon, "HOT_ROWS", 2)
+    monkeypatch.setattr(recon, "SAMPLED", 1.0)
+    text = plan(reconcile(*sides, "region_id", scope=FULL).rollup)
+    assert "SortMergeJoin" not in text and "LeftAnti" in text and "LeftSemi" in text
+    assert "Exchange hashpartitioning(region_id#" in text and re.search(r"Exchange hashpartitioning\(region_id#\d+, _h#", text)
+
+
 @pytest.mark.parametrize("n", [10, 5000])
 def test_samples_are_cut_in_each_task(sides, n):
     text = plan(recon.mismatch_samples(reconcile(*sides, "k", scope=FULL).rows, n))

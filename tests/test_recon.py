@@ -48,10 +48,14 @@ def random_rows(seed, n):
     ]
 
 
-@pytest.mark.parametrize("seed, small", [(0, recon.SMALL), (1, recon.SMALL), (2, 2), (3, 2)])
-def test_same_as_join(spark, monkeypatch, seed, small):
-    """Also with hardly any product counted as small, for the decimal branch."""
+@pytest.mark.parametrize(
+    "seed, small, hot", [(0, recon.SMALL, 9), (1, recon.SMALL, 1), (2, 2, 4), (3, 2, recon.HOT_ROWS)]
+)
+def test_same_as_join(spark, monkeypatch, seed, small, hot):
+    """Also with hardly any product counted as small, for the decimal branch, and with some or all keys hot."""
     monkeypatch.setattr(recon, "SMALL", small)
+    monkeypatch.setattr(recon, "HOT_ROWS", hot)
+    monkeypatch.setattr(recon, "SAMPLED", 1.0)
     prod, test = random_rows(seed, 40), random_rows(seed + 100, 30)
     result = reconcile(
         spark.createDataFrame(prod, SCHEMA), spark.createDataFrame(test, SCHEMA), "k1, k2"
@@ -78,6 +82,17 @@ def first(expected, flag, n=10):
     return sorted((key for key in expected.elements() if key[2] == flag), key=order)[:n]
 
 
+def test_hot_keys_are_found(spark, monkeypatch):
+    monkeypatch.setattr(recon, "HOT_ROWS", 1000)
+    base = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    assert recon.hot_keys(base, base.filter("false"), ["k"]).collect() == [(None,)]
+    assert recon.hot_keys(base.filter("k IS NOT NULL"), base.filter("false"), ["k"]) is None
+    result = reconcile(base, base.withColumn("v", F.col("v") + F.col("v") % 2), "k")
+    assert {flag: int(n) for flag, n in rows(result.rollup)} == {
+        recon.MISSING_FROM_PROD: 2000, recon.MISSING_FROM_TEST: 2000, recon.MATCHING: 2000, recon.NOT_MATCHING: 2000
+    }
+
+
 @pytest.mark.parametrize("flag", recon.MISMATCHES)
 def test_samples_are_the_first_rows(spark, flag):
     prod, test = random_rows(7, 40), random_rows(107, 30)

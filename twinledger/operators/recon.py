@@ -9,10 +9,11 @@ number of matching and differing pairs follows from them:
 * pairs = p * t, matching pairs = the sum over fingerprints of p_h * t_h;
 * a key with NULL in it matches nothing, as in a join.
 
-Both groupings combine before they shuffle, so a key that holds a third of all
-rows costs a task no more than any other, and no pair is ever built. What goes
-over the wire is keys and 16 bytes of fingerprint, then keys and counts. Each
-side is read once.
+Rows are dealt by their keys once, and both groupings run on that one exchange: keys and
+the 16 bytes of an MD5 go over the wire. A key that holds more rows than a task should
+get is found in a sample of the keys beforehand. The rows of such hot keys are
+counted per (keys, fingerprint) where they are read, and their counts are dealt, in a branch of its own that
+nothing runs where no key is hot. No pair is ever built.
 
 Pair counts are ``decimal(38,0)``: a hot key may well exceed a bigint. The
 products that fit are computed as bigints, which is all of them for ordinary
@@ -21,7 +22,7 @@ keys.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -41,8 +42,13 @@ MISMATCHES = (MISSING_FROM_TEST, MISSING_FROM_PROD, NOT_MATCHING)
 
 SAMPLE_ROWS = 10
 WIDE = "decimal(38,0)"
+#: Gives hot keys, or None if there are none.
+Hot = Callable[[], DataFrame | None]
 # Products of two counts up to this size, and sums of them, fit a bigint.
 SMALL = 65535
+# Rows of a key that are too many for one task, the most keys treated so (each other one has
+# less than that part of all rows), and the part of the rows that is looked at to find them.
+HOT_ROWS, HOT_KEYS, SAMPLED, HOT_SEED = 1 << 20, 10_000, 1 / 64, 11
 
 
 def fingerprint(
@@ -61,19 +67,27 @@ def _sided(df: DataFrame, keys: Sequence[str], p: int, t: int, *more: Column) ->
     )
 
 
-def hash_counts(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per side for each (keys, fingerprint); fingerprints as two bigints.
+def _signed(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
+    mark = F.unhex("md5_col").alias("_h")
+    return _sided(baseline, keys, 1, 0, mark).unionByName(_sided(candidate, keys, 0, 1, mark))
 
-    Fixed-width keys keep the grouping in its fast path; 128 bits tell rows apart
-    as well as the MD5 that they are made from.
+
+def hash_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per side for each (keys, fingerprint); fingerprints as the 16 bytes of the MD5."""
+    return rows.groupBy(*all_named(keys), "_h").agg(F.sum("_p").alias("_p"), F.sum("_t").alias("_t"))
+
+
+def hot_keys(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """Keys of about ``HOT_ROWS`` rows or more, at most ``HOT_KEYS`` of them, as ``_k0``, ``_k1``, ...; None if there are none.
+
+    Runs a job on a sample of the keys alone. A wrong estimate costs time, never a row.
     """
-    halves = [F.xxhash64("md5_col", F.lit(half)).alias(f"_h{half}") for half in (1, 2)]
-    return (
-        _sided(baseline, keys, 1, 0, *halves)
-        .unionByName(_sided(candidate, keys, 0, 1, *halves))
-        .groupBy(*all_named(keys), "_h1", "_h2")
-        .agg(F.sum("_p").alias("_p"), F.sum("_t").alias("_t"))
-    )
+    both = baseline.select(*all_named(keys)).unionByName(candidate.select(*all_named(keys)))
+    counted = both.sample(SAMPLED, HOT_SEED).groupBy(*all_named(keys)).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counted.filter(F.col("_n") >= HOT_ROWS * SAMPLED).orderBy(F.desc("_n")).limit(HOT_KEYS)
+    hot = hot.select(*[named(key).alias(f"_k{i}") for i, key in enumerate(keys)])
+    found = hot.collect()
+    return baseline.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
 def key_rows(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -99,19 +113,33 @@ def _whole(small: Column, large: Column) -> Column:
     return (F.coalesce(small.cast(WIDE), zero) + F.coalesce(large.cast(WIDE), zero)).cast(WIDE)
 
 
-def key_counts(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: rows on each side and matching pairs in two parts."""
+def _per_key(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     small, large = _product(F.col("_p"), F.col("_t"))
-    return (
-        hash_counts(baseline, candidate, keys)
-        .groupBy(*all_named(keys))
-        .agg(
-            F.sum("_p").alias("prod_rows"),
-            F.sum("_t").alias("test_rows"),
-            F.sum(small).alias("_match_small"),
-            F.sum(large).alias("_match_large"),
-        )
+    return counts.groupBy(*all_named(keys)).agg(
+        F.sum("_p").alias("prod_rows"),
+        F.sum("_t").alias("test_rows"),
+        F.sum(small).alias("_match_small"),
+        F.sum(large).alias("_match_large"),
+    )
+
+
+def key_counts(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str], find: Hot | None = None) -> DataFrame:
+    """One row per key: rows on each side and matching pairs in two parts.
+
+    ``find`` gives the hot keys where they are known already; else they are looked for.
+    """
+    sides = (baseline, candidate)
+    hot = find() if find else hot_keys(*sides, keys)
+    if hot is None:
+        return _per_key(hash_counts(_signed(*sides, keys).repartition(*all_named(keys)), keys), keys)
+    same = F.lit(True)
+    for i, key in enumerate(keys):
+        same = same & named(key).eqNullSafe(F.col(f"_k{i}"))
+    cold, spread = (
+        _signed(*(side.join(F.broadcast(hot), same, how) for side in sides), keys) for how in ("left_anti", "left_semi")
     )
+    dealt = _per_key(hash_counts(cold.repartition(*all_named(keys)), keys), keys)
+    return dealt.unionByName(_per_key(hash_counts(spread, keys), keys))
 
 
 def _no_null(keys: Sequence[str]) -> Column:
@@ -136,9 +164,9 @@ def _pairs(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def full_outer(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
+def full_outer(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str], find: Hot | None = None) -> DataFrame:
     """The full outer join, one row per key with its rows and pairs."""
-    return _pairs(key_counts(baseline, candidate, keys), keys)
+    return _pairs(key_counts(baseline, candidate, keys, find), keys)
 
 
 def flag_rows(
@@ -146,6 +174,7 @@ def flag_rows(
     candidate: DataFrame,
     keys: Sequence[str],
     flags: Sequence[str] = FLAGS,
+    find: Hot | None = None,
 ) -> DataFrame:
     """(keys, ``dq_flag``, ``row_count``): every joined row, equal ones counted.
 
@@ -159,7 +188,7 @@ def flag_rows(
             {"_match_small": none, "_match_large": none}
         )
     else:
-        counts = key_counts(baseline, candidate, keys)
+        counts = key_counts(baseline, candidate, keys, find)
     if MATCHING not in flags:
         single = (F.col("prod_rows") == 1) & (F.col("test_rows") == 1)
         same = F.coalesce(F.col("_match_small") == 1, F.lit(False))
@@ -189,7 +218,7 @@ def flag_rows(
     )
 
 
-def flag_rollup(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
+def flag_rollup(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str], find: Hot | None = None) -> DataFrame:
     """Joined rows per flag; flags that do not occur are left out."""
     p, t = F.col("prod_rows"), F.col("test_rows")
     keyed = _no_null(keys)
@@ -199,7 +228,7 @@ def flag_rollup(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str])
     def total(small: Column, large: Column) -> Column:
         return _whole(F.sum(F.when(both, small)), F.sum(F.when(both, large)))
 
-    totals = key_counts(baseline, candidate, keys).agg(
+    totals = key_counts(baseline, candidate, keys, find).agg(
         F.sum(F.when(~keyed | (p == 0), t)).cast(WIDE).alias("_no_prod"),
         F.sum(F.when(~keyed | (t == 0), p)).cast(WIDE).alias("_no_test"),
         total(pair_small, pair_large).alias("_pairs"),

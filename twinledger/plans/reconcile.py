@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -16,7 +17,10 @@ from twinledger.sources.shared import materialise
 
 @dataclass(frozen=True)
 class Reconciliation:
-    """One comparison; every property is a lazy DataFrame."""
+    """One comparison; every property is a lazy DataFrame.
+
+    Those that compare fingerprints look for hot keys first, in a small job that runs once.
+    """
 
     baseline: DataFrame
     candidate: DataFrame
@@ -48,6 +52,13 @@ class Reconciliation:
             for side in (self.baseline, self._aligned())
         )
 
+    @cached_property
+    def _hot(self) -> DataFrame | None:
+        return recon.hot_keys(*self._sides(), self.keys)
+
+    def _find(self) -> DataFrame | None:
+        return self._hot
+
     @property
     def schema_summary(self) -> DataFrame:
         return schema.summary(
@@ -61,15 +72,15 @@ class Reconciliation:
 
     @property
     def joined(self) -> DataFrame:
-        return recon.full_outer(*self._sides(), self.keys)
+        return recon.full_outer(*self._sides(), self.keys, self._find)
 
     @property
     def rows(self) -> DataFrame:
-        return recon.flag_rows(*self._sides(), self.keys)
+        return recon.flag_rows(*self._sides(), self.keys, find=self._find)
 
     @property
     def rollup(self) -> DataFrame:
-        return recon.flag_rollup(*self._sides(), self.keys)
+        return recon.flag_rollup(*self._sides(), self.keys, self._find)
 
     @property
     def duplicate_keys(self) -> DataFrame:
@@ -83,7 +94,7 @@ class Reconciliation:
         return materialise(self.rows, "rows", ("dq_flag",))
 
     def samples(self, flag: str, n: int = recon.SAMPLE_ROWS) -> DataFrame:
-        rows = recon.flag_rows(*self._sides(), self.keys, (flag,))
+        rows = recon.flag_rows(*self._sides(), self.keys, (flag,), self._find)
         return recon.sample_rows(rows, flag, n)
 
     def report(self, n: int = recon.SAMPLE_ROWS, rows: DataFrame | None = None) -> DataFrame:
@@ -94,7 +105,7 @@ class Reconciliation:
         :meth:`written_rows`.
         """
         if rows is None:
-            mismatches = recon.flag_rows(*self._sides(), self.keys, recon.MISMATCHES)
+            mismatches = recon.flag_rows(*self._sides(), self.keys, recon.MISMATCHES, self._find)
             rollup = self.rollup
         else:
             mismatches = rows
