@@ -92,3 +92,20 @@ def test_bands_reach_the_recall():
         bands = shingles.bands_for(threshold, 0.999)
         assert 1 - (1 - threshold**bands.rows) ** bands.count >= 0.999
         assert bands.count * bands.rows <= 160
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_different_texts_under_one_id(spark, parts):
+    a = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+    rows = [(1, a), (1, "something else that has nothing to do with it at all"), (2, a + " more"), (1, a), (3, "alone")]
+    df = spark.createDataFrame([(i, t, "en") for i, t in rows], SCHEMA).repartition(parts, "text")
+    got = sorted(map(tuple, shingles.jaccard_join(df).collect()))
+    assert got == [(1, 0, 1, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]
+
+
+def test_order_by_another_column(spark):
+    a = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+    rows = [(0, a, "z"), (1, a + " more", "b"), (2, a, "b"), (3, "else", "a")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted(map(tuple, shingles.jaccard_join(df, order_col="lang").collect()))
+    assert got == [(0, 2, 1, False), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]

@@ -138,3 +138,11 @@ def test_components_of_random_links(spark):
     linked = {i for a, b in links if a is not None and b is not None and a != b for i in (a, b)}
     assert got == {i: label[i] for i in linked}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_different_vectors_under_one_id(spark, parts):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.01]), (2, [1.0, 0.02]), (1, [0.0, 1.0]), (1, [1.0, 0.0])]
+    df = vectors(spark, rows, "array<double>", "embedding").repartition(parts, "embedding")
+    got = sorted(map(tuple, metric.range_join(df).collect()))
+    assert got == [(1, 0, 1, True), (1, 3, 1, True), (1, 3, 1, True), (1, 3, 1, True), (2, 3, 1, False)]

@@ -15,8 +15,9 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from twinledger.functions.columns import named
 from twinledger.llm.components import components
 from twinledger.llm.shared import Recent, bounded_batches, checkpointed
 
@@ -89,8 +90,10 @@ def band_hashes(shingles: np.ndarray, bands: Bands, seeds: tuple[np.ndarray, np.
     return total.view(np.int64)
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, bands: Bands, seed: int) -> DataFrame:
-    """``id``, a 128-bit ``hi``/``lo`` of the n-gram set, its size, and the bands."""
+def signatures(
+    docs: DataFrame, id_col: str, text_col: str, n: int, bands: Bands, seed: int, order_col: str | None = None
+) -> DataFrame:
+    """``id``, ``place`` (of its order), the text's hash, a 128-bit ``hi``/``lo`` of the n-gram set, its size, and the bands."""
     seeds = _seeds(bands.count * bands.rows, seed)
 
     @F.pandas_udf("hi long, lo long, size long, bands array<long>")
@@ -104,11 +107,21 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, bands: Bands
                 rows.append((hi, lo, len(grams), band_hashes(grams, bands, seeds) if len(grams) else None))
             yield pd.DataFrame(rows, columns=["hi", "lo", "size", "bands"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), sign(text_col).alias("sign")).select("id", "sign.*")
+    return _source(docs, id_col, text_col, order_col).select("place.id", "place", "hash", sign("text").alias("sign")).select(
+        "id", "place", "hash", "sign.*"
+    )
+
+
+def _source(docs: DataFrame, id_col: str, text_col: str, order_col: str | None = None) -> DataFrame:
+    """``place`` (what rows are ordered by), ``text``, ``hash`` of the text."""
+    order = F.lit(0) if order_col is None else named(order_col)
+    text = named(text_col)
+    place = F.struct(order.alias("order"), named(id_col).cast("long").alias("id"))
+    return docs.select(place.alias("place"), text.alias("text"), F.xxhash64(text).alias("hash"))
 
 
-def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, n: int) -> DataFrame:
-    """``rep`` and its n-gram hashes as one binary, for the ids in ``wanted``."""
+def _shingle_sets(source: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """``node`` and its n-gram hashes as one binary, for the rows (``place``, ``hash``) in ``wanted``."""
 
     @F.pandas_udf("binary")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -116,8 +129,9 @@ def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame
         for batch in batches:
             yield pd.Series([shingle_hashes(text, n, words).tobytes() for text in batch], dtype=object)
 
-    source = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
-    return source.join(wanted, "rep", "left_semi").select("rep", cut("text").alias("grams"))
+    # a row of that place and text, and copies of it
+    met = source.join(wanted, ["place", "hash"]).dropDuplicates(["place", "hash"])
+    return met.select("node", cut("text").alias("grams"))
 
 
 def jaccard_join(
@@ -128,15 +142,16 @@ def jaccard_join(
     threshold: float = 0.8,
     recall: float = 0.99999,
     seed: int = 7,
+    order_col: str | None = None,
 ) -> DataFrame:
     """Every document with its links of Jaccard similarity >= ``threshold``.
 
     Returns ``id_col``, ``n_links`` (other rows it links with directly),
-    ``class_id`` (the smallest id it reaches by links) and ``kept`` (it is that
-    id), one row per row of ``docs``.
+    ``class_id`` (the smallest id it reaches by links; with ``order_col`` the one of the
+    smallest value there, then id) and ``kept`` (it is that id), one row per row of ``docs``.
 
-    Rows with the same n-gram set form one class, kept by its smallest id, so
-    copies are counted and never paired. The classes are banded; members of a
+    Rows with the same n-gram set form one class, so copies are counted and
+    never paired. Classes are numbered in the order of their smallest rows. The classes are banded; members of a
     small bucket are paired, a large bucket (near copies of one text) is cut
     into blocks and every two blocks are compared in a task of their own, which
     returns counts and a spanning forest instead of pairs. Either way two
@@ -144,38 +159,42 @@ def jaccard_join(
 
     NULL and empty texts and texts without words have no links and are their
     own class. A row with a NULL id takes part under no id: it gets no links.
-    Repeated rows of one id count as copies.
+    Rows that repeat an id are rows of their own: equal ones are copies, different ones have
+    their own links, and each counts for the rows that it links with.
     """
     bounded_batches(docs.sparkSession)
     bands = bands_for(threshold, recall)
-    signed = checkpointed(signatures(docs, id_col, text_col, n, bands, seed))
+    signed = checkpointed(signatures(docs, id_col, text_col, n, bands, seed, order_col))
     usable = signed.filter("size > 0 AND id IS NOT NULL")
     classes = checkpointed(
-        usable.groupBy("hi", "lo").agg(
-            F.min("id").alias("rep"),
+        usable.groupBy("hi", "lo")
+        .agg(
+            F.min(F.struct("place", "hash")).alias("rep"),
             F.count(F.lit(1)).alias("copies"),
             F.first("size").alias("size"),
             F.first("bands").alias("bands"),
         )
+        .orderBy("rep", "hi", "lo")
+        .withColumn("node", F.monotonically_increasing_id())
     )
     candidates = checkpointed(_candidates(classes))
-    sets = checkpointed(
-        _shingle_sets(docs, id_col, text_col, candidates.select("rep").distinct(), n).dropDuplicates(["rep"])
-    )
+    met = classes.join(candidates.select("node").distinct(), "node", "left_semi")
+    sets = checkpointed(_shingle_sets(_source(docs, id_col, text_col, order_col), met.select("rep.*", "node"), n))
     linked = checkpointed(
         _paired(candidates, sets, threshold).unionByName(_blocked(candidates, sets, threshold))
     )
-    labels = components(linked.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    links = linked.groupBy("rep").agg(F.sum("links").alias("links"))
+    labels = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    names = classes.select(F.col("node").alias("component"), F.col("rep.place.id").alias("class_id"))
+    links = linked.groupBy("node").agg(F.sum("links").alias("links"))
     resolved = (
-        classes.select("hi", "lo", "rep", "copies")
-        .join(links, "rep", "left")
-        .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+        classes.select("hi", "lo", "node", "copies", F.col("rep.place.id").alias("own"))
+        .join(links, "node", "left")
+        .join(labels.join(names, "component"), "node", "left")
         .select(
             "hi",
             "lo",
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "rep").alias("class_id"),
+            F.coalesce("class_id", "own").alias("class_id"),
         )
     )
     empty = F.col("id").isNull() | (F.col("size") == 0)
@@ -190,44 +209,39 @@ def jaccard_join(
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
-    """Class members of every bucket of two or more: ``band, rep, copies, size, total, place``."""
-    by = Window.partitionBy("band").orderBy("rep")
-    everyone = Window.partitionBy("band")
-    return (
-        classes.select(F.explode("bands").alias("band"), "rep", "copies", "size")
-        .withColumn("place", F.row_number().over(by) - 1)
-        .withColumn("total", F.count(F.lit(1)).over(everyone))
-        .filter("total > 1")
-    )
+    """Class members of every bucket of two or more: ``band, node, copies, size, total``."""
+    members = classes.select(F.explode("bands").alias("band"), "node", "copies", "size")
+    totals = members.groupBy("band").agg(F.count(F.lit(1)).alias("total")).filter("total > 1")
+    return members.join(totals, "band")
 
 
 def _large_buckets(candidates: DataFrame) -> DataFrame:
     """The large buckets of each class, at most one a band."""
     return (
-        candidates.filter(F.col("total") > PAIRED).groupBy("rep").agg(F.collect_list("band").alias("large"))
+        candidates.filter(F.col("total") > PAIRED).groupBy("node").agg(F.collect_list("band").alias("large"))
     )
 
 
 def _paired(candidates: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links found through small buckets, once a pair: ``rep, links, root``."""
+    """Links found through small buckets, once a pair: ``node, links, root``."""
     small = candidates.filter(F.col("total") <= PAIRED)
     one, other = (
-        small.select("band", *(F.col(c).alias(c + end) for c in ("rep", "copies", "size"))) for end in ("_a", "_b")
+        small.select("band", *(F.col(c).alias(c + end) for c in ("node", "copies", "size"))) for end in ("_a", "_b")
     )
     close = F.least("size_a", "size_b") >= F.lit(threshold - 1e-9) * F.greatest("size_a", "size_b")
     pairs = (
         one.join(other, "band")
-        .filter((F.col("rep_a") < F.col("rep_b")) & close)
-        .select("rep_a", "rep_b", "copies_a", "copies_b")
+        .filter((F.col("node_a") < F.col("node_b")) & close)
+        .select("node_a", "node_b", "copies_a", "copies_b")
         .distinct()
     )
     large = _large_buckets(candidates)
     for end in ("_a", "_b"):
-        pairs = pairs.join(large.select(F.col("rep").alias("rep" + end), F.col("large").alias("large" + end)), "rep" + end, "left")
+        pairs = pairs.join(large.select(F.col("node").alias("node" + end), F.col("large").alias("large" + end)), "node" + end, "left")
     met = F.coalesce(F.arrays_overlap("large_a", "large_b"), F.lit(False))
     pairs = pairs.filter(~met).drop("large_a", "large_b")
     for end in ("_a", "_b"):
-        pairs = pairs.join(sets.select(F.col("rep").alias("rep" + end), F.col("grams").alias("grams" + end)), "rep" + end)
+        pairs = pairs.join(sets.select(F.col("node").alias("node" + end), F.col("grams").alias("grams" + end)), "node" + end)
 
     @F.pandas_udf("boolean")
     def similar(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -237,8 +251,8 @@ def _paired(candidates: DataFrame, sets: DataFrame, threshold: float) -> DataFra
     return found.select(
         F.explode(
             F.array(
-                F.struct(F.col("rep_a").alias("rep"), F.col("copies_b").alias("links"), F.col("rep_a").alias("root")),
-                F.struct(F.col("rep_b").alias("rep"), F.col("copies_a").alias("links"), F.col("rep_a").alias("root")),
+                F.struct(F.col("node_a").alias("node"), F.col("copies_b").alias("links"), F.col("node_a").alias("root")),
+                F.struct(F.col("node_b").alias("node"), F.col("copies_a").alias("links"), F.col("node_a").alias("root")),
             )
         ).alias("link")
     ).select("link.*")
@@ -251,34 +265,34 @@ def _jaccard(a: bytes, b: bytes) -> float:
 
 
 def _blocked(candidates: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links found through large buckets, once a pair: ``rep, links, root``."""
+    """Links found through large buckets, once a pair: ``node, links, root``."""
     blocks = F.ceil(F.col("total") / BLOCK)
     members = (
         candidates.filter(F.col("total") > PAIRED)
-        .withColumn("block", (F.col("place") % blocks).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
         .select(
             "band",
             F.least("block", "other").alias("low"),
             F.greatest("block", "other").alias("high"),
             "block",
-            "rep",
+            "node",
             "copies",
         )
-        .join(_large_buckets(candidates), "rep")
-        .join(sets, "rep")
+        .join(_large_buckets(candidates), "node")
+        .join(sets, "node")
     )
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("rep", ignore_index=True)
+        group = group.sort_values("node", ignore_index=True)
         band, low, high = (int(group[c].iat[0]) for c in ("band", "low", "high"))
         near = _similar(group["grams"], threshold)
         near &= _first_meeting(group["large"], band)
         block = group["block"].to_numpy()
         near &= (block[:, None] == low) & (block[None, :] == high) | (block[:, None] == high) & (block[None, :] == low)
-        return forest(group["rep"].to_numpy(), near, group["copies"].to_numpy(), "rep")
+        return forest(group["node"].to_numpy(), near, group["copies"].to_numpy(), "node")
 
-    return members.groupBy("band", "low", "high").applyInPandas(compare, "rep long, links long, root long")
+    return members.groupBy("band", "low", "high").applyInPandas(compare, "node long, links long, root long")
 
 
 def forest(ids: np.ndarray, near: np.ndarray, weights: np.ndarray, name: str) -> pd.DataFrame:
