@@ -85,3 +85,14 @@ def test_numbering_over_many_partitions(spark):
     df = spark.createDataFrame([(n,) for n in names] + [(None,)], "source string").repartition(16)
     got = {r.source: r.place for r in mixing.numbered(df, "source", "place").collect()}
     assert got == {**{n: int(n) for n in names}, None: 500}
+
+
+def test_rows_that_repeat_an_id(spark):
+    rows = [(1, "a " * n, "x", n) for n in range(1, 40)] + [(2, "b " * 500, "y", 99)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, row long")
+    one, other = (
+        sorted((r.row, r["size"], r.copies) for r in mixing.mix(df, row_col="row").collect())
+        for df in (docs, docs.orderBy(F.desc("row")).repartition(3))
+    )
+    assert one == other and [row for row, _, _ in one] == [*range(1, 40), 99]
+    assert [size for _, size, _ in one] == [*range(1, 40), 500]

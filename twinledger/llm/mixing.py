@@ -84,6 +84,7 @@ def mix(
     weights: tuple[int, ...] = WEIGHTS,
     epochs: int = EPOCHS,
     seed: str = "mix",
+    row_col: str | None = None,
 ) -> DataFrame:
     """Every document with how often the mix takes it.
 
@@ -101,14 +102,16 @@ def mix(
     stratum's rows, so a source of any share is spread over tasks.
 
     NULL and empty texts have size 0 and are taken as often as their source's
-    whole repetitions; a source of size 0 has target 0. Repeated rows are
-    separate documents of the same place in the order.
+    whole repetitions; a source of size 0 has target 0. Rows that repeat an id are
+    separate documents of the same place in the order, smaller ones first, then by
+    ``row_col``, a number of the rows that is returned as well if it is given.
     """
     rows = checkpointed(
         docs.select(
             F.col(id_col).alias("id"),
             F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"),
+            (F.lit(0).cast("long") if row_col is None else F.col(row_col)).alias("row"),
         ).withColumn("stratum", F.floor(F.log2(F.greatest("size", F.lit(1)))))
     )
     strata = rows.groupBy("source", "stratum").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs"))
@@ -130,6 +133,7 @@ def mix(
         "target",
         copies.alias("copies"),
         (copies * F.col("size")).alias("taken"),
+        *([] if row_col is None else [F.col("row").alias(row_col)]),
     )
 
 
@@ -159,7 +163,7 @@ def _rest(
         .drop("words")
     )
     within = (
-        Window.partitionBy("source", "stratum", "bucket").orderBy("order", "id").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("source", "stratum", "bucket").orderBy("order", "id", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = offsets.select(*(F.col(c).alias("o_" + c) for c in offsets.columns))
     placed = checkpointed(
@@ -171,7 +175,7 @@ def _rest(
             & (F.col("bucket") == F.col("o_bucket")),
         )
         .withColumn("middle", F.col("o_offset") + F.col("inside") + F.col("size") / 2)
-        .select("id", "source", "stratum", "size", "quota", "middle")
+        .select("id", "row", "source", "stratum", "size", "quota", "middle")
     )
     reached = placed.groupBy("source", "stratum").agg(
         F.first("quota").alias("quota"),
