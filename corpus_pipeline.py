@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from twinledger.functions.columns import named
 from twinledger.llm import bpe, mixing, pii, quality, shingles
 from twinledger.llm.queries import RANKS
-from twinledger.llm.shared import checkpointed, shared_folder, unused
+from twinledger.llm.shared import shared_folder, unused
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Documents below this chance of label 1 are rejected.
@@ -27,16 +27,19 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return docs.withColumn(score, quality.score(F.col("text"), weights)).filter(named(score) >= QUALITY).drop(score)
 
 
+def _numbered(spark: SparkSession, docs: DataFrame, row: str) -> DataFrame:
+    """``docs`` with a number for every row, written so that it stays."""
+    path = f"{shared_folder(spark)}/numbered-{uuid.uuid4().hex}"
+    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of rows connected by links of 0.8 or more on 5-grams the one of the smallest id, one row if ids repeat."""
-    row, path = unused(docs, "_row"), f"{shared_folder(spark)}/numbered-{uuid.uuid4().hex}"
-    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
-    numbered = spark.read.parquet(path)
-    linked = shingles.jaccard_join(numbered, row, n=5, threshold=0.8).select(F.col(row).alias("row"), "class_id")
-    rows = checkpointed(numbered.select(named("doc_id").alias("id"), F.col(row).alias("row")).join(linked, "row"))
-    first = rows.groupBy("class_id").agg(F.min(F.struct("id", "row")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    gone = rows.join(first, "class_id").filter("row <> first.row").select(F.col("row").alias(row))
-    return numbered.join(gone, row, "left_anti").drop(row)
+    row = unused(docs, "_row")
+    numbered = _numbered(spark, docs, row)
+    linked = shingles.jaccard_join(numbered, row, n=5, threshold=0.8, order_col="doc_id")
+    return numbered.join(linked.filter("NOT kept").select(row), row, "left_anti").drop(row)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,10 +50,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, at most three times."""
-    found, copies, copy = (unused(docs, name) for name in ("_id", "_copies", "_copy"))
-    taken = mixing.mix(docs).filter(F.col("copies") > 0).groupBy(F.col("doc_id").alias(found)).agg(F.max("copies").alias(copies))
-    repeated = docs.join(taken, named("doc_id").eqNullSafe(F.col(found)))
-    return repeated.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(
+    row, copies, copy = (unused(docs, name) for name in ("_row", "_copies", "_copy"))
+    numbered = _numbered(spark, docs, row)
+    taken = mixing.mix(numbered, row_col=row).filter(F.col("copies") > 0).select(row, F.col("copies").alias(copies))
+    return numbered.join(taken, row).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(
         *(named(c) for c in docs.columns)
     )
 
