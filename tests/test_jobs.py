@@ -2,9 +2,11 @@
 
 import json
 
+from types import SimpleNamespace
+
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Row, functions as F, types as T
 from twinledger.operators import load, rules, schema, versions
 from twinledger.plans.standardise import changes, standardise, standardise_jobs, standardise_profiles
 from twinledger.sources import shared, tables
@@ -94,6 +96,12 @@ class Settings(dict):
 def test_shared_folder_without_the_setting():
     bare = Settings({"spark.master": "local[2]", "spark.sql.warehouse.dir": "hdfs://x/w/"})
     assert shared.shared_folder(bare) == "hdfs://x/w/_shared"
+    own = Settings({"spark.sql.warehouse.dir": "file:/x/w"})
+    own.sparkContext = SimpleNamespace(master="local[2]")
+    assert shared.shared_folder(own) == "file:/x/w/_shared"
+    own.sparkContext = SimpleNamespace(master="yarn")
+    with pytest.raises(ValueError, match="one machine's own"):
+        shared.shared_folder(own)
     named = Settings({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://x/y/"})
     assert shared.new_path(named, "t").startswith("hdfs://x/y/t-")
 
@@ -222,3 +230,42 @@ def test_version_ties_and_stages(spark):
     found = versions.stage_lookup(asked, metadata, ["t"])
     assert rows(found.select("t", "missing_stages")) == [("a", None), ("b", "beta"), ("c", "beta,prod")]
     assert {r["t"] for r in versions.config_long(found.withColumn("abbreviation", F.lit("z"))).collect()} == {"a"}
+
+
+def stored_table(spark, rows, schema, *parts):
+    path = shared.new_path(spark, "base")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    spark.createDataFrame(rows, schema).write.partitionBy(*parts).option("path", path).saveAsTable(name)
+    return name
+
+
+def test_upsert_into_partitions(spark):
+    schema = "k int, v string, day string, zone int"
+    base = [(1, "a", "mon", 1), (2, "b", "mon", 1), (3, "c", "tue", 1), (4, "d", None, 2), (5, "e", "o'x", 2), (None, "f", "wed", 1)]
+    name = stored_table(spark, base, schema, "day", "zone")
+    before = {r.day: r.file for r in spark.table(name).select("day", F.col("_metadata.file_path").alias("file")).collect()}
+    incoming = [(2, "B", "mon", 1, 1), (3, "C", "mon", 1, 1), (3, "CC", "mon", 1, 2), (5, "E", None, 2, 1), (9, "N", "thu", 3, 1), (None, "F", "mon", 1, 1)]
+    done = load.upsert_table(name, spark.createDataFrame(incoming, schema + ", n int"), ["k"], ["n"])
+    assert sorted(map(tuple, done.collect()), key=str) == sorted(
+        [(1, "a", "mon", 1), (2, "B", "mon", 1), (3, "CC", "mon", 1), (4, "d", None, 2), (5, "E", None, 2), (9, "N", "thu", 3),
+         (None, "f", "wed", 1), (None, "F", "mon", 1)], key=str
+    )
+    after = {r.day: r.file for r in done.select("day", F.col("_metadata.file_path").alias("file")).collect()}
+    assert after["wed"] == before["wed"] and after["mon"] != before["mon"] and "tue" not in after and "o'x" not in after
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 4
+
+
+def test_upsert_into_partitions_reads_the_touched_ones(spark):
+    schema = "k int, day string, v string"
+    name = stored_table(spark, [(n, f"d{n % 5}", "x" * 5) for n in range(50)], schema, "day")
+    rest = spark.table(name).filter(load._is_among({Row(day="d1"), Row(day="d3")}, ["day"]))
+    assert len(rest.inputFiles()) == 5 * 2 or {f.split("day=")[1][:2] for f in rest.inputFiles()} == {"d1", "d3"}
+    plan = rest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [day" in plan
+    load.upsert_table(name, spark.createDataFrame([], schema), ["k"])
+    load.upsert_table(name, spark.createDataFrame([(1, "d1", "new")], schema), ["k", "day"])
+    assert spark.table(name).count() == 50 and spark.table(name).filter("v = 'new'").count() == 1
+    with pytest.raises(ValueError, match="no partitions"):
+        path = shared.new_path(spark, "flat")
+        spark.range(3).write.option("path", path).saveAsTable("flat_table")
+        load.upsert_table("flat_table", spark.range(1), ["id"])

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 from twinledger import reconcile
-from twinledger.operators import counts, recon
+from twinledger.operators import counts, digest, recon
 from twinledger.operators.scope import FULL, changed_since, snapshot
 from twinledger.suite import QUERIES
 
@@ -99,6 +99,27 @@ def test_report_reads_each_side_twice(sides):
 
 def test_difference_is_one_grouping_of_fingerprints(sides):
     text = plan(recon.symmetric_difference(*sides, ["k", "v"]))
-    assert "hashpartitioning(_hash" in text
+    assert "hashpartitioning(_hash0" in text and "md5" not in text
     assert "Join" not in text
     assert exchanges(text) == 2
+
+
+def test_stored_sides_are_not_shuffled_again(sides):
+    result = reconcile(*sides, "k", scope=FULL).stored(4)
+    assert exchanges(plan(recon.stored_keys(*result.tables, ["k"]))) == 0
+    text = plan(result.rollup)
+    assert text.count("Bucketed: true") >= 2 and "v:string" not in text
+    # one for the rows of keys that are not settled where they lie, and for their counts
+    assert text.count("Exchange hashpartitioning(k#") == 2 and "LeftSemi" in text
+
+
+def test_equal_buckets_are_not_compared_row_by_row(sides):
+    base, same = sides
+    other = same.withColumn("v", F.when(F.col("k") == 77, "changed").otherwise(F.col("v")))
+    digests = digest.bucket_digests(base, other, ["k", "v"], buckets=256)
+    assert digests.filter("NOT same").count() == 2
+    left = [digest.in_buckets(side.select("k", "v"), ["k", "v"], digests, 256).count() for side in (base, other)]
+    assert sum(left) < 30
+    assert digest.bucket_digests(base, same, ["k", "v"]).filter("NOT same").isEmpty()
+    text = plan(digest.difference_by_bucket(base, other, ["k", "v"]))
+    assert "LeftSemi" in text and "SortMergeJoin" not in text

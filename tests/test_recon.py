@@ -10,7 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F, types as T
 from twinledger import reconcile
 from twinledger.functions import hashing
-from twinledger.operators import recon
+from twinledger.operators import digest, recon
 from twinledger.operators.scope import FULL, changed_since, choose_scope, snapshot
 
 SCHEMA = "k1 int, k2 string, a int, b string"
@@ -67,6 +67,9 @@ def test_same_as_join(spark, monkeypatch, seed, small, hot):
     for key, count in expected.items():
         rollup[key[2]] += count
     assert {flag: int(n) for flag, n in rows(result.rollup)} == dict(rollup)
+    stored = result.stored(3)
+    assert {flag: int(n) for flag, n in rows(stored.rollup)} == dict(rollup)
+    assert {tuple(row[:3]): int(row[3]) for row in rows(stored.rows)} == dict(expected)
     report = result.report().collect()
     for flag in recon.MISMATCHES:
         items = [json.dumps(dict(zip(("k1", "k2"), key)), separators=(",", ":")) for key in first(expected, flag)]
@@ -308,3 +311,26 @@ def test_types_of_the_baseline_on_request(spark):
     result = reconcile(one, two, "k", cast=True)
     assert flags(result.rollup) == {recon.MATCHING: 1}
     assert "a int -> decimal" in result.schema_summary.first()["type_drift"]
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 4096])
+def test_digests_of_buckets(spark, buckets):
+    """Multisets: also where all buckets differ, or none."""
+    prod, test = random_rows(11, 60), random_rows(12, 50)
+    base, other = (spark.createDataFrame(side, SCHEMA) for side in (prod, test))
+    names = ["k1", "k2", "a", "b"]
+    for one, two in ((base, other), (base, base), (base, base.union(base.limit(2))), (base.limit(0), other)):
+        exact = recon.symmetric_difference(one, two, names).collect()
+        assert digest.difference_by_bucket(one, two, names, buckets).collect() == exact
+    p, t = (Counter(side) for side in (prod, test))
+    found = digest.difference_by_bucket(base, other, names, buckets).first()
+    assert tuple(found) == (sum((p - t).values()), sum((t - p).values()))
+
+
+@pytest.mark.parametrize("mode", hashing.MODES)
+def test_rollup_by_bucket(spark, mode):
+    base, other = fixture(spark)
+    nulls = base.limit(3).withColumn("k", F.lit(None).cast("bigint"))
+    result = reconcile(base.union(nulls), other.union(nulls), "k", mode=mode)
+    for buckets in (1, 5, 1000):
+        assert flags(result.rollup_by_bucket(buckets)) == flags(result.rollup)

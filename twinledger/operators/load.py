@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from twinledger.functions.columns import all_named, named
-from twinledger.functions.hashing import all_hash
+from twinledger.functions.hashing import row_marks
 from twinledger.functions.nested import drop_field, edit_field, field_type
+from twinledger.sources.shared import materialise
 
 UPSERT = "UPSERT"
 
@@ -42,7 +43,7 @@ def upsert(
         named(f.name) if f.name.lower() in known else F.lit(None).cast(f.dataType).alias(f.name)
         for f in base.schema.fields
     ]
-    row, place = F.struct(*loaded), F.struct(*all_named(order), all_hash(incoming, incoming.columns))
+    row, place = F.struct(*loaded), F.struct(*all_named(order), *row_marks(incoming, incoming.columns))
     whole = F.lit(True)
     for key in keys:
         whole = whole & named(key).isNotNull()
@@ -64,6 +65,66 @@ def upsert(
     )
 
 
+OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
+
+
+def upsert_table(table: str, incoming: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """:func:`upsert` into a partitioned table of the catalog, rewriting only partitions that it touches.
+
+    Touched are the partitions of the incoming rows, and those that hold a row to be replaced. If the
+    partition columns are not all keys, the latter are found in the base's keys alone. Files of other
+    partitions are neither read nor written. The touched ones are merged into a table of
+    their own first, so a task or job that fails changes nothing, and a load that is run again gives the same
+    (but for rows with a NULL key, which every load adds). Partitions left without a row are dropped.
+    """
+    spark = incoming.sparkSession
+    base = spark.table(table)
+    parts = [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
+    if not parts:
+        raise ValueError(f"{table} has no partitions")
+    keys = list(keys)
+    fresh = materialise(upsert(clone_schema(base), incoming, keys, order=order), "incoming")
+    replaced = fresh.select(*all_named(keys)).dropna().distinct()
+    places = fresh.select(*all_named(parts))
+    if not {name.lower() for name in parts} <= {name.lower() for name in keys}:
+        held = base.select(*all_named(dict.fromkeys([*keys, *parts]))).join(replaced, keys, "left_semi")
+        places = places.unionByName(held.select(*all_named(parts)))
+    touched = set(places.distinct().collect())  # a row per partition of the table at most
+    if not touched:
+        return base
+    rest = base.filter(_is_among(touched, parts)).join(replaced, keys, "left_anti")
+    merged = materialise(rest.select(*all_named(base.columns)).unionByName(fresh), "merged", tuple(parts))
+    before = spark.conf.get(OVERWRITE)
+    spark.conf.set(OVERWRITE, "dynamic")
+    try:
+        merged.select(*all_named(base.columns)).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE, before)
+    for gone in touched - set(merged.select(*all_named(parts)).distinct().collect()):
+        place = ", ".join(f"`{name}` = {_literal(value)}" for name, value in gone.asDict().items())
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({place})")
+    return spark.table(table)
+
+
+def _is_among(places: set[Row], parts: Sequence[str]) -> Column:
+    """Rows of one of the partitions, as a condition that the scan is pruned by."""
+    if len(parts) == 1:
+        values = [place[0] for place in places if place[0] is not None]
+        found = named(parts[0]).isin(values) if values else F.lit(False)
+        return found | named(parts[0]).isNull() if len(values) < len(places) else found
+    found = F.lit(False)
+    for place in places:
+        same = F.lit(True)
+        for name, value in place.asDict().items():
+            same = same & (named(name).isNull() if value is None else named(name) == F.lit(value))
+        found = found | same
+    return found
+
+
+def _literal(value: object) -> str:
+    return "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def clone_definition(
     version: Column,
     dtype: T.StructType,

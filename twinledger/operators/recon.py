@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from twinledger.functions.columns import all_named, named
-from twinledger.functions.hashing import all_hash, row_hash
+from twinledger.functions.hashing import row_hash, row_marks
 from twinledger.operators.counts import BASELINE_ENV, CANDIDATE_ENV
 
 # The flags, in the order they are tested.
@@ -42,8 +42,8 @@ MISMATCHES = (MISSING_FROM_TEST, MISSING_FROM_PROD, NOT_MATCHING)
 
 SAMPLE_ROWS = 10
 WIDE = "decimal(38,0)"
-#: Gives hot keys, or None if there are none.
-Hot = Callable[[], DataFrame | None]
+#: Counts the rows of both sides per key, as :func:`key_counts` does.
+Count = Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame]
 # Products of two counts up to this size, and sums of them, fit a bigint.
 SMALL = 65535
 # Rows of a key that are too many for one task, the most keys treated so (each other one has
@@ -123,7 +123,12 @@ def _per_key(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def key_counts(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str], find: Hot | None = None) -> DataFrame:
+def key_counts(
+    baseline: DataFrame,
+    candidate: DataFrame,
+    keys: Sequence[str],
+    find: Callable[[], DataFrame | None] | None = None,
+) -> DataFrame:
     """One row per key: rows on each side and matching pairs in two parts.
 
     ``find`` gives the hot keys where they are known already; else they are looked for.
@@ -142,6 +147,41 @@ def key_counts(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str], f
     return dealt.unionByName(_per_key(hash_counts(spread, keys), keys))
 
 
+def _one_side(side: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    return side.groupBy(*all_named(keys)).agg(
+        F.count(F.lit(1)).alias(f"{name}_rows"), F.min("md5_col").alias(f"_{name}_low"), F.max("md5_col").alias(f"_{name}_high")
+    )
+
+
+def stored_keys(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each key's rows and its least and greatest fingerprint on each side; sides stored by ``keys`` are not shuffled."""
+    return _one_side(baseline, keys, "prod").join(_one_side(candidate, keys, "test"), list(keys), "full_outer")
+
+
+def stored_counts(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What :func:`key_counts` gives, of fingerprinted sides that are stored by ``keys``.
+
+    A key whose rows are alike on each side is settled where it lies. Only rows of keys with
+    differing rows on a side and some on the other are counted by an exchange.
+    """
+    met = stored_keys(baseline, candidate, keys)
+    unlike = (F.col("_prod_low") != F.col("_prod_high")) | (F.col("_test_low") != F.col("_test_high"))
+    mixed = F.coalesce(unlike & F.col("prod_rows").isNotNull() & F.col("test_rows").isNotNull(), F.lit(False))
+    p, t = (F.coalesce(name, F.lit(0).cast("bigint")) for name in ("prod_rows", "test_rows"))
+    same = F.coalesce(F.col("_prod_low") == F.col("_test_low"), F.lit(False))
+    small, large = _product(p, t)
+    settled = met.filter(~mixed).select(
+        *all_named(keys),
+        p.alias("prod_rows"),
+        t.alias("test_rows"),
+        F.when(same, small).otherwise(F.lit(0).cast("bigint")).alias("_match_small"),
+        F.when(same, large).alias("_match_large"),
+    )
+    rest = met.filter(mixed).select(*all_named(keys))
+    sides = [side.join(rest, list(keys), "left_semi") for side in (baseline, candidate)]
+    return settled.unionByName(_per_key(hash_counts(_signed(*sides, keys), keys), keys))
+
+
 def _no_null(keys: Sequence[str]) -> Column:
     condition = F.lit(True)
     for key in keys:
@@ -164,9 +204,9 @@ def _pairs(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def full_outer(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str], find: Hot | None = None) -> DataFrame:
+def full_outer(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str], count: Count = key_counts) -> DataFrame:
     """The full outer join, one row per key with its rows and pairs."""
-    return _pairs(key_counts(baseline, candidate, keys, find), keys)
+    return _pairs(count(baseline, candidate, keys), keys)
 
 
 def flag_rows(
@@ -174,7 +214,7 @@ def flag_rows(
     candidate: DataFrame,
     keys: Sequence[str],
     flags: Sequence[str] = FLAGS,
-    find: Hot | None = None,
+    count: Count = key_counts,
 ) -> DataFrame:
     """(keys, ``dq_flag``, ``row_count``): every joined row, equal ones counted.
 
@@ -188,7 +228,7 @@ def flag_rows(
             {"_match_small": none, "_match_large": none}
         )
     else:
-        counts = key_counts(baseline, candidate, keys, find)
+        counts = count(baseline, candidate, keys)
     if MATCHING not in flags:
         single = (F.col("prod_rows") == 1) & (F.col("test_rows") == 1)
         same = F.coalesce(F.col("_match_small") == 1, F.lit(False))
@@ -218,7 +258,7 @@ def flag_rows(
     )
 
 
-def flag_rollup(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str], find: Hot | None = None) -> DataFrame:
+def flag_rollup(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str], count: Count = key_counts) -> DataFrame:
     """Joined rows per flag; flags that do not occur are left out."""
     p, t = F.col("prod_rows"), F.col("test_rows")
     keyed = _no_null(keys)
@@ -228,7 +268,7 @@ def flag_rollup(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str],
     def total(small: Column, large: Column) -> Column:
         return _whole(F.sum(F.when(both, small)), F.sum(F.when(both, large)))
 
-    totals = key_counts(baseline, candidate, keys, find).agg(
+    totals = count(baseline, candidate, keys).agg(
         F.sum(F.when(~keyed | (p == 0), t)).cast(WIDE).alias("_no_prod"),
         F.sum(F.when(~keyed | (t == 0), p)).cast(WIDE).alias("_no_test"),
         total(pair_small, pair_large).alias("_pairs"),
@@ -315,8 +355,9 @@ def symmetric_difference(
     signed = baseline.select(*all_named(names), F.lit(1).cast("bigint").alias("_n")).unionByName(
         candidate.select(*all_named(names), F.lit(-1).cast("bigint").alias("_n"))
     )
-    marked = signed.select(*all_named(by), F.unhex(all_hash(signed, names)).alias("_hash"), "_n")
-    net = marked.groupBy(*all_named(by), "_hash").agg(F.sum("_n").alias("_n"))
+    marks = [mark.alias(f"_hash{i}") for i, mark in enumerate(row_marks(signed, names))]
+    marked = signed.select(*all_named(by), *marks, "_n")
+    net = marked.groupBy(*all_named(by), "_hash0", "_hash1").agg(F.sum("_n").alias("_n"))
 
     def surplus(n: Column) -> Column:
         return F.coalesce(F.sum(F.when(n > 0, n)), F.lit(0).cast("bigint"))

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
 from twinledger.functions.columns import all_named, named
 from twinledger.functions.text import split_names
-from twinledger.operators import counts, recon, schema
+from twinledger.operators import counts, digest, recon, schema
 from twinledger.operators.scope import FULL, Scope, choose_scope
-from twinledger.sources.shared import materialise
+from twinledger.sources.shared import materialise, store
 
 
 @dataclass(frozen=True)
@@ -30,6 +30,8 @@ class Reconciliation:
     mode: str = "safe"
     region: str | None = None
     cast: bool = False
+    #: Both sides' keys and fingerprints as tables in buckets of the keys, see :meth:`stored`.
+    tables: tuple[DataFrame, DataFrame] | None = None
 
     def _aligned(self) -> DataFrame:
         """The candidate as it is compared: with ``cast``, in the baseline's types."""
@@ -47,6 +49,8 @@ class Reconciliation:
         )
 
     def _sides(self) -> tuple[DataFrame, DataFrame]:
+        if self.tables is not None:
+            return self.tables
         return tuple(
             recon.fingerprint(self.scope.apply(side), self.keys, self.columns, self.mode)
             for side in (self.baseline, self._aligned())
@@ -56,8 +60,23 @@ class Reconciliation:
     def _hot(self) -> DataFrame | None:
         return recon.hot_keys(*self._sides(), self.keys)
 
-    def _find(self) -> DataFrame | None:
-        return self._hot
+    def _count(self, baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
+        if self.tables is not None:
+            return recon.stored_counts(baseline, candidate, keys)
+        return recon.key_counts(baseline, candidate, keys, lambda: self._hot)
+
+    def stored(self, buckets: int = 200) -> Reconciliation:
+        """The same comparison over stored fingerprints of both sides.
+
+        Each side is read, hashed and dealt by the keys once, into ``buckets`` files of a table in the shared
+        folder. Everything that compares fingerprints reads those tables, and joins them without an
+        exchange. Worth its cost where several results, or several jobs, are made of them.
+        """
+        return replace(self, tables=tuple(store(side, "fingerprints", self.keys, buckets) for side in self._sides()))
+
+    def rollup_by_bucket(self, buckets: int = digest.BUCKETS) -> DataFrame:
+        """:attr:`rollup` of two nearly equal tables with unique keys, shuffling what differs."""
+        return digest.rollup_by_bucket(*self._sides(), self.keys, buckets)
 
     @property
     def schema_summary(self) -> DataFrame:
@@ -72,15 +91,15 @@ class Reconciliation:
 
     @property
     def joined(self) -> DataFrame:
-        return recon.full_outer(*self._sides(), self.keys, self._find)
+        return recon.full_outer(*self._sides(), self.keys, self._count)
 
     @property
     def rows(self) -> DataFrame:
-        return recon.flag_rows(*self._sides(), self.keys, find=self._find)
+        return recon.flag_rows(*self._sides(), self.keys, count=self._count)
 
     @property
     def rollup(self) -> DataFrame:
-        return recon.flag_rollup(*self._sides(), self.keys, self._find)
+        return recon.flag_rollup(*self._sides(), self.keys, self._count)
 
     @property
     def duplicate_keys(self) -> DataFrame:
@@ -94,7 +113,7 @@ class Reconciliation:
         return materialise(self.rows, "rows", ("dq_flag",))
 
     def samples(self, flag: str, n: int = recon.SAMPLE_ROWS) -> DataFrame:
-        rows = recon.flag_rows(*self._sides(), self.keys, (flag,), self._find)
+        rows = recon.flag_rows(*self._sides(), self.keys, (flag,), self._count)
         return recon.sample_rows(rows, flag, n)
 
     def report(self, n: int = recon.SAMPLE_ROWS, rows: DataFrame | None = None) -> DataFrame:
@@ -105,7 +124,7 @@ class Reconciliation:
         :meth:`written_rows`.
         """
         if rows is None:
-            mismatches = recon.flag_rows(*self._sides(), self.keys, recon.MISMATCHES, self._find)
+            mismatches = recon.flag_rows(*self._sides(), self.keys, recon.MISMATCHES, self._count)
             rollup = self.rollup
         else:
             mismatches = rows

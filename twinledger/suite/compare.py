@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from twinledger.functions import hashing
-from twinledger.operators import recon
+from twinledger.operators import digest, recon
 from twinledger.operators.scope import FULL, changed_since, snapshot
 from twinledger.plans.reconcile import reconcile
 from twinledger.suite.counting import ON_DAY, SINCE, count_sections
@@ -176,6 +176,18 @@ for _mode, _suffix in (("compat", ""), ("safe", "_safe")):
     register_rollup(f"dq_flag_rollup_changed{_suffix}", _mode, changed_since(END_OF_DAY), SINCE)
 
 
+@query("dq_flag_rollup_by_bucket", joined_sql(ROLLUP, "safe"))
+def dq_flag_rollup_by_bucket(spark, sf_dir):
+    """The rollup by digests of buckets; rows of equal buckets are not shuffled."""
+    return as_bigint(comparison(spark, sf_dir, "safe").rollup_by_bucket(), "row_count")
+
+
+@query("recon_stored", joined_sql(ROLLUP, "compat"))
+def recon_stored(spark, sf_dir):
+    """The rollup of stored sides, which are joined where they lie."""
+    return as_bigint(comparison(spark, sf_dir).stored(8).rollup, "row_count")
+
+
 @query(
     "recon_full_outer",
     joined_sql(
@@ -287,6 +299,26 @@ def symmetric_difference(spark, sf_dir):
     return recon.symmetric_difference(*fx_sides(spark, sf_dir), ["o_orderkey", "o_totalprice"])
 
 
+@query(
+    "difference_by_bucket",
+    """
+    WITH p AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders),
+    t AS (SELECT o_orderkey, o_custkey, o_orderstatus,
+                 CAST(CASE WHEN o_orderkey % 4999 = 7 THEN price + 1 ELSE price END AS DECIMAL(18,2)) AS price
+          FROM p WHERE o_orderkey % 7001 <> 3)
+    SELECT (SELECT count(*) FROM (SELECT * FROM p EXCEPT ALL SELECT * FROM t)) AS baseline_minus_candidate,
+           (SELECT count(*) FROM (SELECT * FROM t EXCEPT ALL SELECT * FROM p)) AS candidate_minus_baseline
+    """,
+)
+def difference_by_bucket(spark, sf_dir):
+    """Orders against nearly equal ones; rows of equal buckets are not shuffled."""
+    price = F.col("o_totalprice").cast("decimal(18,2)").alias("price")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", price)
+    changed = F.when(F.col("o_orderkey") % 4999 == 7, F.col("price") + 1).otherwise(F.col("price"))
+    nearly = orders.filter("o_orderkey % 7001 <> 3").withColumn("price", changed.cast("decimal(18,2)"))
+    return digest.difference_by_bucket(orders, nearly, orders.columns)
+
+
 def report_sql() -> str:
     none = "CAST(NULL AS VARCHAR)"
     parts = [

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from twinledger.functions.text import fits_length
 from twinledger.operators import load, recon, rules
 from twinledger.suite.counting import order_versions
+from twinledger.sources.shared import new_path
 from twinledger.suite.registry import FX_COLUMNS, KEYS, fx_sides, query, table, with_fx
 
 RULES_SQL = with_fx(
@@ -101,6 +102,26 @@ def upsert(spark, sf_dir):
     return load.upsert(*fx_sides(spark, sf_dir), KEYS)
 
 
+@query(
+    "upsert_partitioned",
+    with_fx(
+        f"""
+        SELECT {FX_COLUMNS} FROM fx_prod
+        WHERE o_orderkey NOT IN (SELECT o_orderkey FROM fx_test WHERE region_id <= 2)
+        UNION ALL SELECT {FX_COLUMNS} FROM fx_test WHERE region_id <= 2
+        """
+    ),
+)
+def upsert_partitioned(spark, sf_dir):
+    """Two regions' rows into a table that is partitioned by region; the other partitions stay as they are."""
+    prod, test = fx_sides(spark, sf_dir)
+    path = new_path(spark, "loads")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    prod.repartition("region_id").write.partitionBy("region_id").option("path", path).saveAsTable(name)
+    load.upsert_table(name, test.filter("region_id <= 2"), KEYS)
+    return spark.table(name).select(*prod.columns)
+
+
 # Orders against themselves: every key comes in once to three times, priced by its turn.
 TURNS = "1 + o_orderkey % 3"
 
