@@ -128,6 +128,15 @@ def test_rows_that_repeat_an_id(spark, middle):
     assert left == [(1, long), (1, other), (4, "x y"), (5, ""), (5, "")]
 
 
+def test_the_mix_counts_rows_that_repeat_an_id(spark, middle):
+    rows = [(1, "a " * n, "x") for n in range(1, 30)] + [(2, "b " * 400, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("_row", F.lit(0))
+    got = Counter(r.text for r in corpus_pipeline.target_mix(spark, docs, middle).collect())
+    numbered = docs.drop("_row").withColumn("row", F.monotonically_increasing_id())
+    texts = {r.row: r.text for r in numbered.collect()}
+    assert got == Counter({texts[r.row]: r.copies for r in mixing.mix(numbered, row_col="row").collect() if r.copies})
+
+
 def test_digest_of_the_token_ids(spark, middle):
     own = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(public_tokenizers.path(RANKS)), special_tokens={})
     texts = {1: "Some words, 12 numbers and é", 2: ""}
