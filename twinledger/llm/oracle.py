@@ -298,12 +298,9 @@ WITH RECURSIVE crc AS (
 ), placed AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM damaged
 ), seen AS (
-  SELECT *, NOT regexp_matches(text, '[^ 	-
-]') AS blank,
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
          row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again,
-         regexp_extract(text, '([^ 	-
-])[ 	-
-]*$', 1) AS final,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS final,
          left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before
   FROM placed
 ), faulty AS (
