@@ -1,5 +1,6 @@
 import math
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -173,3 +174,22 @@ def test_terms_of_the_documents(spark, middle):
     rows = spark.read.parquet(f"{middle}/documents.parquet").collect()
     got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "term"] for r in pii.detect(spark.createDataFrame(rows)).collect()}
     assert got == {r.doc_id: spans for r, spans in zip(rows, disclosing([r.text for r in rows]))}
+
+
+def test_time_in_proportion_to_a_text_of_many_entities(spark):
+    def seconds(n):
+        rows = [(1, " ".join(f"word{i} me{i}@x.org" for i in range(n)))] + [(i, "plain words of a text") for i in range(2, 40)]
+        df = spark.createDataFrame(rows, SCHEMA)
+        start = time.perf_counter()
+        spans = next(r.spans for r in pii.detect(df).collect() if r.doc_id == 1)
+        assert sum(s.kind == "email" for s in spans) == sum(s.kind == "term" for s in spans) == n
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(40_000) < 2.6 * max(seconds(20_000), 1.5)
+
+
+def test_classes_of_entities(spark):
+    rows = [(1, 10), (1, 11), (1, 12), (2, 12), (2, 13), (3, 13), (1, 10)]
+    got = pii._classes(spark.createDataFrame(rows, "row long, entity long")).collect()
+    assert sorted(r.row for r in got) == [1, 1, 2, 2, 3] and len({r.entity for r in got}) == 3

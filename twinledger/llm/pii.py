@@ -197,14 +197,28 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sett
     )
 
 
+def _classes(entity: DataFrame) -> DataFrame:
+    """``row`` and ``entity``, distinct, with a number of the class of entities in place of the entity.
+
+    A class's entities stand in the same rows: as many, with equal sums of the rows' hashes.
+    """
+    mark = lambda seed: F.xxhash64(F.lit(seed), "row")
+    halves = [half for seed in (1, 2) for half in (mark(seed).bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(mark(seed), 32))]
+    rows = entity.distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n"), *(F.sum(half).alias(f"d{i}") for i, half in enumerate(halves)))
+    of = rows.select("entity", F.xxhash64("n", *(f"d{i}" for i in range(4))).alias("class"))
+    return entity.join(of, "entity").select("row", F.col("class").alias("entity")).distinct()
+
+
 def _disclosing(source: DataFrame, found: DataFrame, settings: Settings) -> DataFrame:
     """``row`` and ``actions`` (``term``, ``action``) of the terms that tell too much of an entity of the row.
 
     A term in more texts than ``reach`` can't tell enough of an entity, were it in all texts with it.
+    Entities of the same rows have the same counts with every term, so they are one class: a text with any
+    number of addresses of its own makes one row a term, not one for each address.
     """
     whole = max(1, found.count())
-    entity = found.select("row", F.explode("entities").alias("entity"))
-    in_entity = checkpointed(entity.groupBy("entity").agg(F.count(F.lit(1)).alias("in_entity")))
+    entity = checkpointed(_classes(found.select("row", F.explode("entities").alias("entity"))))
+    in_entity = entity.groupBy("entity").agg(F.count(F.lit(1)).alias("in_entity"))
     expected = F.col("in_entity") / F.lit(float(whole))
     smoothed = lambda both: both + settings.prior * expected
     reach = smoothed(F.col("in_entity")) * F.pow(expected, F.lit(settings.generalise - 1)) - settings.prior + 1e-6
