@@ -7,13 +7,15 @@ around it: a secret with an identifier or an endpoint, an identifier with a
 secret, an endpoint with both. Positions are code points, ends exclusive.
 
 Only column functions and joins are used. A match's position is the sum of
-the lengths of the pieces that ``split`` leaves and of the matches before it.
+the lengths of the pieces that ``split`` leaves and of the matches before it, added up in a window.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from twinledger.llm.shared import checkpointed
+
 # The patterns, without look-around, alike in Java and RE2.
 _TO = r"""["']?\x20*[:=]\x20*["']?"""
 ASSIGN = r"(?i:password|passwd|secret|token|api_?key)" + _TO + r"([A-Za-z0-9+/_.=-]+)"
@@ -31,61 +33,61 @@ SHORTEST, SCOPE = 6, 200
 #: Kinds in the order in which spans of one start are listed; the first three need no other part.
 KINDS = ("assign", "access", "hex", "id", "secret", "endpoint", "bare")
 ROLE = {"assign": "secret", "hex": "secret", "access": "id", "id": "id", "secret": "secret", "endpoint": "endpoint", "bare": "secret"}
-_FOUND = "struct<start:int,end:int,found:string>"
 _SPAN = "struct<start:int,rank:int,end:int>"
+_MARK = "struct<rank:int,before:int,long:int,counts:boolean>"
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """``start``, ``end`` and ``found`` of every match, in order; ``pattern`` matches no empty text."""
+def _marks(text: Column, kind: str, pattern: str, gate: Column | None = None, counts=lambda found: F.lit(True)) -> Column:
+    """For every match in order: the characters before it and after the last one, its own, and whether it ``counts``."""
     found, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    none = F.array().cast(f"array<{_FOUND}>")
-
-    def add(state: Column, one: Column) -> Column:
-        begin = state["at"] + F.char_length(one["piece"])
-        end = begin + F.char_length(one["found"])
-        span = F.struct(begin.alias("start"), end.alias("end"), one["found"].alias("found"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
-
-    pairs = F.zip_with(
-        F.slice(pieces, 1, F.size(found)), found, lambda p, f: F.struct(p.alias("piece"), f.alias("found"))
+    there = F.rlike(text, F.lit(pattern))
+    marks = F.zip_with(
+        F.slice(pieces, 1, F.size(found)),
+        found,
+        lambda piece, one: F.struct(
+            F.lit(KINDS.index(kind)).alias("rank"),
+            F.char_length(piece).alias("before"),
+            F.char_length(one).alias("long"),
+            counts(one).alias("counts"),
+        ),
     )
-    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    every = F.aggregate(pairs, start, add, lambda s: s["spans"])
-    return F.when(F.rlike(text, F.lit(pattern)), every).otherwise(none)
-
-
-def _ranked(spans: Column, kind: str) -> Column:
-    rank = F.lit(KINDS.index(kind))
-    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), rank.alias("rank"), s["end"].alias("end")))
-
-
-def _if(gate: Column, spans: Column) -> Column:
-    return F.when(gate, spans).otherwise(F.array().cast(f"array<{_FOUND}>"))
-
+    return F.when(there if gate is None else gate & there, marks).otherwise(F.array().cast(f"array<{_MARK}>"))
 
-def _assigns(text: Column) -> Column:
-    return F.contains(text, F.lit(":")) | F.contains(text, F.lit("="))
 
+def marks(text: Column) -> Column:
+    """The marks of all patterns, those that are enough alone first; no pattern matches an empty text."""
+    assigns = F.contains(text, F.lit(":")) | F.contains(text, F.lit("="))
+    long_enough = lambda found: F.char_length(F.regexp_extract(found, ASSIGN, 1)) >= SHORTEST
+    mixed = lambda found: F.rlike(found, F.lit("[0-9]")) & F.rlike(found, F.lit("[a-z]")) & F.rlike(found, F.lit("[A-Z]"))
+    return F.concat(
+        _marks(text, "assign", ASSIGN, assigns, long_enough),
+        _marks(text, "access", ACCESS, F.contains(text, F.lit("AKIA"))),
+        _marks(text, "hex", HEX),
+        _marks(text, "id", WEAK_ID, assigns),
+        _marks(text, "secret", WEAK_SECRET, assigns),
+        _marks(text, "bare", BARE, counts=mixed),
+        _marks(text, "endpoint", ENDPOINT, F.contains(text, F.lit("://"))),
+    )
 
-def base_spans(text: Column) -> dict[str, Column]:
-    """The spans of each kind that is reported alone, in order."""
-    long_enough = lambda s: F.char_length(F.regexp_extract(s["found"], ASSIGN, 1)) >= SHORTEST
-    return {
-        "assign": _ranked(F.filter(_if(_assigns(text), matches(text, ASSIGN)), long_enough), "assign"),
-        "access": _ranked(_if(F.contains(text, F.lit("AKIA")), matches(text, ACCESS)), "access"),
-        "hex": _ranked(matches(text, HEX), "hex"),
-    }
 
+def spans(hashed: DataFrame) -> DataFrame:
+    """``id, hash, start, rank, end`` of all matches that count, each once for rows that repeat an id and text.
 
-def weak_spans(text: Column) -> Column:
-    """Candidates that need a complementary part."""
-    mixed = lambda s: F.rlike(s["found"], F.lit("[0-9]")) & F.rlike(s["found"], F.lit("[a-z]")) & F.rlike(s["found"], F.lit("[A-Z]"))
-    return F.concat(
-        _ranked(_if(_assigns(text), matches(text, WEAK_ID)), "id"),
-        _ranked(_if(_assigns(text), matches(text, WEAK_SECRET)), "secret"),
-        _ranked(F.filter(matches(text, BARE), mixed), "bare"),
-        _ranked(_if(F.contains(text, F.lit("://")), matches(text, ENDPOINT)), "endpoint"),
+    Marks become rows and their lengths are added up in order, so any number of matches in
+    a text takes time in proportion to it. All that follows is grouped by id and hash, on one exchange.
+    """
+    every = (
+        hashed.select("id", "hash", F.posexplode_outer(marks(F.col("text"))).alias("pos", "mark"))
+        # not on the array, which would evaluate the patterns again
+        .filter("mark IS NOT NULL")
+        .repartition("id", "hash")
+        .groupBy("id", "hash", "pos")
+        .agg(F.first("mark").alias("mark"))
+        .select("id", "hash", "pos", "mark.*")
     )
+    upto = Window.partitionBy("id", "hash", "rank").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    placed = every.withColumn("end", F.sum(F.col("before") + F.col("long")).over(upto).cast("int"))
+    return placed.filter("counts").select("id", "hash", (F.col("end") - F.col("long")).alias("start"), "rank", "end")
 
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
@@ -95,40 +97,40 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scop
     ``KINDS``: the patterns that are enough alone, and the weak parts that
     complementary parts within ``scope`` code points confirm; both by start, rank,
     end. NULL and empty texts have none. Rows that repeat an id and text have the
-    same spans each.
+    same spans each. Time and rows are in proportion to the matches, also of one text.
     """
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     hashed = source.withColumn("hash", F.xxhash64("text"))
-    kinds = base_spans(F.col("text"))
-    found = hashed.select("id", "hash", *(spans.alias(kind) for kind, spans in kinds.items()))
-    linked = _linked(hashed, scope)
+    found = checkpointed(spans(hashed))
+    alone = found.filter(F.col("rank") < KINDS.index("id"))
+    listed_spans = (
+        alone.unionByName(_linked(found, scope))
+        .groupBy(F.col("id").alias("s_id"), F.col("hash").alias("s_hash"))
+        .agg(F.sort_array(F.collect_list(F.struct("start", "rank", "end"))).alias("spans"))
+    )
     empty = F.array().cast(f"array<{_SPAN}>")
-    return found.join(
-        linked, F.col("id").eqNullSafe(F.col("l_id")) & (F.col("hash") == F.col("l_hash")), "left"
+    every = F.coalesce("spans", empty)
+    base = F.filter(every, lambda s: s["rank"] < KINDS.index("id"))
+    kinds = KINDS[: KINDS.index("id")]
+    count = lambda rank: F.size(F.filter(every, lambda s: s["rank"] == rank)).cast("long")
+    return hashed.select("id", "hash").join(
+        listed_spans, F.col("id").eqNullSafe(F.col("s_id")) & (F.col("hash") == F.col("s_hash")), "left"
     ).select(
         F.col("id").alias(id_col),
-        *(F.size(kind).cast("long").alias(f"n_{kind}") for kind in kinds),
-        F.sort_array(F.concat(*kinds)).alias("base"),
-        F.coalesce("linked", empty).alias("linked"),
+        *(count(n).alias(f"n_{kind}") for n, kind in enumerate(kinds)),
+        base.alias("base"),
+        F.filter(every, lambda s: s["rank"] >= KINDS.index("id")).alias("linked"),
     )
 
 
-def _linked(hashed: DataFrame, scope: int) -> DataFrame:
-    """Confirmed weak spans of each id and text: ``l_id, l_hash, linked``.
+def _linked(found: DataFrame, scope: int) -> DataFrame:
+    """Confirmed weak spans: ``id, hash, start, rank, end``.
 
     An interval join in bins as wide as the scope. What a bin holds of a role is its
     first start and last end, which is all that a window reaching into the bin asks
     for, so a text with any number of parts gives rows in proportion to them.
     """
-    every = F.concat(*base_spans(F.col("text")).values(), weak_spans(F.col("text")))
-    # explode_outer: no filter is derived that would evaluate the patterns again
-    spans = (
-        hashed.select("id", "hash", F.explode_outer(every).alias("part"))
-        .filter("part IS NOT NULL")
-        .select("id", "hash", "part.*")
-        .distinct()
-    )
-    with_parts = _clear(spans)
+    with_parts = _clear(found)
     roles = F.element_at(F.array(*(F.lit(ROLE[kind]) for kind in KINDS)), F.col("rank") + 1)
     parts = with_parts.withColumn("role", roles)
     bin_of = lambda at: F.floor(at / F.lit(scope))
@@ -160,18 +162,15 @@ def _linked(hashed: DataFrame, scope: int) -> DataFrame:
         .when(F.col("role") == "id", F.col("with_secret"))
         .otherwise(F.col("with_id") & F.col("with_secret"))
     )
-    return (
-        near.filter(complete)
-        .groupBy(F.col("id").alias("l_id"), F.col("hash").alias("l_hash"))
-        .agg(F.sort_array(F.collect_list(F.struct("start", "rank", "end"))).alias("linked"))
-    )
+    return near.filter(complete).select("id", "hash", "start", "rank", "end")
 
 
 def _clear(spans: DataFrame) -> DataFrame:
     """The spans without weak ones that overlap a span of a kind listed earlier in weight: base, named, bare."""
     whole = Window.partitionBy("id", "hash").orderBy("start")
     before = whole.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    after = whole.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    # a frame that ends with the last row would be read anew for every row
+    after = Window.partitionBy("id", "hash").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     tier = F.when(F.col("rank") < KINDS.index("id"), 0).when(F.col("rank") < KINDS.index("bare"), 1).otherwise(2)
     tiered = spans.withColumn("tier", tier)
     for limit in (1, 2):
