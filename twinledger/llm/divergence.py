@@ -33,7 +33,7 @@ class Settings(NamedTuple):
     documents: int = 30
     terms: int = 50
     held: int = 1_000_000
-    cells: int = 1 << 19
+    cells: int = 1 << 15
     sources: int = 512
     broadcast_rows: int = 100_000
 
