@@ -250,3 +250,15 @@ def test_json_merge_of_absent_sides(spark):
 def test_split_list(spark):
     assert one(spark, text.split_list(F.col("v"), "int"), v=" 1, 2 ,3") == [1, 2, 3]
     assert text.split_names(" a, ,b ") == ["a", "b"]
+
+
+def test_pieces_of_long_names_are_hashes(spark):
+    long = "x" * 50_000 + "needle" + "y" * 50_000
+    names = spark.createDataFrame([(long,), ("a needle",), ("Needless",), (None,), ("",)], "n string")
+    needles = spark.createDataFrame([("NEEDLE",), ("needless",), ("",), (None,), ("yx",)], "s string")
+    found = naming.slug_match(needles, names, "s", "n")
+    got = {r.s: (r.n, r.matches) for r in found.collect()}
+    assert got == {"NEEDLE": ("Needless", 3), "needless": ("Needless", 1), "": ("", 4), None: (None, 0), "yx": (None, 0)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    generated = [line for line in plan.splitlines() if "Generate explode(array_distinct" in line]
+    assert generated and "_part" not in generated[0].split(", false, ")[0].split("), [")[1]

@@ -151,13 +151,18 @@ def abbreviate(
     return given.unionByName(numbered).unionByName(hashed)
 
 
+#: Starts of pieces in a part of a name.
+PART = 1024
+
+
 def slug_match(needles: DataFrame, names: DataFrame, needle: str, name: str) -> DataFrame:
     """For each needle the first name (by text) that contains it, and how many do.
 
     Containment starts from an equality: a needle is keyed by its longest prefix
     whose length is a power of two, names are cut into their pieces of those
     lengths, of which there are few however many needles there are, and pieces
-    that are no key are dropped by a semi join. What meets is then
+    that are no key are dropped by a semi join. Pieces and names are 64-bit hashes there: a piece is a
+    few bytes however long its name is. What meets finds its name again and is then
     verified. Letter case does not count.
     """
     wanted = needles.select(needle, F.lower(needle).alias("_needle")).distinct()
@@ -167,22 +172,32 @@ def slug_match(needles: DataFrame, names: DataFrame, needle: str, name: str) ->
         wanted.select("_needle")
         .filter(F.col("_needle").isNotNull())
         .distinct()
-        .withColumn("_piece", F.substring("_needle", F.lit(1), F.least(size, power)))
+        .withColumn("_start", F.substring("_needle", F.lit(1), F.least(size, power)))
+        .select("_needle", F.length("_start").alias("_size"), F.xxhash64("_start").alias("_piece"))
     )
-    lengths = keyed.agg(F.collect_set(F.length("_piece")).alias("_lengths")).scalar()
+    lengths = keyed.agg(F.collect_set("_size").alias("_lengths")).scalar()
     last = F.when(F.col("_size") == 0, 1).otherwise(F.length("_text") - F.col("_size") + 1)
+    told = [F.xxhash64(F.lit(seed), name).alias(f"_name{seed}") for seed in (1, 2)]
+    piece = lambda at: F.xxhash64(F.substring(F.col("_part"), at, F.col("_size")))
+    # characters are counted from the start of a part, not of a name
+    part = F.substring("_text", F.col("_at") + 1, F.lit(PART - 1) + F.col("_size")).alias("_part")
+    starts = F.least(F.col("_last") - F.col("_at"), F.lit(PART)).alias("_starts")
     pieces = (
-        names.select(name, F.lower(name).alias("_text"))
-        .select(name, "_text", F.explode(lengths).alias("_size"))
-        .filter(last >= 1)
-        .select(name, "_text", "_size", F.explode(F.sequence(F.lit(1), last)).alias("_at"))
-        .select(name, "_text", F.substring("_text", F.col("_at"), F.col("_size")).alias("_piece"))
+        names.select(*told, F.lower(name).alias("_text"))
+        .select("_name1", "_name2", "_text", F.explode(lengths).alias("_size"))
+        .withColumn("_last", last)
+        .filter("_last >= 1")
+        .withColumn("_at", F.explode(F.sequence(F.lit(0), F.col("_last") - 1, F.lit(PART))))
+        .select("_name1", "_name2", "_size", part, starts)
+        .select("_name1", "_name2", "_size", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), "_starts"), piece))).alias("_piece"))
     )
+    met = pieces.join(keyed.select("_size", "_piece").distinct(), ["_size", "_piece"], "left_semi").distinct()
     found = (
-        pieces.join(keyed.select("_piece").distinct(), "_piece", "left_semi")
+        met.join(keyed, ["_size", "_piece"])
+        .select("_name1", "_name2", "_needle")
         .distinct()
-        .join(keyed, "_piece")
-        .filter(F.contains("_text", "_needle"))
+        .join(names.select(name, *told).distinct(), ["_name1", "_name2"])
+        .filter(F.contains(F.lower(name), "_needle"))
         .groupBy("_needle")
         .agg(F.min(name).alias(name), F.count_distinct(F.col(name)).alias("matches"))
     )
