@@ -170,10 +170,11 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         F.greatest(*(last for _, _, last in places.values())).alias("last_word"),
         F.filter(F.array(*(F.when(n > 0, F.lit(label)) for label, (n, _, _) in places.items())), F.isnotnull).alias("base"),
     )
-    hinted = source.filter(F.rlike("text", F.lit(HINTS))).dropDuplicates(["id", "text"])
-    kept = kept_detections(
-        hinted.select("id", F.xxhash64("text").alias("hash"), spaced_words(F.col("text")).alias("spaced"))
-    )
+    # few bytes that take much work: dealt to as many tasks as there are partitions, which no coalescing joins
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hinted = source.filter(F.rlike("text", F.lit(HINTS))).withColumn("hash", F.xxhash64("text")).dropDuplicates(["id", "hash"])
+    hinted = hinted.repartition(tasks, "id", "hash")
+    kept = kept_detections(hinted.select("id", "hash", spaced_words(F.col("text")).alias("spaced")))
     ruled = kept.groupBy(F.col("id").alias("r_id"), F.col("hash").alias("r_hash")).agg(
         F.collect_set("label").alias("ruled"), F.max("confidence").alias("confidence")
     )
