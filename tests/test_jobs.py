@@ -269,3 +269,14 @@ def test_upsert_into_partitions_reads_the_touched_ones(spark):
         path = shared.new_path(spark, "flat")
         spark.range(3).write.option("path", path).saveAsTable("flat_table")
         load.upsert_table("flat_table", spark.range(1), ["id"])
+
+
+def test_unknown_fields_of_documents(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"definition": {"owner": "x", "extra": 1, "list": [{"k": 1, "n": 2}]}, "more": 2}')
+    schema = T._parse_datatype_string("definition struct<owner:string, list:array<struct<k:long>>>")
+    read = read_definitions(spark, str(tmp_path), schema)
+    assert read.first().doc.definition.owner == "x"
+    with pytest.raises(ValueError, match=r"definition\.extra, definition\.list\[\]\.n, more"):
+        read_definitions(spark, str(tmp_path), schema, strict=True)
+    whole = definition_schema(spark, str(tmp_path), schema)
+    assert read_definitions(spark, str(tmp_path), whole, strict=True).count() == 1

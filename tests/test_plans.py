@@ -123,3 +123,24 @@ def test_equal_buckets_are_not_compared_row_by_row(sides):
     assert digest.bucket_digests(base, same, ["k", "v"]).filter("NOT same").isEmpty()
     text = plan(digest.difference_by_bucket(base, other, ["k", "v"]))
     assert "LeftSemi" in text and "SortMergeJoin" not in text
+
+
+def test_a_partitioned_side_is_read_in_part(spark, sides, tmp_path):
+    """A snapshot day or a region that is a partition: the other partitions' files are not listed for reading."""
+    base = sides[0]
+    for column, scope in (("snapshot_day", snapshot("2024/01/05")), ("dw_last_updated", None)):
+        if scope is None:
+            continue
+        path = str(tmp_path / column)
+        base.repartition(column).write.partitionBy(column).parquet(path)
+        stored = spark.read.parquet(path)
+        assert len(stored.inputFiles()) == 50
+        text = plan(reconcile(stored, stored, "k", scope=scope).rollup)
+        assert text.count("PartitionFilters: [isnotnull(snapshot_day") == 2 and "PushedFilters: []" in text
+        read = scope.apply(stored).select(F.col("_metadata.file_path").alias("file")).distinct().collect()
+        assert len(read) == 1 and "snapshot_day=2024-01-05" in read[0].file
+    path = str(tmp_path / "regions")
+    base.repartition("region_id").write.partitionBy("region_id").parquet(path)
+    wanted = spark.createDataFrame([(2, "UTC")], "region_id int, zone string")
+    text = plan(spark.read.parquet(path).join(F.broadcast(wanted.filter("zone = 'UTC'")), "region_id").select("k", "v"))
+    assert "dynamicpruning" in text

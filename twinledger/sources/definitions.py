@@ -45,14 +45,33 @@ def kind_of(path: Column) -> Column:
     return F.when(job, "job").otherwise("profile")
 
 
+def unknown_fields(found: T.DataType, known: T.DataType, path: str = "") -> list[str]:
+    """Dotted paths of the fields of ``found`` that ``known`` lacks."""
+    if isinstance(found, T.ArrayType) and isinstance(known, T.ArrayType):
+        return unknown_fields(found.elementType, known.elementType, path + "[]")
+    if not (isinstance(found, T.StructType) and isinstance(known, T.StructType)):
+        return []
+    fields = {f.name: f.dataType for f in known.fields}
+    missing = []
+    for field in found.fields:
+        name = f"{path}.{field.name}".lstrip(".")
+        missing += unknown_fields(field.dataType, fields[field.name], name) if field.name in fields else [name]
+    return missing
+
+
 def read_definitions(
-    spark: SparkSession, path: str, schema: T.StructType, one_per_file: bool = True
+    spark: SparkSession, path: str, schema: T.StructType, one_per_file: bool = True, strict: bool = False
 ) -> DataFrame:
     """All ``*.json`` below ``path`` as (path, kind, doc), with the fields of ``schema``.
 
-    Nothing is inferred; :func:`definition_schema` says what a corpus holds. The
-    path is the file's as it is named.
+    Nothing is inferred; :func:`definition_schema` says what a corpus holds. Fields that the
+    schema lacks are not read, so a rewritten document loses them; with ``strict``
+    they are an error, which takes a pass over the documents. The path is the file's as it is named.
     """
+    if strict:
+        lost = unknown_fields(_reader(spark, one_per_file).json(path).schema, schema)
+        if lost:
+            raise ValueError(f"fields that the schema lacks: {', '.join(lost)}")
     files = _reader(spark, one_per_file).schema(schema).json(path)
     return files.select(
         file_path().alias("path"),
