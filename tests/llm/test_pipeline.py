@@ -95,8 +95,11 @@ def test_token_ids(kept):
     texts = {r.doc_id: r.text for r in kept[4].collect()}
     rows = kept[5].collect()
     assert len(rows) == kept[4].count()
-    for r in rows[:300]:
-        assert r.n_tokens == len(own.encode_ordinary(texts[r.doc_id])) == len(r.ids) // 4
+    packed = {i: b"".join(n.to_bytes(4, "little") for n in own.encode_ordinary(text)) for i, text in texts.items()}
+    for r in rows:
+        assert bytes(r.ids) == packed[r.doc_id] and r.n_tokens == len(r.ids) // 4
+        assert r.ids_sha256 == hashlib.sha256(packed[r.doc_id]).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
 def test_run_gives_what_the_stages_give(spark, middle, kept):

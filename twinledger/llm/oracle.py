@@ -161,13 +161,15 @@ def _spans(table: str, rank: int, pattern: str, when: str = "true") -> str:
 
 
 _S = secrets
+# The patterns that are enough alone, as they are asked for, not as the operator writes them.
+_ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 _MIXED = "regexp_matches(found, '[0-9]') AND regexp_matches(found, '[a-z]') AND regexp_matches(found, '[A-Z]')"
 SQL["op9_linked_secrets"] = f"""
 WITH t AS (SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS text FROM documents),
 every AS (
-  {_spans("t", 0, _S.ASSIGN, f"length(regexp_extract(found, {_text(_S.ASSIGN)}, 1)) >= {_S.SHORTEST}")}
-  UNION ALL {_spans("t", 1, _S.ACCESS)}
-  UNION ALL {_spans("t", 2, _S.HEX)}
+  {_spans("t", 0, _ASSIGN, f"length(regexp_extract(found, {_text(_ASSIGN)}, 2)) >= 6")}
+  UNION ALL {_spans("t", 1, "AKIA[A-Z0-9]+", "length(found) >= 20")}
+  UNION ALL {_spans("t", 2, "[0-9a-f]+", "length(found) >= 24")}
   UNION ALL {_spans("t", 3, _S.WEAK_ID)}
   UNION ALL {_spans("t", 4, _S.WEAK_SECRET)}
   UNION ALL {_spans("t", 5, _S.ENDPOINT)}
@@ -209,7 +211,9 @@ def _rule_rows() -> str:
     )
 
 
-_PHRASES = ", ".join(f"('{' ' + p.replace(' ', '  ') + ' '}', '{label}', {len(p.split())})" for p, label in licenses.PHRASES.items())
+# The base phrases and their labels.
+_BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+_PHRASES = ", ".join(f"('{' ' + p.replace(' ', '  ') + ' '}', '{label}', {len(p.split())})" for p, label in _BASE.items())
 _COUNT = "CAST((length({0}) - length(replace({0}, ' ', ''))) / 2 AS BIGINT)"
 SQL["op10_license_rules"] = rf"""
 WITH n AS (
