@@ -43,7 +43,9 @@ def upsert(
         named(f.name) if f.name.lower() in known else F.lit(None).cast(f.dataType).alias(f.name)
         for f in base.schema.fields
     ]
-    row, place = F.struct(*loaded), F.struct(*all_named(order), *row_marks(incoming, incoming.columns))
+    row = F.struct(*loaded)
+    # without an order a key comes once, or the load fails
+    place = F.struct(*all_named(order), *row_marks(incoming, incoming.columns)) if order else F.lit(True)
     whole = F.lit(True)
     for key in keys:
         whole = whole & named(key).isNotNull()
