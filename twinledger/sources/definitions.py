@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from twinledger.functions.nested import patch_document
 from twinledger.functions.text import file_path
 
 # Fixed value: a path through this folder holds a job, any other a profile.
@@ -65,8 +66,8 @@ def read_definitions(
     """All ``*.json`` below ``path`` as (path, kind, doc), with the fields of ``schema``.
 
     Nothing is inferred; :func:`definition_schema` says what a corpus holds. Fields that the
-    schema lacks are not read, so a rewritten document loses them; with ``strict``
-    they are an error, which takes a pass over the documents. The path is the file's as it is named.
+    schema lacks are not read, so a document written from them loses them (:func:`read_documents` keeps
+    them); with ``strict`` they are an error, which takes a pass over the documents. The path is the file's as it is named.
     """
     if strict:
         lost = unknown_fields(_reader(spark, one_per_file).json(path).schema, schema)
@@ -80,6 +81,27 @@ def read_definitions(
     )
 
 
+def read_documents(spark: SparkSession, path: str, schema: T.StructType, one_per_file: bool = True) -> DataFrame:
+    """All ``*.json`` below ``path`` as (path, kind, text, doc): the text as it stands and the fields of ``schema``.
+
+    What the schema lacks is still in the text, so :func:`patched_documents` keeps it. ``doc`` is NULL
+    where the text is no JSON object.
+    """
+    files = spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.json").text(path, wholetext=one_per_file)
+    return files.select(
+        file_path().alias("path"),
+        kind_of(file_path()).alias("kind"),
+        F.col("value").alias("text"),
+        F.from_json("value", schema).alias("doc"),
+    )
+
+
+def patched_documents(docs: DataFrame) -> DataFrame:
+    """Standardised ``docs`` with ``text`` changed where ``doc`` differs from ``before``, and nowhere else."""
+    kinds = [docs.schema[name].dataType for name in ("before", "doc")]
+    return docs.withColumn("text", patch_document(F.col("text"), F.col("before"), F.col("doc"), *kinds))
+
+
 def write_definitions(df: DataFrame, path: str, file_name: str | None = None) -> None:
     """Write (kind, doc) rows as JSON to a new path, jobs and profiles in folders of their own.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from twinledger.functions import nested, schedule, text
 from twinledger.operators import naming
@@ -23,7 +23,8 @@ from twinledger.plans.standardise import (
     table_profile_edits,
     transform_profile_edits,
 )
-from twinledger.sources.definitions import read_definitions, write_definitions
+from twinledger.sources.definitions import patched_documents, read_definitions, read_documents, write_definitions
+from twinledger.sources.named import write_named
 from twinledger.sources.shared import new_path
 from twinledger.suite.registry import query, table
 
@@ -484,6 +485,67 @@ def jobs(spark, sf_dir):
     )
 
 
+def documents_with_more(spark, sf_dir):
+    """The jobs as text, with fields that their schema lacks: before the others, inside, numbers of several forms."""
+    docs = definitions(spark, sf_dir).filter(F.col("kind") == "job")
+    whole = F.to_json("doc", {"ignoreNullFields": "true"})
+    inside = F.replace(whole, F.lit('"definition":{'), F.lit('"definition":{"ratio":1.50,"steps":[1e3,{"k":"1"}],'))
+    first = F.concat(F.lit('{"zone":{"b":2.0,"a":null},"size":'), "doc.id", F.lit(".10,"), F.substr(inside, F.lit(2)))
+    return docs.select("path", "kind", first.alias("text"), "doc")
+
+
+# The documents as they should read: a schedule that becomes a token is appended and its old field goes.
+ROUND_TRIP_SQL = """
+    SELECT id, '{"zone":{"b":2.0,"a":null},"size":' || id || '.10,"id":' || id ||
+           ',"definition":{"ratio":1.50,"steps":[1e3,{"k":"1"}],"group":"' || job_group || '","dbUser":"' || db_user || '"' ||
+           CASE WHEN id % 3 = 0 THEN ',"owner":"someone"' ELSE '' END ||
+           CASE WHEN id % 12 = 6 THEN ',"schedule":{"type":"INTRADAY","time":["1","2","3","4","5"]}' ELSE '' END ||
+           CASE WHEN id % 3 <> 0 THEN ',"owner":"$[Keeper]"' ELSE '' END || '}' ||
+           coalesce(',"schedule":"' || schedule || '"', '') || '}' AS text
+    FROM ({jobs})
+"""
+
+
+@query("definition_round_trip", ROUND_TRIP_SQL.replace("{jobs}", JOBS_SQL))
+def definition_round_trip(spark, sf_dir):
+    """Written, read, standardised and written again as text, and read: fields that no schema names are still there."""
+    folder, rewritten = new_path(spark, "documents"), new_path(spark, "documents")
+    given = documents_with_more(spark, sf_dir)
+    given.select("text").write.text(folder)
+    texts = spark.read.text(folder).select(
+        F.lit("job").alias("kind"),
+        F.col("value").alias("text"),
+        F.from_json("value", given.schema["doc"].dataType).alias("doc"),
+    )
+    patched_documents(standardise_jobs(texts, POLICY)).select("text").write.text(rewritten)
+    return spark.read.text(rewritten).select(
+        F.get_json_object("value", "$.id").cast("bigint").alias("id"), F.col("value").alias("text")
+    )
+
+
+@query(
+    "named_files",
+    """
+    SELECT 'region/' || s_nationkey || '/supplier-' || s_suppkey || '.json' AS path,
+           CAST(s_suppkey AS BIGINT) AS id, s_name AS name, '{' || chr(10) || '  "id": ' || s_suppkey || ',' || chr(10) ||
+           '  "name": "' || s_name || '",' || chr(10) || '  "limits": [' || chr(10) || '    1.50,' || chr(10) ||
+           '    {}' || chr(10) || '  ]' || chr(10) || '}' AS text
+    FROM supplier
+    """,
+)
+def named_files(spark, sf_dir):
+    """Suppliers as indented files of their own names, read back by path."""
+    name = F.concat(F.lit("region/"), "s_nationkey", F.lit("/supplier-"), "s_suppkey", F.lit(".json"))
+    text_of = F.concat(F.lit('{"id":'), "s_suppkey", F.lit(',"name":"'), "s_name", F.lit('","limits":[1.50,{}]}'))
+    folder = new_path(spark, "named")
+    suppliers = table(spark, sf_dir, "supplier").select(name.alias("path"), text_of.alias("text"))
+    write_named(suppliers, folder, indent=2)
+    docs = read_documents(spark, folder, T.StructType().add("id", "long").add("name", "string"))
+    return docs.select(
+        F.regexp_extract("path", "region/.*", 0).alias("path"), "doc.id", "doc.name", "text"
+    )
+
+
 PROFILES_SQL = """
 SELECT p_partkey AS id, p_name || ' - ' || p_partkey || '$[Stage]' AS description,
        CASE WHEN p_size % 2 = 0 THEN 'UPSERT' ELSE 'APPEND' END AS merge_option,
