@@ -1,6 +1,7 @@
 """Text, naming, schedules and nested edits: quirks and idempotence."""
 
 import datetime
+import random
 
 import pytest
 from conftest import rows
@@ -262,3 +263,43 @@ def test_pieces_of_long_names_are_hashes(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     generated = [line for line in plan.splitlines() if "Generate explode(array_distinct" in line]
     assert generated and "_part" not in generated[0].split(", false, ")[0].split("), [")[1]
+
+
+def first_rule(value, rules):
+    """What the rules make of a value, by trying each."""
+    if value is None or naming.TOKEN_MARK in value:
+        return value
+    for _, find, new, whole in sorted(rules):
+        if find in value:
+            return new if whole else (value.replace(find, new) if find else value)
+    return value
+
+
+def mapped_by(spark, values, rules):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v string")
+    table = spark.createDataFrame(rules, "priority int, find string, new string, whole boolean")
+    return [r.mapped for r in naming.map_by_rules(df, "v", table).orderBy("id").collect()]
+
+
+def test_rules_as_a_table_agree_with_the_expression(spark):
+    rules = [(1, "abc", "X", False), (2, "ab", "$[Y]", True), (3, "é", "e", False), (4, "q.", "", False)]
+    values = ["abc abc", "ab", "xab", "", None, "ééq.", "q.", "qx", "ABC", naming.TOKEN_MARK + "abc", "ab"]
+    by_case = naming.map_first_match(F.col("v"), [Rule(find, new, whole) for _, find, new, whole in rules])
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v string")
+    expected = [r.m for r in df.select("id", by_case.alias("m")).orderBy("id").collect()]
+    assert mapped_by(spark, values, rules) == expected == [first_rule(v, rules) for v in values]
+
+
+def test_five_thousand_rules(spark):
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcd") for _ in range(n))
+    rules = [(i, word(rng.randint(3, 12)), f"$[{i}]", i % 2 == 0) for i in range(5000)]
+    rules += [(7000, "", "last", True), (1, rules[9][1], "again", True)]
+    values = [word(rng.randint(0, 40)) for _ in range(500)] + ["zz", "zz", ""]
+    assert mapped_by(spark, values, rules) == [first_rule(v, rules) for v in values]
+
+
+def test_rules_that_are_no_rules(spark):
+    assert mapped_by(spark, ["a", None], []) == ["a", None]
+    assert mapped_by(spark, [], [(1, "a", "b", True)]) == []
+    assert mapped_by(spark, ["a", "b"], [(1, None, "x", True), (2, "a", None, True)]) == [None, "b"]

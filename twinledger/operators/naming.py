@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from twinledger.functions.columns import all_named
 from twinledger.functions.text import TOKEN_MARK, abbreviation_base, has_token
 
 
@@ -99,27 +100,15 @@ def rank_in_group(
     )
 
 
-def _settled(
-    proposed: DataFrame, taken: DataFrame, name: str, digits: Column
-) -> tuple[DataFrame, DataFrame]:
-    """Proposals that are free and first of their text, and the others.
-
-    ``_place`` counts the names of one text from 1, or from 2 where the text itself
-    is free and the first has it.
-    """
-    ranked = rank_in_group(proposed, ["_text"], name, "_rank", digits)
-    marked = ranked.join(
-        taken.select(F.col("abbreviation").alias("_text")).distinct().withColumn("_used", F.lit(True)),
-        "_text",
-        "left",
-    )
-    free = F.col("_used").isNull()
-    won = marked.filter(free & (F.col("_rank") == 1))
-    lost = marked.filter(~(free & (F.col("_rank") == 1))).withColumn(
-        "_place", F.when(free, F.col("_rank") - 1).otherwise(F.col("_rank"))
-    )
-    return won.select(name, "base", F.col("_text").alias("abbreviation")), lost.select(
-        name, "base", "_text", "_place"
+def _settled(proposed: DataFrame, taken: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Proposals that are free and first of their text, and the others."""
+    best = proposed.groupBy("_text").agg(F.min(F.struct(F.md5(name), name))[name].alias("_best"))
+    free = best.join(taken.select(F.col("abbreviation").alias("_text")), "_text", "left_anti")
+    marked = proposed.join(free, "_text", "left")
+    won = F.col(name).eqNullSafe(F.col("_best"))
+    return (
+        marked.filter(won).select(name, "base", F.col("_text").alias("abbreviation")),
+        marked.filter(~won).select(name, "base", "_text"),
     )
 
 
@@ -135,18 +124,18 @@ def abbreviate(
     taken too, with the MD5 of the name. First and later go by MD5, a fixed order
     that does not depend on how the names arrive. NULL is no name.
     """
-    present = names.select(F.col(name)).filter(F.col(name).isNotNull())
-    distinct = present.distinct().withColumn("base", abbreviation_base(F.col(name)))
+    present = names.select(F.col(name), abbreviation_base(F.col(name)).alias("base")).filter(F.col(name).isNotNull())
     if existing is None:
         existing = names.sparkSession.createDataFrame([], "abbreviation string")
     used = existing.select("abbreviation")
-    digits = bucket_digits(names)
-    ranked = rank_in_group(distinct, ["base"], name, "_rank", digits)
+    firsts = present.groupBy("base").agg(F.min(F.struct(F.md5(name), name))[name].alias("_first"))
     longer = F.concat("base", F.right(name, F.lit(3)))
-    first = F.when(F.col("_rank") == 1, F.col("base")).otherwise(longer)
-    given, rest = _settled(ranked.select(name, "base", first.alias("_text")), used, name, digits)
-    counted = rest.select(name, "base", F.concat("_text", F.col("_place").cast("string")).alias("_text"))
-    numbered, rest = _settled(counted, used.unionByName(given.select("abbreviation")), name, digits)
+    text = F.when(F.col(name) == F.col("_first"), F.col("base")).otherwise(longer)
+    proposed = present.distinct().join(firsts, "base").select(name, "base", text.alias("_text"))
+    given, rest = _settled(proposed, used, name)
+    placed = rank_in_group(rest, ["_text"], name, "_place", bucket_digits(names))
+    counted = placed.select(name, "base", F.concat("_text", F.col("_place").cast("string")).alias("_text"))
+    numbered, rest = _settled(counted, used.unionByName(given.select("abbreviation")), name)
     hashed = rest.select(name, "base", F.concat("_text", F.lit("-"), F.md5(name)).alias("abbreviation"))
     return given.unionByName(numbered).unionByName(hashed)
 
@@ -155,21 +144,22 @@ def abbreviate(
 PART = 1024
 
 
-def slug_match(needles: DataFrame, names: DataFrame, needle: str, name: str) -> DataFrame:
-    """For each needle the first name (by text) that contains it, and how many do.
+def contained(
+    needles: DataFrame, needle: str, names: DataFrame, name: str, fold: Callable[[Column], Column] = lambda text: text
+) -> DataFrame:
+    """(``_needle``, ``name``): each distinct folded needle with each distinct name that, folded, contains it.
 
     Containment starts from an equality: a needle is keyed by its longest prefix
     whose length is a power of two, names are cut into their pieces of those
     lengths, of which there are few however many needles there are, and pieces
     that are no key are dropped by a semi join. Pieces and names are 64-bit hashes there: a piece is a
     few bytes however long its name is. What meets finds its name again and is then
-    verified. Letter case does not count.
+    verified. NULL is in nothing and contains nothing.
     """
-    wanted = needles.select(needle, F.lower(needle).alias("_needle")).distinct()
     size = F.length("_needle")
     power = F.pow(F.lit(2), F.floor(F.log2(F.greatest(size, F.lit(1))))).cast("int")
     keyed = (
-        wanted.select("_needle")
+        needles.select(fold(F.col(needle)).alias("_needle"))
         .filter(F.col("_needle").isNotNull())
         .distinct()
         .withColumn("_start", F.substring("_needle", F.lit(1), F.least(size, power)))
@@ -183,7 +173,7 @@ def slug_match(needles: DataFrame, names: DataFrame, needle: str, name: str) ->
     part = F.substring("_text", F.col("_at") + 1, F.lit(PART - 1) + F.col("_size")).alias("_part")
     starts = F.least(F.col("_last") - F.col("_at"), F.lit(PART)).alias("_starts")
     pieces = (
-        names.select(*told, F.lower(name).alias("_text"))
+        names.select(*told, fold(F.col(name)).alias("_text"))
         .select("_name1", "_name2", "_text", F.explode(lengths).alias("_size"))
         .withColumn("_last", last)
         .filter("_last >= 1")
@@ -192,15 +182,46 @@ def slug_match(needles: DataFrame, names: DataFrame, needle: str, name: str) ->
         .select("_name1", "_name2", "_size", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), "_starts"), piece))).alias("_piece"))
     )
     met = pieces.join(keyed.select("_size", "_piece").distinct(), ["_size", "_piece"], "left_semi").distinct()
-    found = (
+    return (
         met.join(keyed, ["_size", "_piece"])
         .select("_name1", "_name2", "_needle")
         .distinct()
         .join(names.select(name, *told).distinct(), ["_name1", "_name2"])
-        .filter(F.contains(F.lower(name), "_needle"))
+        .filter(fold(F.col(name)).contains(F.col("_needle")))
+    )
+
+
+def slug_match(needles: DataFrame, names: DataFrame, needle: str, name: str) -> DataFrame:
+    """For each needle the first name (by text) that contains it, and how many do. Letter case does not count."""
+    wanted = needles.select(needle, F.lower(needle).alias("_needle")).distinct()
+    found = (
+        contained(wanted, "_needle", names, name, F.lower)
         .groupBy("_needle")
         .agg(F.min(name).alias(name), F.count_distinct(F.col(name)).alias("matches"))
     )
     return wanted.join(found, "_needle", "left").select(
         needle, name, F.coalesce("matches", F.lit(0).cast("bigint")).alias("matches")
     )
+
+
+def map_by_rules(df: DataFrame, value: str, rules: DataFrame, mapped: str = "mapped") -> DataFrame:
+    """``df`` with ``mapped``: what :func:`map_first_match` gives, for rules that are a table of any size.
+
+    ``rules`` has (priority, find, new, whole); of those that are in a value the one of the least priority decides, of
+    equal priorities the least ``find``. NULL finds fit nothing, a NULL ``new`` makes the value NULL. Distinct
+    values meet the rules by :func:`contained` and each keeps its best one, so neither the size of the plan nor
+    the rows that are shuffled grow with values times rules.
+    """
+    rule = F.struct("priority", "find", "new", "whole")
+    best = rules.filter(F.col("find").isNotNull()).groupBy(F.col("find").alias("_needle")).agg(F.min(rule).alias("_rule"))
+    values = df.select(F.col(value).alias("_value")).filter(~has_token(F.col(value), TOKEN_MARK)).distinct()
+    fitting = (
+        contained(best, "_needle", values, "_value")
+        .join(best, "_needle")
+        .groupBy("_value")
+        .agg(F.min("_rule").alias("_rule"))
+    )
+    found = F.col("_rule")
+    new = F.when(found["whole"], found["new"]).otherwise(F.replace(F.col(value), found["find"], found["new"]))
+    joined = df.join(fitting, F.col(value) == F.col("_value"), "left")
+    return joined.select(*all_named(df.columns), F.when(found.isNotNull(), new).otherwise(F.col(value)).alias(mapped))

@@ -55,6 +55,31 @@ def map_first_match(spark, sf_dir):
     )
 
 
+@query(
+    "map_by_rules",
+    """
+    WITH rules AS (
+        SELECT substr(p_name, 1 + p_partkey % 3, 2 + p_partkey % 9) AS find, min(p_partkey) AS priority FROM part GROUP BY 1),
+    texts AS (SELECT p_partkey, p_name || ' ' || p_brand AS v FROM part),
+    best AS (SELECT v, min(priority) AS priority FROM (SELECT DISTINCT v FROM texts) JOIN rules ON contains(v, find) GROUP BY v)
+    SELECT p_partkey, CASE WHEN priority IS NULL THEN t.v WHEN priority % 2 = 0 THEN '$[R' || priority || ']'
+                           ELSE replace(t.v, find, '$[R' || priority || ']') END AS mapped
+    FROM texts t LEFT JOIN best USING (v) LEFT JOIN rules USING (priority)
+    """,
+)
+def map_by_rules(spark, sf_dir):
+    """Rules made of the names' own pieces, about as many as there are different ones."""
+    parts = part(spark, sf_dir)
+    find = F.substring("p_name", 1 + F.col("p_partkey").cast("int") % 3, 2 + F.col("p_partkey").cast("int") % 9)
+    rules = (
+        parts.groupBy(find.alias("find"))
+        .agg(F.min("p_partkey").alias("priority"))
+        .withColumns({"new": F.format_string("$[R%s]", "priority"), "whole": F.col("priority") % 2 == 0})
+    )
+    texts = parts.select("p_partkey", F.concat("p_name", F.lit(" "), "p_brand").alias("v"))
+    return naming.map_by_rules(texts, "v", rules).drop("v")
+
+
 @query(
     "schedule_class",
     """
