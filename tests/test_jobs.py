@@ -280,3 +280,19 @@ def test_unknown_fields_of_documents(spark, tmp_path):
         read_definitions(spark, str(tmp_path), schema, strict=True)
     whole = definition_schema(spark, str(tmp_path), schema)
     assert read_definitions(spark, str(tmp_path), whole, strict=True).count() == 1
+
+
+@pytest.mark.parametrize("bounds", [(3, 90), (None, None)])
+def test_split_reads_ask_for_their_bounds(monkeypatch, bounds):
+    """No database is at hand: what would be read."""
+    asked = []
+
+    def read(spark, name, format, **options):
+        asked.append((name, options))
+        return SimpleNamespace(head=lambda: bounds)
+
+    monkeypatch.setattr(tables, "read_table", read)
+    tables.read_split(None, "s.t", "id", 16, url="u")
+    assert asked[0] == ("(SELECT MIN(id) AS lo, MAX(id) AS hi FROM s.t) bounds", {"url": "u"})
+    split = {"partitionColumn": "id", "lowerBound": "3", "upperBound": "90", "numPartitions": 16}
+    assert asked[1:] == [("s.t", {"url": "u"} | (split if bounds[0] else {}))]

@@ -62,6 +62,15 @@ def test_samples_are_cut_in_each_task(sides, n):
     assert text.count("TakeOrderedAndProject") >= 3 and "Window" not in text
 
 
+def test_samples_of_all_flags_in_one_pass(sides):
+    text = plan(recon.samples_in_one_pass(reconcile(*sides, "k", scope=FULL).rows, 10))
+    assert "TakeOrderedAndProject" not in text and text.count("FileScan") == 2
+    # the first rows of each flag are kept before the rows meet, and after
+    assert text.count("WindowGroupLimit") >= 2 and "Partial" in text and "Final" in text
+    beyond = plan(recon.samples_in_one_pass(reconcile(*sides, "k", scope=FULL).rows, 5000))
+    assert "Window" not in beyond
+
+
 def test_keys_alone_answer_what_needs_no_fingerprint(sides):
     result = reconcile(*sides, "k", scope=FULL)
     for df in (result.duplicate_keys, result.samples("MISSING FROM TEST"), result.samples("MISSING FROM PROD")):

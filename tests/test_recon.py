@@ -304,6 +304,14 @@ def test_samples_beyond_a_thousand(spark):
     assert "TakeOrderedAndProject" in text and "Window" not in text
 
 
+@pytest.mark.parametrize("n", [1, 3, 10, 2000])
+def test_samples_in_one_pass(spark, n):
+    one = spark.range(60).selectExpr("if(id % 7 = 0, null, id div 4) as k", "id % 3 as v")
+    two = spark.range(60).selectExpr("if(id % 5 = 0, null, id div 3 + 5) as k", "id % 2 as v")
+    result = reconcile(one, two, "k")
+    assert rows(recon.samples_in_one_pass(result.rows, n)) == rows(recon.mismatch_samples(result.rows, n))
+
+
 def test_types_of_the_baseline_on_request(spark):
     one = spark.sql("select 1 k, 5 a, date'2024-01-02' d")
     two = spark.sql("select 1L k, 5.00BD a, '2024-01-02' d")

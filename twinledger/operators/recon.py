@@ -25,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from twinledger.functions.columns import all_named, named
 from twinledger.functions.hashing import row_hash, row_marks
@@ -41,6 +41,9 @@ FLAGS = (MISSING_FROM_PROD, MISSING_FROM_TEST, NOT_MATCHING, MATCHING, UNKNOWN)
 MISMATCHES = (MISSING_FROM_TEST, MISSING_FROM_PROD, NOT_MATCHING)
 
 SAMPLE_ROWS = 10
+# Spark's default limit of a window that keeps the first rows of each task
+# (spark.sql.optimizer.windowGroupLimitThreshold).
+WINDOW_ROWS = 1000
 WIDE = "decimal(38,0)"
 #: Counts the rows of both sides per key, as :func:`key_counts` does.
 Count = Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame]
@@ -318,6 +321,23 @@ def mismatch_samples(rows: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
     return reduce(DataFrame.unionByName, [sample_rows(rows, flag, n) for flag in MISMATCHES])
 
 
+def samples_in_one_pass(rows: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
+    """What :func:`mismatch_samples` gives, reading ``rows`` once.
+
+    Each task keeps the first ``n`` rows of each flag before they meet. Spark's windows do that up to
+    ``WINDOW_ROWS``; beyond it each flag has an ordered limit of its own.
+    """
+    if n > WINDOW_ROWS:
+        return mismatch_samples(rows, n)
+    keys = _sample_keys(rows)
+    order = Window.partitionBy("dq_flag").orderBy(*[named(key).asc_nulls_first() for key in keys])
+
+    def first(some: DataFrame) -> DataFrame:
+        return some.withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= n).drop("_at")
+
+    return first(_spread(first(rows.filter(F.col("dq_flag").isin(*MISMATCHES))), keys, n))
+
+
 def duplicate_keys(baseline: DataFrame, candidate: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per side: keys held by more than one row, and the rows beyond the first."""
 

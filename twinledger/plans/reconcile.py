@@ -116,13 +116,15 @@ class Reconciliation:
         rows = recon.flag_rows(*self._sides(), self.keys, (flag,), self._count)
         return recon.sample_rows(rows, flag, n)
 
-    def report(self, n: int = recon.SAMPLE_ROWS, rows: DataFrame | None = None) -> DataFrame:
+    def report(self, n: int = recon.SAMPLE_ROWS, rows: DataFrame | None = None, one_pass: bool = False) -> DataFrame:
         """All sections in one DataFrame: section, region_id, item, row_count.
 
         The flag totals and the samples read the same grouped rows. Spark
         computes them once and reuses the exchange; ``rows`` may instead be
-        :meth:`written_rows`.
+        :meth:`written_rows`. With ``one_pass`` the samples of all flags are taken in one reading of those rows,
+        sorted in each task, instead of an ordered limit a flag.
         """
+        sampled = recon.samples_in_one_pass if one_pass else recon.mismatch_samples
         if rows is None:
             mismatches = recon.flag_rows(*self._sides(), self.keys, recon.MISMATCHES, self._count)
             rollup = self.rollup
@@ -149,7 +151,7 @@ class Reconciliation:
         ]
         key_text = F.to_json(F.struct(*all_named(self.keys)), {"ignoreNullFields": "false"})
         parts.append(
-            recon.mismatch_samples(mismatches, n).select(
+            sampled(mismatches, n).select(
                 F.concat(F.lit("sample "), "dq_flag").alias("section"),
                 none.alias("region_id"),
                 key_text.alias("item"),

@@ -345,4 +345,4 @@ def report_sql() -> str:
 @query("full_report", report_sql())
 def full_report(spark, sf_dir):
     result = comparison(spark, sf_dir, "safe", snapshot(RUN_DATE))
-    return as_bigint(result.report(), "row_count")
+    return as_bigint(result.report(one_pass=True), "row_count")
