@@ -157,6 +157,39 @@ def test_cut_lists_are_still_matched_in_order(monkeypatch):
             assert all(a < c and b < d for (a, b), (c, d) in zip(pairs, pairs[1:]))
 
 
+def drawn_list(draw, size):
+    """Children of few shapes, many of which both of two lists have."""
+    tags = ("p", "h2", "ul", "section")
+    return "".join(f"<{tag}>{'<p>x</p>' * draw.randrange(3)}t</{tag}>" for tag in (draw.choice(tags) for _ in range(size)))
+
+
+@pytest.mark.parametrize("sizes", [(63, 70), (150, 90), (90, 220), (1, 300)])
+def test_long_lists_match_the_most_nodes(sizes):
+    draw = random.Random(sum(sizes))
+    one, other = (pages.parse(drawn_list(draw, size))[0] for size in sizes)
+    matching = pages._Matching()
+    matching.settle(one, other)
+    assert matching.weight(one, other) == naive_weight(one, other)
+    placed = {(one.children[i].tag, other.children[j].tag) for i, j in _faced(one, other)}
+    assert all(a == b for a, b in placed)
+
+
+def _faced(one, other):
+    of = [{leaf.number: n for n, child in enumerate(tree.children) for leaf in pages._inside([child])} for tree in (one, other)]
+    return {(of[0][a], of[1][b]) for a, b in pages.align(one, other)}
+
+
+def test_what_is_kept_in_memory_changes_no_match(monkeypatch):
+    draw = random.Random(7)
+    drawn = [[drawn_list(draw, 130), drawn_list(draw, 170)] for _ in range(4)]
+    drawn += [[drawn_page(draw, 2) * 30, drawn_page(draw, 2) * 40] for _ in range(4)]
+    found = [leaf_pairs(*both) for both in drawn]
+    for piece, cells in ((3, 10**6), (10**6, 10**6), (64, 1), (3, 50)):
+        monkeypatch.setattr(pages, "PIECE", piece)
+        monkeypatch.setattr(pages, "CELLS", cells)
+        assert [leaf_pairs(*both) for both in drawn] == found
+
+
 ODD = {
     "nested": "<div>" * 20_000 + "{}", "siblings": "<p>{}" + "<p>a" * 20_000,
     "quotes": "<a \"'" * 20_000 + "{}", "quote": "<a \"<p>t</p>" * 20_000 + "{}", "bangs": "<!" * 50_000 + "{}>",

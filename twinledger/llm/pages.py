@@ -12,12 +12,13 @@ is no article.
 from __future__ import annotations
 
 import html
+import math
 import re
-from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Generator, Iterable, Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -217,72 +218,101 @@ def parse(source: str) -> tuple[Node, list[Node], str]:
     return root, leaves, "".join(shape)
 
 
-#: Children of two nodes that are matched in one table, and cells of all tables of two trees; beyond them
-#: longer lists are cut at the same parts of their length, and what is left is matched in order.
+#: Children up to which all rows of their table are kept, beyond it as many as the root of them and the others
+#: are filled again; weights that are remembered at a time, others are worked out again. Neither changes a match.
 PIECE, CELLS = 64, 1_000_000
 
 Pairs = list[tuple[Node, Node]]
-Block = tuple[list[Node], list[Node]]
+#: Asks for the weights of pairs of nodes.
+Asking = Generator[tuple[Node, Node], int]
 
 
-def _blocks(xs: list[Node], ys: list[Node]) -> tuple[Pairs, list[Block]]:
-    """Children that certainly face each other, and the runs between them.
+def _trimmed(xs: list[Node], ys: list[Node]) -> tuple[Pairs, list[Node], list[Node]]:
+    """Children that certainly face each other, and those between them.
 
-    Equal beginnings and ends are matched first: no other match of them weighs more. In longer lists
-    shapes that both have once come next, as many as are in the same order.
+    Equal beginnings and ends are matched first: no other match of them weighs more.
     """
-    sure, low, high = [], 0, 0
+    low, high = 0, 0
     short = min(len(xs), len(ys))
     while low < short and xs[low].shape == ys[low].shape:
         low += 1
     while high < short - low and xs[-1 - high].shape == ys[-1 - high].shape:
         high += 1
-    sure += zip(xs[:low], ys[:low])
-    sure += zip(xs[len(xs) - high :], ys[len(ys) - high :])
-    xs, ys = xs[low : len(xs) - high], ys[low : len(ys) - high]
-    if not xs or not ys:
-        return sure, []
-    if max(len(xs), len(ys)) <= PIECE:
-        return sure, [(xs, ys)]
-    blocks, i, j = [], 0, 0
-    for p, q in [*_anchors(xs, ys), (len(xs), len(ys))]:
-        parts = -(-max(p - i, q - j) // PIECE)
-        cut = lambda start, end, n: start + (end - start) * n // parts
-        for n in range(parts):
-            block = xs[cut(i, p, n) : cut(i, p, n + 1)], ys[cut(j, q, n) : cut(j, q, n + 1)]
-            if all(block):
-                blocks.append(block)
-        if p < len(xs):
-            sure.append((xs[p], ys[q]))
-        i, j = p + 1, q + 1
-    return sure, blocks
-
-
-def _anchors(xs: list[Node], ys: list[Node]) -> list[tuple[int, int]]:
-    """Places of shapes that both lists have once, the most that are in one order."""
-    ours, theirs = Counter(x.shape for x in xs), Counter(y.shape for y in ys)
-    place = {y.shape: j for j, y in enumerate(ys)}
-    met = [(i, place[x.shape]) for i, x in enumerate(xs) if ours[x.shape] == theirs[x.shape] == 1]
-    ends: list[int] = []  # the least last place of a chain of each length
-    chains: list[int] = []  # and who ends it
-    before: dict[int, int] = {}
-    for n, (_, j) in enumerate(met):
-        at = bisect_left(ends, j)
-        before[n] = chains[at - 1] if at else -1
-        ends[at : at + 1], chains[at : at + 1] = [j], [n]
-    found, n = [], chains[-1] if chains else -1
-    while n >= 0:
-        found.append(met[n])
-        n = before[n]
-    return found[::-1]
+    sure = [*zip(xs[:low], ys[:low]), *zip(xs[len(xs) - high :], ys[len(ys) - high :])]
+    return sure, xs[low : len(xs) - high], ys[low : len(ys) - high]
+
+
+class _Table:
+    """The most nodes that match below the first children of two lists, a row for each child of the one."""
+
+    def __init__(self, matching: _Matching, xs: list[Node], ys: list[Node]):
+        self.matching, self.xs, self.ys = matching, xs, ys
+        kinds = {y.shape: y for y in ys}
+        place = {shape: n for n, shape in enumerate(kinds)}
+        self.kinds, self.kind = list(kinds.values()), np.array([place[y.shape] for y in ys], dtype=np.intp)
+        self.known: dict[int, np.ndarray] = {}
+
+    def weights(self, x: Node) -> Generator[tuple[Node, Node], int, np.ndarray]:
+        """The weights of ``x`` and each of the other list, those of a shape asked for once."""
+        found = self.known.get(x.shape)
+        if found is None:
+            of = np.zeros(len(self.kinds), dtype=np.int64)
+            for n, y in enumerate(self.kinds):
+                weight = self.matching.weight(x, y)
+                of[n] = (yield x, y) if weight is None else weight
+            found = of[self.kind]
+            if (len(self.known) + 1) * len(found) > CELLS:
+                self.known.clear()
+            self.known[x.shape] = found
+        return found
+
+    def rows(self, above: np.ndarray, start: int, end: int, every: int) -> Generator[tuple[Node, Node], int, list[np.ndarray]]:
+        """``above``, the row before ``start``, then each that many rows further, and the last."""
+        rows = [above]
+        for i in range(start, end):
+            of = yield from self.weights(self.xs[i])
+            row = np.empty_like(above)
+            row[0] = 0
+            np.maximum(above[1:], above[:-1] + of, out=row[1:])
+            above = np.maximum.accumulate(row, out=row)
+            if (i + 1 - start) % every == 0 or i + 1 == end:
+                rows.append(above)
+        return rows
+
+    def top(self) -> np.ndarray:
+        return np.zeros(len(self.ys) + 1, dtype=np.int64)
+
+    def best(self) -> Generator[tuple[Node, Node], int, int]:
+        size = len(self.xs)
+        rows = yield from self.rows(self.top(), 0, size, size)
+        return int(rows[-1][-1])
+
+    def pairs(self) -> Generator[tuple[Node, Node], int, Pairs]:
+        pairs, i, j = [], len(self.xs), len(self.ys)
+        every = 1 if i <= PIECE else math.isqrt(i)
+        kept = yield from self.rows(self.top(), 0, i, every)
+        for n in reversed(range(len(kept) - 1)):
+            start = n * every
+            rows = kept[n : n + 2] if every == 1 else (yield from self.rows(kept[n], start, i, 1))
+            while i > start and j:
+                row, above = rows[i - start], rows[i - start - 1]
+                if row[j] == above[j]:
+                    i -= 1
+                elif row[j] == row[j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    pairs.append((self.xs[i], self.ys[j]))
+            if not j:
+                break
+        return pairs
 
 
 class _Matching:
     """The pairs of children of two trees' nodes that make the most nodes match."""
 
     def __init__(self) -> None:
-        self.known: dict[tuple[int, int], tuple[int, Pairs]] = {}
-        self.cells = CELLS
+        self.known: dict[tuple[int, int], int] = {}
 
     def weight(self, x: Node, y: Node) -> int | None:
         """Nodes that match below two nodes; None if that is not known yet."""
@@ -292,65 +322,52 @@ class _Matching:
             return x.size
         if not x.children or not y.children:
             return 1
-        known = self.known.get((id(x), id(y)))
-        return known and known[0]
+        return self.known.get((x.shape, y.shape))
 
     def settle(self, x: Node, y: Node) -> None:
-        """Make the weight of two nodes known, without recursion."""
-        waiting: list[tuple[Node, Node, tuple[Pairs, list[Block]] | None]] = [(x, y, None)]
-        while waiting:
-            x, y, parts = waiting.pop()
-            if self.weight(x, y) is not None:
-                continue
-            if parts is None:
-                parts = self.parts(x, y)
-                waiting.append((x, y, parts))
-                sure, blocks = parts
-                waiting += [(p, q, None) for p, q in sure if self.weight(p, q) is None]
-                waiting += [(p, q, None) for ps, qs in blocks for p in ps for q in qs if self.weight(p, q) is None]
-                continue
-            sure, blocks = parts
-            pairs = list(sure)
-            for block in blocks:
-                pairs += self.table(*block)
-            self.known[id(x), id(y)] = 1 + sum(self.weight(p, q) or 0 for p, q in pairs), pairs
-
-    def parts(self, x: Node, y: Node) -> tuple[Pairs, list[Block]]:
-        sure, blocks = _blocks(x.children, y.children)
-        self.cells -= sum(len(ps) * len(qs) for ps, qs in blocks)
-        if self.cells < 0:
-            return sure + [(p, q) for ps, qs in blocks for p, q in zip(ps, qs) if p.tag == q.tag], []
-        return sure, blocks
-
-    def table(self, xs: list[Node], ys: list[Node]) -> Pairs:
-        weights = [[self.weight(p, q) for q in ys] for p in xs]
-        table = [[0] * (len(ys) + 1)]
-        for of in weights:
-            above, row = table[-1], [0]
-            for j, weight in enumerate(of):
-                row.append(max(above[j + 1], row[j], above[j] + weight))
-            table.append(row)
-        pairs, i, j = [], len(xs), len(ys)
-        while i and j:
-            if table[i][j] == table[i - 1][j]:
-                i -= 1
-            elif table[i][j] == table[i][j - 1]:
-                j -= 1
+        """Make the weight of two nodes known."""
+        if self.weight(x, y) is None:
+            self.told(self.total(x, y))
+
+    def told(self, asking: Asking):
+        """What ``asking`` returns, each weight that it asks for worked out without recursion."""
+        waiting, weight = [asking], None
+        while True:
+            try:
+                x, y = waiting[-1].send(weight)
+            except StopIteration as end:
+                waiting.pop()
+                weight = end.value
+                if not waiting:
+                    return weight
             else:
-                i, j = i - 1, j - 1
-                pairs.append((xs[i], ys[j]))
-        return pairs
+                waiting.append(self.total(x, y))
+                weight = None
+
+    def total(self, x: Node, y: Node) -> Generator[tuple[Node, Node], int, int]:
+        sure, xs, ys = _trimmed(x.children, y.children)
+        weight = 1 + sum(p.size for p, _ in sure)
+        if xs and ys:
+            weight += yield from _Table(self, xs, ys).best()
+        if len(self.known) >= CELLS:
+            self.known.clear()
+        self.known[x.shape, y.shape] = weight
+        return weight
+
+    def pairs(self, x: Node, y: Node) -> Pairs:
+        """The children of two nodes that face each other."""
+        sure, xs, ys = _trimmed(x.children, y.children)
+        return sure + self.told(_Table(self, xs, ys).pairs()) if xs and ys else sure
 
 
 def align(a: Node, b: Node) -> list[tuple[int, int]]:
     """Simple tree matching: the leaves of ``a`` and ``b`` that face each other.
 
     Nodes match if their tags do; the children of matched nodes are matched in order so
-    that the most nodes match. Exact for lists of up to ``PIECE`` children between equal ones and up to ``CELLS``
-    cells in all; beyond that in time that is linear in the pages' length.
+    that the most nodes match, whatever their number. Equal beginnings and ends of lists and equal subtrees take
+    time in proportion to them, what differs up to the product of both pages' nodes.
     """
     matching = _Matching()
-    matching.settle(a, b)
     pairs, waiting = [], [(a, b)] if a.tag == b.tag else []
     while waiting:
         x, y = waiting.pop()
@@ -359,7 +376,7 @@ def align(a: Node, b: Node) -> list[tuple[int, int]]:
         elif x.shape == y.shape:
             waiting += zip(x.children, y.children)
         elif x.children and y.children:
-            waiting += matching.known[id(x), id(y)][1]
+            waiting += matching.pairs(x, y)
     return pairs
 
 
