@@ -1,5 +1,6 @@
 import random
 
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -36,6 +37,16 @@ def test_ids_and_round_trip(spark, reference):
         assert (row.trip.ids, row.trip.decoded) == (row.ids, row.back)
 
 
+def test_results_are_held_for_a_part_of_a_batch():
+    draw = random.Random(3)
+    texts = [None, "", *("word " * draw.randrange(1, 4_000) for _ in range(600)), "x " * 1_500_000, None, "y"]
+    frames = list(bpe._round_trips(iter([pd.Series(texts, dtype=object)]), bpe.read_ranks(PATH), public_tokenizers.PATTERN))
+    decoded = [text for frame in frames for text in frame["decoded"]]
+    assert decoded == [(text or "").encode() for text in texts]
+    most = max(sum(map(len, frame["decoded"])) - len(frame["decoded"].iloc[-1]) for frame in frames)
+    assert len(frames) > 3 and most <= 1 << 20
+
+
 def test_documents(spark, middle, reference):
     ranks = bpe.rank_map(spark, PATH)
     docs = spark.read.parquet(f"{middle}/documents.parquet").limit(300)

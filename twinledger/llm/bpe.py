@@ -25,6 +25,8 @@ from twinledger.llm.shared import Recent, bounded_batches
 KEPT_WORDS, KEPT_LENGTH = 150_000, 64
 #: Words of more bytes are merged from a heap.
 SHORT = 48
+#: Characters of a batch's texts whose results are held at a time, or one text.
+HELD = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -117,6 +119,22 @@ def _decoder(ranks: dict[bytes, int]) -> Callable[[bytes | None], bytes]:
     return lambda ids: b"".join([pieces[i] for i in np.frombuffer(ids or b"", "<u4").tolist()])
 
 
+def _runs(batch: pd.Series) -> Iterator[pd.Series]:
+    """A batch's rows in order, ``HELD`` characters at a time: workers keep the memory that their largest result took."""
+    sizes = np.fromiter((len(x) if x is not None else 0 for x in batch), dtype=np.int64, count=len(batch))
+    starts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // HELD, prepend=-1))
+    for start, end in zip(starts, [*starts[1:], len(batch)]):
+        yield batch.iloc[start:end]
+
+
+def _round_trips(batches: Iterator[pd.Series], ranks: dict[bytes, int], pattern: str) -> Iterator[pd.DataFrame]:
+    there, back = _encoder(ranks, pattern), _decoder(ranks)
+    for batch in batches:
+        for texts in _runs(batch):
+            ids = [there(text) for text in texts]
+            yield pd.DataFrame({"ids": ids, "decoded": [back(x) for x in ids]}, dtype=object)
+
+
 def encode(text: str | Column, ranks: Broadcast, pattern: str) -> Column:
     """The ids of whole texts as little-endian unsigned 32-bit integers.
 
@@ -127,7 +145,8 @@ def encode(text: str | Column, ranks: Broadcast, pattern: str) -> Column:
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         one = _encoder(ranks.value, pattern)
         for batch in batches:
-            yield pd.Series([one(text) for text in batch], dtype=object)
+            for texts in _runs(batch):
+                yield pd.Series([one(text) for text in texts], dtype=object)
 
     return encoded(text)
 
@@ -139,7 +158,8 @@ def decode(ids: str | Column, ranks: Broadcast) -> Column:
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         one = _decoder(ranks.value)
         for batch in batches:
-            yield pd.Series([one(x) for x in batch], dtype=object)
+            for run in _runs(batch):
+                yield pd.Series([one(x) for x in run], dtype=object)
 
     return decoded(ids)
 
@@ -149,10 +169,7 @@ def round_trip(text: str | Column, ranks: Broadcast, pattern: str) -> Column:
 
     @F.pandas_udf("ids binary, decoded binary")
     def there_and_back(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        there, back = _encoder(ranks.value, pattern), _decoder(ranks.value)
-        for batch in batches:
-            ids = [there(text) for text in batch]
-            yield pd.DataFrame({"ids": ids, "decoded": [back(x) for x in ids]}, dtype=object)
+        yield from _round_trips(batches, ranks.value, pattern)
 
     return there_and_back(text)
 
